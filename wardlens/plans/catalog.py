@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wardlens.plans import (  # noqa: F401  (importing registers the queries)
+    joins_and_aggregates,
     tables_and_filters,
 )
 from wardlens.plans.registry import CHECKS, QUERIES
