@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wardlens.plans import (  # noqa: F401  (importing registers the queries)
     joins_and_aggregates,
+    scalars_and_reports,
     tables_and_filters,
+    windows_and_ranks,
 )
 from wardlens.plans.registry import CHECKS, QUERIES
 
