@@ -55,19 +55,19 @@ def numbered(df: DataFrame, *order: Column | str, out: str = "row_no") -> DataFr
     placed = stage(
         df.repartitionByRange(ranges, *order)
         .sortWithinPartitions(*order)
-        .withColumn("_place", F.monotonically_increasing_id())
-        .withColumn("_range", F.shiftright("_place", 33)),
+        .withColumn("_seq_place", F.monotonically_increasing_id())
+        .withColumn("_seq_range", F.shiftright("_seq_place", 33)),
         "numbered",
     )
-    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("_seq_range").agg(F.count(F.lit(1)).alias("_seq_size"))
+    before = Window.orderBy("_seq_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
-        "_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start")
+        "_seq_range", F.coalesce(F.sum("_seq_size").over(before), F.lit(0)).alias("_seq_start")
     )
-    within = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    within = F.col("_seq_place").bitwiseAND(F.lit((1 << 33) - 1))
     return (
-        placed.join(F.broadcast(starts), "_range")
-        .withColumn(out, F.col("_start") + within + 1)
+        placed.join(F.broadcast(starts), "_seq_range")
+        .withColumn(out, F.col("_seq_start") + within + 1)
         .select(*df.columns, out)
     )
 
@@ -130,13 +130,13 @@ def _shift(column, n: int) -> Column:
 
 
 def _by_chunks(df, keys, order, shifts, derive, running, size: int) -> DataFrame:
-    rows = numbered(df, *keys, *order, out="_no").withColumn("_chunk", _chunk_of(F.col("_no"), size))
+    rows = numbered(df, *keys, *order, out="_seq_no").withColumn("_seq_chunk", _chunk_of(F.col("_seq_no"), size))
     if shifts:
         rows = _shift_over_cuts(rows, keys, shifts, size)
     rows = derive(rows)
     if running:
         rows = _run_over_cuts(rows, keys, running)
-    return rows.drop("_no", "_chunk")
+    return rows.drop("_seq_no", "_seq_chunk")
 
 
 def _chunk_of(number: Column, size: int) -> Column:
@@ -148,15 +148,15 @@ def _shift_over_cuts(rows, keys, shifts, size) -> DataFrame:
     ahead = max([-n for _, n in shifts.values() if n < 0], default=0)
     if max(back, ahead) >= size:
         raise ValueError("a shift must be shorter than a chunk")
-    number = F.col("_no")
+    number = F.col("_seq_no")
     needed_by = F.array_distinct(
         F.array(
-            F.col("_chunk"),
+            F.col("_seq_chunk"),
             _chunk_of(number + back, size),
             _chunk_of(F.greatest(number - ahead, F.lit(1).cast("bigint")), size),
         )
     )
-    window = Window.partitionBy("_in").orderBy("_no")
+    window = Window.partitionBy("_seq_in").orderBy("_seq_no")
 
     def value(column: str, n: int) -> Column:
         same_group = F.lit(True)
@@ -165,20 +165,20 @@ def _shift_over_cuts(rows, keys, shifts, size) -> DataFrame:
         return F.when(same_group, _shift(column, n).over(window))
 
     return (
-        rows.withColumn("_in", F.explode(needed_by))
+        rows.withColumn("_seq_in", F.explode(needed_by))
         .withColumns({name: value(col, n) for name, (col, n) in shifts.items()})
-        .filter(F.col("_in") == F.col("_chunk"))
-        .drop("_in")
+        .filter(F.col("_seq_in") == F.col("_seq_chunk"))
+        .drop("_seq_in")
     )
 
 
 def _run_over_cuts(rows, keys, running) -> DataFrame:
-    group = [*keys, "_chunk"]
+    group = [*keys, "_seq_chunk"]
     totals = rows.groupBy(*group).agg(
         *[_AGGREGATE[fn](col).alias(f"_all_{name}") for name, (fn, col) in running.items()]
     )
     earlier = (
-        Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*keys).orderBy("_seq_chunk").rowsBetween(Window.unboundedPreceding, -1)
     )
     before = totals.select(
         *group,
@@ -189,7 +189,7 @@ def _run_over_cuts(rows, keys, running) -> DataFrame:
     )
     here = (
         Window.partitionBy(*group)
-        .orderBy("_no")
+        .orderBy("_seq_no")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     out = rows.withColumns(
