@@ -91,18 +91,33 @@ def score(x: Column, bands: Sequence[tuple[float | None, float | None, int]]) ->
     return out
 
 
+# A number written with digits and at most one point.
+PLAIN_NUMBER = r"^(?:[0-9]+\.?[0-9]*|\.[0-9]+)$"
+
+
+def plain_number(text: Column) -> Column:
+    """A plain unsigned number from text; NULL, with no failed parse, for any other text."""
+    return F.when(text.rlike(PLAIN_NUMBER), text.try_cast("double"))
+
+
 def outside_range(value: Column, reference: Column, separators: Sequence[str]) -> Column:
     """Does text ``value`` lie outside a textual range ``low<sep>high``?
 
-    NULL where the value or either limit is not a plain unsigned number.
+    False where the value or either limit is not a plain unsigned number.  The
+    cut limits are bound to a lambda variable, because a filter would otherwise
+    repeat the cut for every use of them.
     """
-    either = "|".join(separators)
-    plain = r"^[0-9]+(\.[0-9]*)?$|^\.[0-9]+$"
-
-    def number(text: Column) -> Column:
-        return F.when(text.rlike(plain), text.try_cast("double"))
-
-    low = number(F.regexp_extract(reference, rf"^([0-9.]+)({either})([0-9.]+)$", 1))
-    high = number(F.regexp_extract(reference, rf"^([0-9.]+)({either})([0-9.]+)$", 3))
-    found = number(value)
-    return (found < low) | (found > high)
+    cut = F.lit(None)
+    for sep in separators:
+        low = F.substring_index(reference, sep, 1)
+        high = F.substring_index(reference, sep, -1)
+        whole = F.char_length(low) + F.char_length(high) + len(sep) == F.char_length(reference)
+        limits = F.struct(plain_number(low).alias("low"), plain_number(high).alias("high"))
+        cut = F.when(F.contains(reference, F.lit(sep)) & whole, limits).otherwise(cut)
+    bound = F.array(F.struct(plain_number(value).alias("found"), cut.alias("cut")))
+    return F.exists(
+        bound,
+        lambda b: b["cut"]["low"].isNotNull()
+        & b["cut"]["high"].isNotNull()
+        & ((b["found"] < b["cut"]["low"]) | (b["found"] > b["cut"]["high"])),
+    )

@@ -68,6 +68,24 @@ def correlation(y: Column, x: Column) -> Column:
     return F.try_divide(F.covar_pop(y, x), spread)
 
 
+def correlations(
+    df: DataFrame, keys: Sequence[str], pairs: Mapping[str, tuple[Column, Column]],
+    label: str = "pair", out: str = "correlation",
+) -> DataFrame:
+    """Correlation of several (y, x) pairs per group, one row per group and pair.
+
+    The pairs become rows inside the scan stage, so that one small aggregate
+    serves them all; with an aggregate per pair the generated code grows past
+    what the JIT compiler takes.
+    """
+    rows = [
+        F.struct(F.lit(n).alias(label), y.cast("double").alias("_y"), x.cast("double").alias("_x"))
+        for n, (y, x) in pairs.items()
+    ]
+    long = df.select(*keys, F.inline(F.array(*rows)))
+    return long.groupBy(*keys, label).agg(correlation(F.col("_y"), F.col("_x")).alias(out))
+
+
 def dispersion_index(x: Column) -> Column:
     """Sample variance over the mean."""
     return F.try_divide(F.var_samp(x), F.avg(x))

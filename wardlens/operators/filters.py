@@ -25,8 +25,13 @@ def equals_extreme(df: DataFrame, column: str, largest: bool = True) -> DataFram
 
 
 def within_keys(df: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key occurs in ``source`` (IN subquery on one or more columns)."""
-    return df.join(source.select(*keys), list(keys), "left_semi")
+    """Rows whose key occurs in ``source`` (IN subquery on one or more columns).
+
+    ``source`` is reduced to distinct keys before its shuffle, so a key repeated
+    any number of times there weighs one row; a key hot in ``df`` is split by
+    AQE's skew join.
+    """
+    return df.join(source.select(*keys).distinct(), list(keys), "left_semi")
 
 
 def without_keys(df: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -37,7 +42,7 @@ def without_keys(df: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataF
     """
     for key in keys:
         df, source = df.filter(F.col(key).isNotNull()), source.filter(F.col(key).isNotNull())
-    return df.join(source.select(*keys), list(keys), "left_anti")
+    return df.join(source.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def exists_flag(

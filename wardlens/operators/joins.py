@@ -105,4 +105,4 @@ def rows_after_first(
 
 def linked_rows(df: DataFrame, seed: Column, keys: Sequence[str]) -> DataFrame:
     """All rows of the entities that have at least one row satisfying ``seed``."""
-    return df.join(df.filter(seed).select(*keys), list(keys), "left_semi")
+    return df.join(df.filter(seed).select(*keys).distinct(), list(keys), "left_semi")

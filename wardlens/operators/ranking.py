@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wardlens.functions.numbers import whole_quotient
 from wardlens.operators.keys import join_back
-from wardlens.operators.sequences import numbered
+from wardlens.operators.sequences import add_range_starts, numbered, placed_in_ranges
 
 
 def surrogate_key(df: DataFrame, order: Sequence[Column | str], out: str = "row_no") -> DataFrame:
@@ -38,43 +38,31 @@ def global_rank(
     """RANK or DENSE_RANK of all rows by several columns, NULLs ranked last.
 
     Rows are first counted per distinct value, so a value shared by a third of
-    the table is one row from then on.  The distinct values are numbered by a
-    distributed sort, and their running count is the rank of the values after.
+    the table is one row from then on.  The distinct values are range-sorted over
+    the cluster, and the rows counted before a value make its rank.
     """
     counts = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
     order = [
         F.col(c).desc_nulls_last() if down else F.col(c).asc_nulls_last()
         for c, down in zip(columns, descending)
     ]
-    placed = numbered(counts, *order, out="_place")
+    placed = placed_in_ranges(counts, *order)
     if dense:
-        ranked = placed.withColumnRenamed("_place", out)
+        ranked = add_range_starts(placed, _start=F.count(F.lit(1))).withColumn(
+            out, F.col("_start") + F.col("_seq_within") + 1
+        )
     else:
-        ranked = _running_total(placed, "_place", "_n", "_through").withColumn(
-            out, F.col("_through") - F.col("_n") + 1
+        earlier = (
+            Window.partitionBy("_seq_range")
+            .orderBy("_seq_within")
+            .rowsBetween(Window.unboundedPreceding, -1)
+        )
+        ranked = add_range_starts(placed, _start=F.sum("_n")).withColumn(
+            out, F.col("_start") + F.coalesce(F.sum("_n").over(earlier), F.lit(0)) + 1
         )
     return join_back(df, ranked.select(*columns, out), columns, "inner").select(*df.columns, out)
 
 
-def _running_total(df: DataFrame, place: str, amount: str, out: str, block: int = 1_000_000):
-    """Running total along unique numbers 1..N: totals of whole blocks plus the own block."""
-    rows = df.withColumn("_block", whole_quotient(F.col(place) - 1, F.lit(block)))
-    blocks = rows.groupBy("_block").agg(F.sum(amount).alias("_total"))
-    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = blocks.select("_block", F.sum("_total").over(before).alias("_before"))
-    here = (
-        Window.partitionBy("_block")
-        .orderBy(place)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return (
-        rows.withColumn("_here", F.sum(amount).over(here))
-        .join(starts, "_block")
-        .withColumn(out, F.coalesce("_before", F.lit(0)) + F.col("_here"))
-        .drop("_block", "_before", "_here")
-    )
-
-
 def top_rows(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, out: str = "row_no"
 ) -> DataFrame:

@@ -43,32 +43,51 @@ def group_limit(df: DataFrame, given: int | None) -> int:
     return int(conf) if conf else DEFAULT_MAX_GROUP_ROWS
 
 
-def numbered(df: DataFrame, *order: Column | str, out: str = "row_no") -> DataFrame:
-    """Number all rows 1..N by a total order without gathering them in one task.
+def placed_in_ranges(df: DataFrame, *order: Column | str) -> DataFrame:
+    """Range-sort all rows over the cluster and fix each row's range and place in it.
 
-    ``order`` must end in a unique key.  Rows are range-partitioned and sorted,
-    and the position inside each range is written to a staged table; ranges are
-    thereby fixed once, whatever is recomputed later.  Only one row count per
-    range is then summed up and broadcast.
+    Adds ``_seq_range`` and ``_seq_within`` (from 0) and stages the result, so
+    ranges stay what they are whatever is recomputed later.
     """
     ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = stage(
+    place = F.monotonically_increasing_id()
+    placed = (
         df.repartitionByRange(ranges, *order)
         .sortWithinPartitions(*order)
-        .withColumn("_seq_place", F.monotonically_increasing_id())
-        .withColumn("_seq_range", F.shiftright("_seq_place", 33)),
-        "numbered",
+        .withColumn("_seq_place", place)
+    )
+    within = F.col("_seq_place").bitwiseAND(F.lit((1 << 33) - 1))
+    return stage(
+        placed.withColumn("_seq_range", F.shiftright("_seq_place", 33))
+        .withColumn("_seq_within", within)
+        .drop("_seq_place"),
+        "placed",
     )
-    sizes = placed.groupBy("_seq_range").agg(F.count(F.lit(1)).alias("_seq_size"))
+
+
+def add_range_starts(placed: DataFrame, **totals: Column) -> DataFrame:
+    """Add to each row what the aggregates sum to over all earlier ranges.
+
+    One row per range is summed up and broadcast; the number of ranges is the
+    session's number of shuffle partitions.
+    """
+    sizes = placed.groupBy("_seq_range").agg(*[c.alias(n) for n, c in totals.items()])
     before = Window.orderBy("_seq_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
-        "_seq_range", F.coalesce(F.sum("_seq_size").over(before), F.lit(0)).alias("_seq_start")
+        "_seq_range", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(n) for n in totals]
     )
-    within = F.col("_seq_place").bitwiseAND(F.lit((1 << 33) - 1))
-    return (
-        placed.join(F.broadcast(starts), "_seq_range")
-        .withColumn(out, F.col("_seq_start") + within + 1)
-        .select(*df.columns, out)
+    return placed.join(F.broadcast(starts), "_seq_range")
+
+
+def numbered(df: DataFrame, *order: Column | str, out: str = "row_no") -> DataFrame:
+    """Number all rows 1..N by a total order without gathering them in one task.
+
+    ``order`` must end in a unique key.
+    """
+    placed = placed_in_ranges(df, *order)
+    rows = add_range_starts(placed, _seq_start=F.count(F.lit(1)))
+    return rows.withColumn(out, F.col("_seq_start") + F.col("_seq_within") + 1).select(
+        *df.columns, out
     )
 
 

@@ -339,27 +339,29 @@ def safe_ratio(t: Tables):
 
 @query(
     "agg_corr",
-    f"""SELECT l_linestatus, {rounded("corr(l_extendedprice, l_quantity)", 6)} AS price_quantity,
-               {rounded("corr(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END, l_discount)", 6)} AS returned,
-               {rounded("corr(epoch(l_shipdate), l_tax)", 6)} AS time_tax,
-               {rounded("corr(CAST(right(l_returnflag, 0) || l_linenumber AS INT), l_quantity)", 6)} AS coded,
-               CAST(NULL AS DOUBLE) AS constant
-        FROM lineitem GROUP BY 1""",
+    f"""WITH c AS (SELECT l_linestatus, corr(l_extendedprice, l_quantity) AS price_quantity,
+                   corr(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END, l_discount) AS returned,
+                   corr(epoch(l_shipdate), l_tax) AS time_tax, corr(l_linenumber, l_quantity) AS coded
+                 FROM lineitem GROUP BY 1)
+        SELECT l_linestatus, 'price_quantity' AS pair, {rounded("price_quantity", 6)} AS correlation FROM c
+        UNION ALL SELECT l_linestatus, 'returned', {rounded("returned", 6)} FROM c
+        UNION ALL SELECT l_linestatus, 'time_tax', {rounded("time_tax", 6)} FROM c
+        UNION ALL SELECT l_linestatus, 'coded', {rounded("coded", 6)} FROM c
+        UNION ALL SELECT l_linestatus, 'constant', NULL FROM c""",
 )
 def agg_corr(t: Tables):
-    returned = F.when(F.col("l_returnflag") == "R", 1).otherwise(0)
-    coded = text.digits_only(F.concat("l_returnflag", F.col("l_linenumber").cast("string"))).cast("int")
-
-    def rounded_corr(y, x, name):
-        return numbers.round_half_up(aggregates.correlation(y, x), 6).alias(name)
-
-    return t.lineitem.groupBy("l_linestatus").agg(
-        rounded_corr(F.col("l_extendedprice"), F.col("l_quantity"), "price_quantity"),
-        rounded_corr(returned, F.col("l_discount"), "returned"),
-        rounded_corr(dates.epoch_seconds(F.col("l_shipdate")), F.col("l_tax"), "time_tax"),
-        rounded_corr(coded, F.col("l_quantity"), "coded"),
-        rounded_corr(F.lit(1), F.col("l_quantity"), "constant"),
+    coded = text.digits_only(F.concat("l_returnflag", F.col("l_linenumber").cast("string")))
+    found = aggregates.correlations(
+        t.lineitem, ["l_linestatus"],
+        {
+            "price_quantity": (F.col("l_extendedprice"), F.col("l_quantity")),
+            "returned": (F.when(F.col("l_returnflag") == "R", 1).otherwise(0), F.col("l_discount")),
+            "time_tax": (dates.epoch_seconds(F.col("l_shipdate")), F.col("l_tax")),
+            "coded": (coded.cast("int"), F.col("l_quantity")),
+            "constant": (F.lit(1), F.col("l_quantity")),
+        },
     )
+    return found.withColumn("correlation", numbers.round_half_up(F.col("correlation"), 6))
 
 
 @query(

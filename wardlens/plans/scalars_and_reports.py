@@ -55,7 +55,7 @@ def str_split_part(t: Tables):
 )
 def palindromes(t: Tables):
     words = F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{3,})"), F.lit(1))
-    found = t.documents.select(F.explode(F.array_distinct(words)).alias("word")).distinct()
+    found = t.documents.select(F.explode(words).alias("word")).distinct()
     return found.withColumn("palindrome", text.is_palindrome(F.col("word")))
 
 
