@@ -1,0 +1,198 @@
+"""Small clinical tables with missing values, ties and dirty text, as rows and as DataFrames."""
+
+from __future__ import annotations
+
+import datetime as dt
+import random
+from types import SimpleNamespace
+
+CARDIAC = {
+    "demography": "inpatient_number long, gender string, agecat string, bmi double, weight double, "
+                  "height double, occupation string, age int",
+    "hospitalization_discharge": "inpatient_number long, admission_date timestamp_ntz, admission_ward string, "
+        "admission_way string, outcome_during_hospitalization string, oxygen_inhalation string, "
+        "destinationdischarge string, dischargeday int, visit_times int, re_admission_within_28_days int, "
+        "re_admission_within_3_months int, re_admission_within_6_months int, death_within_6_months int, "
+        "readmission_time_days_from_admission double",
+    "labs": "inpatient_number long, pulse double, map_value double, respiration double, monocyte_ratio double, "
+            "white_blood_cell double, d_dimer double, myoglobin double",
+    "cardiaccomplications": "inpatient_number long, nyha_cardiac_function_classification int, "
+        "type_of_heart_failure string, myocardial_infarction int, congestive_heart_failure int, "
+        "peripheral_vascular_disease int, lvef double, left_ventricular_end_diastolic_diameter_lv double, "
+        "mitral_valve_ems double, mitral_valve_ams double, ea double, tricuspid_valve_return_velocity double, "
+        "tricuspid_valve_return_pressure double, killip_grade int",
+    "patient_precriptions": "inpatient_number long, drug_name string",
+    "patienthistory": "inpatient_number long, cci_score double, diabetes int, cerebrovascular_disease int, "
+        "dementia int, chronic_obstructive_pulmonary_disease int, connective_tissue_disease int, "
+        "peptic_ulcer_disease int, moderate_to_severe_chronic_kidney_disease int, hemiplegia int, leukemia int, "
+        "malignant_lymphoma int, solid_tumor int, liver_disease int, aids int, type_ii_respiratory_failure string",
+    "responsivenes": "inpatient_number long, eye_opening int, verbal_response int, movement int, "
+                     "consciousness string, gcs int",
+}
+CRITICAL = {
+    "baseline": "patient_id long, inp_no string, age int, sex string, admitdept string, infectionsite string, "
+                "icu_discharge_time timestamp_ntz",
+    "nursingchart": "inp_no string, charttime timestamp_ntz, invasive_sbp double, "
+        "invasive_diastolic_blood_pressure double, heart_rate double, blood_sugar double, breathing double, "
+        "temperature double, blood_oxygen_saturation double, endotracheal_intubation_depth double, "
+        "oxygen_flow string, cpot_pain_score string, milk double, soft_food double, fruit_juice double, "
+        "soup double, urine_volume double, extubation boolean, breathing_pattern string, "
+        "left_pupil_size string, right_pupil_size string",
+    "transfer": "patient_id long, inp_no string, transferdept string, starttime timestamp_ntz, "
+                "stoptime timestamp_ntz, startreason string, stopreason string",
+    "drugs": "patient_id long, drugname string, drug_time timestamp_ntz, formula string",
+    "lab": "inp_no string, item string, labvalue string, reference string",
+    "icd": "patient_id long, inp_no string, icd_code string, icd_desc string, status_discharge string",
+    "outcome": "patient_id long, follow_vital string, follow_date timestamp_ntz, discharge_dept string, "
+        "sf36_generalhealth string, sf36_pain_bodypainpast4wk string, "
+        "sf36_activitylimit_vigorousactivity string, sf36_activitylimit_moderateactivity string, "
+        "sf36_emotional_happyperson string, sf36_oneyearcomparehealthcondition string",
+}
+
+
+def names(schema: str) -> list[str]:
+    return [part.split()[0] for part in schema.split(",")]
+
+
+def cardiac_rows() -> dict[str, list[dict]]:
+    rng = random.Random(11)
+
+    def some(value, missing=0.15):
+        return None if rng.random() < missing else value
+
+    flags = names(CARDIAC["patienthistory"])[2:-1]
+    drugs = ["Furosemide injection", "Digoxin tablet", "Enoxaparin injection", "Aspirin", "Exforge",
+             "hydrochlorothiazide tablet", "digoxin injection", "Isosorbide mononitrate sustained tablet"]
+    rows = {name: [] for name in CARDIAC}
+    for i in range(1, 61):
+        low = rng.choice([21, 31, 61, 71])
+        height = round(rng.uniform(1.5, 1.9), 2)
+        weight = some(float(rng.randint(45, 130)))
+        bmi = some(round(weight / height**2, 2) if weight and rng.random() < 0.8 else float(rng.randint(15, 55)))
+        rows["demography"].append(dict(
+            inpatient_number=i, gender=some(rng.choice(["Male", "Female"])), agecat=some(f"{low}-{low + 8}", 0.05),
+            bmi=bmi, weight=weight, height=height, occupation=some(rng.choice(["farmer", "Officer", "UrbanResident"])),
+            age=some(low + rng.randint(0, 8), 0.05)))
+        when = dt.datetime(2017, rng.choice([1, 2, 3, 4, 12]), rng.randint(1, 28), rng.randint(0, 23), 59)
+        rows["hospitalization_discharge"].append(dict(
+            inpatient_number=i, admission_date=when,
+            admission_ward=rng.choice(["Cardiology", "ICU", "GeneralWard", "Others"]),
+            admission_way=rng.choice(["Emergency", "NonEmergency"]),
+            outcome_during_hospitalization=rng.choice(["Alive", "Alive", "Dead", "DischargeAgainstOrder"]),
+            oxygen_inhalation=rng.choice(["OxygenTherapy", "None"]),
+            destinationdischarge=rng.choice(["Home", "HealthcareFacility", "Unknown"]),
+            dischargeday=rng.randint(0, 30), visit_times=rng.choice([0, 1, 1, 2, 3]),
+            re_admission_within_28_days=int(rng.random() < 0.2), re_admission_within_3_months=int(rng.random() < 0.3),
+            re_admission_within_6_months=int(rng.random() < 0.4), death_within_6_months=int(rng.random() < 0.1),
+            readmission_time_days_from_admission=some(float(rng.randint(5, 90)), 0.5)))
+        rows["labs"].append(dict(
+            inpatient_number=i, pulse=float(rng.randint(50, 120)), map_value=some(rng.choice([80.0, 95.5, 110.25, 120.0])),
+            respiration=float(rng.randint(15, 30)), monocyte_ratio=round(rng.random() / 10, 3),
+            white_blood_cell=rng.choice([2.5e9, 5.0e9, 2.9e9, 9.1e9]), d_dimer=some(round(rng.random() * 5, 2)),
+            myoglobin=some(float(rng.choice([10, 20, 30, 40, 50, 60, 70])))))
+        rows["cardiaccomplications"].append(dict(
+            inpatient_number=i, nyha_cardiac_function_classification=rng.choice([2, 3, 4]),
+            type_of_heart_failure=rng.choice(["Both", "Left", "Right"]), myocardial_infarction=rng.choice([0, 1]),
+            congestive_heart_failure=some(rng.choice([0, 1])), peripheral_vascular_disease=some(0),
+            lvef=some(rng.choice([25.0, 30.0, 39.0, 39.5, 45.0, 60.0])),
+            left_ventricular_end_diastolic_diameter_lv=some(rng.choice([36.0, 37.0, 56.0, 60.0, 65.0, 65.5])),
+            mitral_valve_ems=some(rng.choice([0.5, 0.6, 0.95, 1.5, 1.51])),
+            mitral_valve_ams=some(rng.choice([0.04, 0.05, 0.09, 0.1, 0.12])), ea=some(rng.choice([0.3, 0.4, 0.8, 0.9])),
+            tricuspid_valve_return_velocity=some(rng.choice([2.8, 2.85, 3.1, 3.2, 3.5])),
+            tricuspid_valve_return_pressure=some(rng.choice([25.0, 26.0, 50.0, 70.0, 71.0])),
+            killip_grade=some(rng.choice([1, 2, 3, 4]))))
+        for _ in range(rng.choice([1, 3, 18])):
+            rows["patient_precriptions"].append(dict(inpatient_number=i, drug_name=rng.choice(drugs)))
+        rows["patienthistory"].append(dict(
+            inpatient_number=i, cci_score=some(float(rng.randint(0, 4))),
+            **{f: some(int(rng.random() < 0.25)) for f in flags},
+            type_ii_respiratory_failure=rng.choice(["NonTypeII", "TypeII"])))
+        if i % 5:
+            rows["responsivenes"].append(dict(
+                inpatient_number=i, eye_opening=rng.randint(1, 4), verbal_response=rng.randint(1, 5),
+                movement=some(rng.randint(1, 6)),
+                consciousness=rng.choice(["Clear", "ResponsiveToSound", "ResponsiveToPain"]), gcs=rng.randint(3, 15)))
+    return rows
+
+
+def critical_rows() -> dict[str, list[dict]]:
+    rng = random.Random(23)
+
+    def some(value, missing=0.15):
+        return None if rng.random() < missing else value
+
+    depts = ["ICU", "Surgery", "Medical Specialties"]
+    start = dt.datetime(2019, 12, 1)
+    rows = {name: [] for name in CRITICAL}
+    year = ["1_Much better now than one year ago", "2_Somewhat better now than one year ago", "3_About the same",
+            "④比1年前差一些", "5_Much worse now than one year ago"]
+    for i in range(1, 41):
+        stay = str(9000 + i)
+        rows["baseline"].append(dict(
+            patient_id=i, inp_no=stay, age=rng.choice([25, 29, 35, 52, 61, 65, 67, 70, 88, 90, 91]),
+            sex=rng.choice(["Male", "Female"]), admitdept=rng.choice(depts),
+            infectionsite=rng.choice(["UTI", "Pneumonia", "Soft Tissue"]),
+            icu_discharge_time=some(start + dt.timedelta(hours=rng.randint(0, 9000)), 0.1)))
+        when = start + dt.timedelta(minutes=rng.randint(0, 3000))
+        for k in range(rng.choice([0, 2, 14, 30])):
+            when += dt.timedelta(hours=rng.choice([1, 8, 13, 24, 30]))
+            rows["nursingchart"].append(dict(
+                inp_no=stay, charttime=when, invasive_sbp=some(float(rng.choice([100, 110, 120, 121]))),
+                invasive_diastolic_blood_pressure=some(float(rng.choice([60, 70, 71]))),
+                heart_rate=some(float(rng.choice([0, 60, 70, 95, 180]))), blood_sugar=some(float(rng.randint(60, 190))),
+                breathing=float(rng.randint(10, 26)), temperature=some(rng.choice([36.5, 37.0, 38.2, 39.1])),
+                blood_oxygen_saturation=some(float(rng.randint(85, 100))),
+                endotracheal_intubation_depth=some(22.0, 0.7), oxygen_flow=some(rng.choice(["2", "3.5", "x"])),
+                cpot_pain_score=some(rng.choice(["0", "2"])), milk=some(200.0, 0.5), soft_food=some(100.0, 0.5),
+                fruit_juice=some(50.0, 0.6), soup=some(float(rng.randint(10, 90)), 0.5),
+                urine_volume=some(float(rng.choice([0, 100]))), extubation=some(rng.random() < 0.05, 0.3),
+                breathing_pattern=some(rng.choice(["SIMV", "CPAP"])), left_pupil_size=some(rng.choice(["2", "3.5", "-"])),
+                right_pupil_size=some(rng.choice(["2", "2.5"]))))
+        at = start + dt.timedelta(hours=rng.randint(0, 700))
+        for k in range(rng.choice([1, 2, 5])):
+            stop = at + dt.timedelta(hours=rng.choice([5, 24, 49, 24 * 29, 24 * 30, 24 * 31]))
+            rows["transfer"].append(dict(
+                patient_id=i, inp_no=stay, transferdept=rng.choice(depts), starttime=at, stoptime=some(stop, 0.05),
+                startreason="Admission" if k == 0 else rng.choice(["Transfer", "Patient pre discharge"]),
+                stopreason=rng.choice(["Patient pre discharge", "be hospitalized", "Disease change"])))
+            if rng.random() < 0.1:
+                rows["transfer"].append({**rows["transfer"][-1], "inp_no": stay + "x"})
+            at = stop
+        last = start + dt.timedelta(hours=rng.choice([4, 5, 28]), minutes=rng.choice([0, 0, 30]))
+        for k in range(rng.choice([0, 3, 13])):
+            rows["drugs"].append(dict(
+                patient_id=i, drugname=f"drug{rng.randint(1, 14)}" if rng.random() < 0.9 else "Xingnaojing Injection",
+                drug_time=last if rng.random() < 0.6 else last - dt.timedelta(hours=rng.randint(1, 40)), formula="po"))
+        for _ in range(3):
+            if rng.random() < 0.8:
+                rows["lab"].append(dict(
+                    inp_no=stay, item=rng.choice(["Sodium (NA)", "K"]),
+                    labvalue=some(rng.choice(["12", "140", "1.2.3", "<5", "", "151.5"])),
+                    reference=some(rng.choice(["137--147", "3.5～5.5", "negative", "137--"]))))
+        for _ in range(rng.choice([1, 2, 5])):
+            rows["icd"].append(dict(
+                patient_id=i, inp_no=stay, icd_code=rng.choice(["G93.812", "K85.9", "J18.0"]),
+                icd_desc=rng.choice(["hypoproteinemia", "pancreatitis", "encephalopathy", "flu"]),
+                status_discharge=rng.choice(["cure", "improve"])))
+        if i % 6:
+            rows["outcome"].append(dict(
+                patient_id=i, follow_vital=some(rng.choice(["Alive", "Alive", "Death"])),
+                follow_date=some(start + dt.timedelta(days=rng.randint(100, 700))), discharge_dept=rng.choice(depts),
+                sf36_generalhealth=some(rng.choice(["1_Excellent", "3_Good", "5_Poor"])),
+                sf36_pain_bodypainpast4wk=some(rng.choice(["1_None", "4_Moderate"])),
+                sf36_activitylimit_vigorousactivity=some(rng.choice(["1_limited a lot", "3_not limited at all"])),
+                sf36_activitylimit_moderateactivity=some(rng.choice(["1_limited a lot", "3_not limited at all"])),
+                sf36_emotional_happyperson=some(rng.choice(["1_All of the time", "2_Most of the time"])),
+                sf36_oneyearcomparehealthcondition=some(rng.choice(year))))
+    return rows
+
+
+def tables(spark, schemas: dict[str, str], rows: dict[str, list[dict]], folder: str) -> SimpleNamespace:
+    """The rows written to Parquet and opened as tables."""
+    out = SimpleNamespace()
+    for name, schema in schemas.items():
+        order = names(schema)
+        frame = spark.createDataFrame([tuple(r[c] for c in order) for r in rows[name]], schema)
+        frame.coalesce(1).write.mode("overwrite").parquet(f"{folder}/{name}.parquet")
+        setattr(out, name, spark.read.parquet(f"{folder}/{name}.parquet"))
+    return out

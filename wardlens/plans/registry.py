@@ -10,13 +10,16 @@ from wardlens.sources.tables import load
 
 
 class Tables:
-    """The tables of one folder as attributes, scanned on use."""
+    """The tables of one folder as attributes, opened on first use."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return load(self.spark, self.folder, name)
+        if name.startswith("_"):
+            raise AttributeError(name)
+        table = self.__dict__[name] = load(self.spark, self.folder, name)
+        return table
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
