@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wardlens.functions.numbers import guarded_ratio, percent, whole_quotient
+from wardlens.functions.numbers import guarded_ratio, percent, round_half_up, whole_quotient
 from wardlens.operators.percentiles import percentiles
 from wardlens.operators.sequences import along
 
@@ -51,6 +51,16 @@ def group_rate(
     )
 
 
+def exact_mean(column: Column, digits: int, scale: int = 2) -> Column:
+    """Mean of amounts with ``scale`` decimals, rounded; the same for any order of addition.
+
+    A sum of doubles depends on the order in which tasks finish, which shows
+    where the mean lies on the edge between two roundings.
+    """
+    exact = column.cast(f"decimal(18,{scale})")
+    return round_half_up(F.try_divide(F.sum(exact).cast("double"), F.count(exact)), digits)
+
+
 def count_ratio(top: Column, bottom: Column) -> Column:
     """Rows satisfying one condition per row satisfying another; NULL for none."""
     return guarded_ratio(count_where(top), count_where(bottom))

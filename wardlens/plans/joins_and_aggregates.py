@@ -639,9 +639,10 @@ def least_frequent(t: Tables):
     f"""SELECT c_custkey, {rounded("mean_price", 4)} AS mean_price, coalesce(n_orders, 0) AS n_orders,
                {rounded("mean_value", 4)} AS mean_value, high_value, coalesce(n_events, 0) AS n_events
         FROM customer
-        LEFT JOIN (SELECT o_custkey, avg(o_totalprice) AS mean_price, count(*) AS n_orders
+        LEFT JOIN (SELECT o_custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*)
+                            AS mean_price, count(*) AS n_orders
                    FROM orders GROUP BY 1) ON o_custkey = c_custkey
-        LEFT JOIN (SELECT user_id, avg(value) AS mean_value, max(value) AS high_value,
+        LEFT JOIN (SELECT user_id, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS mean_value, max(value) AS high_value,
                           count(*) AS n_events FROM events GROUP BY 1) ON user_id = c_custkey""",
 )
 def entity_summary(t: Tables):
@@ -652,11 +653,11 @@ def entity_summary(t: Tables):
         ["c_custkey"],
         [
             (orders, {
-                "mean_price": numbers.round_half_up(F.avg("o_totalprice"), 4),
+                "mean_price": aggregates.exact_mean(F.col("o_totalprice"), 4),
                 "n_orders": F.count(F.lit(1)),
             }),
             (events, {
-                "mean_value": numbers.round_half_up(F.avg("value"), 4),
+                "mean_value": aggregates.exact_mean(F.col("value"), 4),
                 "high_value": F.max("value"),
                 "n_events": F.count(F.lit(1)),
             }),
