@@ -184,3 +184,44 @@ def test_draws_repeat_and_stay_in_range(spark):
     z = df.select(sampling.normal_draw(F.lit(50.0), 3.0, F.col("id"), "n").alias("z"))
     mean, sd = z.agg(F.avg("z"), F.stddev("z")).first()
     assert abs(mean - 50) < 0.3 and abs(sd - 3) < 0.2
+
+
+def test_durations_do_not_depend_on_the_session_time_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    df = spark.createDataFrame([("2021-03-28 00:30:00", "2021-03-28 04:30:00.25")], "a string, b string")
+    df = df.select(F.col("a").cast("timestamp_ntz").alias("a"), F.col("b").cast("timestamp_ntz").alias("b"))
+    seen = set()
+    try:
+        for name in ("UTC", "Europe/Berlin", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            row = df.select(
+                dates.micros(F.col("b")).alias("m"), dates.hours_between(F.col("a"), F.col("b")).alias("h"),
+                dates.month_start(F.col("a")).alias("s"), dates.seconds_of_day(F.col("b")).alias("d"),
+            ).first()
+            seen.add(tuple(row))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    micros = int(dt.datetime(2021, 3, 28, 4, 30, 0, 250000, dt.timezone.utc).timestamp() * 1e6)
+    assert seen == {(micros, 4 + 0.25 / 3600, dt.datetime(2021, 3, 1), 16200.25)}
+
+
+def test_sketches_stay_near_the_exact_numbers(spark):
+    from wardlens.operators.percentiles import approximate_percentiles
+
+    df = spark.range(20000).withColumn("g", F.col("id") % 2)
+    near = df.groupBy("g").agg(aggregates.distinct_count("id", 0.02).alias("n")).collect()
+    assert all(abs(r["n"] - 10000) < 1000 for r in near)
+    half = approximate_percentiles(df, ["g"], "id", {"m": 0.5}).collect()
+    assert all(abs(r["m"] - 10000) < 50 for r in half)
+
+
+def test_set_operations_drop_copies(spark):
+    from wardlens.operators import setops
+
+    left = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (None, "c")], "k int, v string")
+    right = spark.createDataFrame([("a", 1), ("a", 1), ("c", None)], "v string, k int")
+    assert sorted(map(repr, setops.intersect(left, right).select("k", "v").collect())) == [
+        "Row(k=1, v='a')", "Row(k=None, v='c')"]
+    assert [tuple(r) for r in setops.minus(left, right).select("k", "v").collect()] == [(2, "b")]
+    assert setops.union_all(left, right).count() == 7
+    assert setops.union_distinct(left, right).count() == 3

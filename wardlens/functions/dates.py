@@ -4,14 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+DAY_MICROS = 86_400_000_000
+
 # Names of the days from Sunday, and the seasons' months.
 WEEKDAYS = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
 SEASONS = {"Winter": (12, 1, 2), "Spring": (3, 4, 5), "Summer": (6, 7, 8), "Fall": (9, 10, 11)}
 
 
 def micros(ts: Column) -> Column:
-    """Microseconds since 1970 (session time zone UTC)."""
-    return F.unix_micros(ts.cast("timestamp"))
+    """Wall-clock microseconds since 1970, whatever the session's time zone."""
+    return F.unix_date(F.to_date(ts)).cast("bigint") * F.lit(DAY_MICROS) + micros_of_day(ts)
+
+
+def micros_of_day(ts: Column) -> Column:
+    """Microseconds since midnight."""
+    minutes = F.hour(ts) * 60 + F.minute(ts)
+    seconds = F.extract(F.lit("SECOND"), ts) * F.lit(1_000_000)
+    return minutes.cast("bigint") * F.lit(60_000_000) + seconds.cast("bigint")
 
 
 def epoch_seconds(ts: Column) -> Column:
@@ -29,7 +38,7 @@ def days_between(start: Column, stop: Column) -> Column:
 
 def whole_days_between(start: Column, stop: Column) -> Column:
     """Full 24-hour days, cut towards zero."""
-    return F.call_function("div", micros(stop) - micros(start), F.lit(86400000000))
+    return F.call_function("div", micros(stop) - micros(start), F.lit(DAY_MICROS))
 
 
 def calendar_days_between(start: Column, stop: Column) -> Column:
@@ -52,7 +61,7 @@ def month_start(ts: Column) -> Column:
 
 def seconds_of_day(ts: Column) -> Column:
     """Seconds since midnight with their fraction."""
-    return F.pmod(micros(ts), F.lit(86400000000)) / F.lit(1000000.0)
+    return micros_of_day(ts) / F.lit(1000000.0)
 
 
 def within_time_of_day(ts: Column, start: str, stop: str) -> Column:

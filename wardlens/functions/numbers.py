@@ -103,21 +103,28 @@ def plain_number(text: Column) -> Column:
 def outside_range(value: Column, reference: Column, separators: Sequence[str]) -> Column:
     """Does text ``value`` lie outside a textual range ``low<sep>high``?
 
-    False where the value or either limit is not a plain unsigned number.  The
-    cut limits are bound to a lambda variable, because a filter would otherwise
-    repeat the cut for every use of them.
+    False where the value or either limit is not a plain unsigned number.  Texts
+    and cut limits are bound to lambda variables, because a filter evaluates an
+    expression again at every place it is used.
     """
-    cut = F.lit(None)
-    for sep in separators:
-        low = F.substring_index(reference, sep, 1)
-        high = F.substring_index(reference, sep, -1)
-        whole = F.char_length(low) + F.char_length(high) + len(sep) == F.char_length(reference)
-        limits = F.struct(plain_number(low).alias("low"), plain_number(high).alias("high"))
-        cut = F.when(F.contains(reference, F.lit(sep)) & whole, limits).otherwise(cut)
-    bound = F.array(F.struct(plain_number(value).alias("found"), cut.alias("cut")))
-    return F.exists(
-        bound,
-        lambda b: b["cut"]["low"].isNotNull()
-        & b["cut"]["high"].isNotNull()
-        & ((b["found"] < b["cut"]["low"]) | (b["found"] > b["cut"]["high"])),
-    )
+
+    def cut(text: Column) -> Column:
+        limits = F.lit(None)
+        for sep in separators:
+            low = F.substring_index(text, sep, 1)
+            high = F.substring_index(text, sep, -1)
+            whole = F.char_length(low) + F.char_length(high) + len(sep) == F.char_length(text)
+            both = F.struct(plain_number(low).alias("low"), plain_number(high).alias("high"))
+            limits = F.when(F.contains(text, F.lit(sep)) & whole, both).otherwise(limits)
+        return limits
+
+    def parsed(row: Column) -> Column:
+        return F.struct(plain_number(row["value"]).alias("found"), cut(row["reference"]).alias("cut"))
+
+    def outside(row: Column) -> Column:
+        low, high = row["cut"]["low"], row["cut"]["high"]
+        beyond = (row["found"] < low) | (row["found"] > high)
+        return low.isNotNull() & high.isNotNull() & beyond
+
+    texts = F.array(F.struct(value.alias("value"), reference.alias("reference")))
+    return F.exists(F.transform(texts, parsed), outside)

@@ -35,6 +35,13 @@ def count_where(condition: Column) -> Column:
     return F.count(F.when(condition, F.lit(1)))
 
 
+def distinct_count(column: Column | str, relative_error: float | None = None) -> Column:
+    """Number of distinct values, exact or as a sketch with the given relative error."""
+    if relative_error is None:
+        return F.count_distinct(column)
+    return F.approx_count_distinct(column, relative_error)
+
+
 def rate_where(condition: Column, digits: int = 2) -> Column:
     """Percentage of a group's rows for which the condition is true."""
     return percent(count_where(condition), F.count(F.lit(1)), digits)

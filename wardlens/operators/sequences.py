@@ -47,12 +47,12 @@ def placed_in_ranges(df: DataFrame, *order: Column | str) -> DataFrame:
     """Range-sort all rows over the cluster and fix each row's range and place in it.
 
     Adds ``_seq_range`` and ``_seq_within`` (from 0) and stages the result, so
-    ranges stay what they are whatever is recomputed later.
+    ranges stay what they are whatever is recomputed later.  AQE joins small
+    neighbouring ranges, which keeps their order.
     """
-    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     place = F.monotonically_increasing_id()
     placed = (
-        df.repartitionByRange(ranges, *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_seq_place", place)
     )
@@ -68,8 +68,8 @@ def placed_in_ranges(df: DataFrame, *order: Column | str) -> DataFrame:
 def add_range_starts(placed: DataFrame, **totals: Column) -> DataFrame:
     """Add to each row what the aggregates sum to over all earlier ranges.
 
-    One row per range is summed up and broadcast; the number of ranges is the
-    session's number of shuffle partitions.
+    One row per range is summed up and broadcast; there are no more ranges than
+    the session has shuffle partitions.
     """
     sizes = placed.groupBy("_seq_range").agg(*[c.alias(n) for n, c in totals.items()])
     before = Window.orderBy("_seq_range").rowsBetween(Window.unboundedPreceding, -1)

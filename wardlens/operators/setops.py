@@ -14,8 +14,10 @@ def union_all(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def intersect(left: DataFrame, right: DataFrame) -> DataFrame:
-    return left.select(*right.columns).intersect(right)
+    """Distinct rows on both sides; copies are dropped before the shuffle of the join."""
+    return left.select(*right.columns).distinct().intersect(right.distinct())
 
 
 def minus(left: DataFrame, right: DataFrame) -> DataFrame:
-    return left.select(*right.columns).subtract(right)
+    """Distinct rows of the left side that the right side lacks."""
+    return left.select(*right.columns).distinct().subtract(right.distinct())

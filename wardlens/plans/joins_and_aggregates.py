@@ -197,7 +197,9 @@ def agg_count(t: Tables):
     "SELECT l_returnflag, count(DISTINCT l_orderkey) AS n_orders FROM lineitem GROUP BY 1",
 )
 def agg_count_distinct(t: Tables):
-    return t.lineitem.groupBy("l_returnflag").agg(F.count_distinct("l_orderkey").alias("n_orders"))
+    return t.lineitem.groupBy("l_returnflag").agg(
+        aggregates.distinct_count("l_orderkey").alias("n_orders")
+    )
 
 
 @query(
