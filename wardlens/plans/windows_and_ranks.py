@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wardlens.functions import dates, numbers
-from wardlens.operators import ranking, sampling, windows
+from wardlens.operators import filters, ranking, sampling, windows
 from wardlens.plans.registry import Tables, query, rounded
 
 
@@ -243,10 +243,8 @@ def prev_next_period(t: Tables):
        FROM d""",
 )
 def active_day_gap(t: Tables):
-    from wardlens.operators.filters import date_range
-
     march = t.orders.filter(
-        date_range("o_orderdate", "1996-03-01", "1996-04-01")
+        filters.date_range("o_orderdate", "1996-03-01", "1996-04-01")
         & (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "F")
     )
     days = windows.period_counts(march, F.to_date("o_orderdate"), "day")
