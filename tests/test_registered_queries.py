@@ -4,8 +4,9 @@ import pytest
 
 import __spark_entry__ as driver
 from compare import connect, difference
+from wardlens.plans import catalog
 
-QUERIES, CHECKS = driver.queries(), driver.oracle_sql()
+QUERIES, CHECKS = catalog.queries(), catalog.checks()
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +16,8 @@ def con(folder):
 
 def test_every_query_has_a_check():
     assert set(QUERIES) == set(CHECKS)
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(CHECKS) <= set(driver.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
