@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: A word: a run of bytes without ASCII white space.  ``bytes.split()`` cuts at the same bytes.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -14,6 +19,23 @@ WORD = r"[^\x20\x09-\x0D]+"
 SLICES = 512
 
 
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this library to the executors' Python, as ``--py-files`` would, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="code-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, path.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def text_bytes(name: str) -> Column:
     """A text column as UTF-8 bytes; NULL is the empty text."""
     return F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary")
@@ -24,14 +46,16 @@ def word_count(name: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(name).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def arrow_schema(ddl: str) -> pa.Schema:
+    """The Arrow schema of a Spark one; for the driver, as parsing it needs a session."""
+    return to_arrow_schema(StructType.fromDDL(ddl))
+
+
 def map_batches(
     df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, object] | None], schema: str
 ) -> DataFrame:
     """Apply ``fn`` to each Arrow batch; it returns the columns of the result, or None for no rows."""
-    from pyspark.sql.types import _parse_datatype_string
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    target = to_arrow_schema(_parse_datatype_string(schema))
+    target = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -53,17 +77,20 @@ def placed_in_keys(
     rank: str,
     weight: str | None = None,
     start: str | None = None,
-    slices: int = SLICES,
+    slice_by: Column | None = None,
 ) -> DataFrame:
     """Number each key's rows from 0 in a shuffled order, without gathering a key in one task.
 
     A row's slice comes from a hash of ``order``; rows are numbered within (key, slice), and each
-    slice starts after the rows of the slices before it.  ``order`` should identify a row: rows
-    equal in it may swap numbers.  With ``weight`` (a long column without NULLs) ``start`` is the
+    slice starts after the rows of the slices before it.  With ``slice_by``, a prefix of ``order``
+    that takes some hundreds of values or more, the numbers follow ``order`` as a whole.
+    ``order`` should identify a row: rows equal in it may swap numbers.  With ``weight`` (a long column without NULLs) ``start`` is the
     running total of it before the row.  NULL keys are a key like any other.
     """
     spots = [F.col(k) for k in keys]
-    sliced = df.withColumn("_slice", F.pmod(F.xxhash64(*order, F.lit(7)), F.lit(slices)).cast("int"))
+    if slice_by is None:
+        slice_by = F.pmod(F.xxhash64(*order, F.lit(7)), F.lit(SLICES)).cast("int")
+    sliced = df.withColumn("_slice", slice_by)
     size = F.col(weight) if weight else F.lit(0)
     totals = sliced.groupBy(*keys, "_slice").agg(
         F.count("*").alias("_rows"), F.sum(size).cast("long").alias("_sum")

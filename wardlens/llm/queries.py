@@ -7,10 +7,93 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardlens.llm import packing, quality
+from wardlens.llm import embeddings, mixing, packing, pages, ppm, quality, sharding, simhash, spans, warc
+from wardlens.llm.common import ship_code
+from wardlens.sources.staging import staging_path
 from wardlens.sources.tables import load
 
 
+def op1_partial_matching(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load(spark, folder, "documents")
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return ppm.score_texts(docs, held, ppm.file_chunks())
+
+
+def op2_golden_schedule(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.taken(*mixing.mix(load(spark, folder, "documents")))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+OP2_SQL = """
+WITH sized AS (
+  SELECT doc_id, source,
+         len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+         md5(concat_ws('|', coalesce(doc_id::VARCHAR, ''), coalesce(source, ''), coalesce(text, ''))) AS key
+  FROM documents
+), sums AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         1 + (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 AS weight
+  FROM sized GROUP BY source
+), levels AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER (
+               ORDER BY 3 * source_size / weight, source NULLS LAST
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(weight) OVER (ORDER BY 3 * source_size / weight, source NULLS LAST
+               ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM sums
+), wanted AS (
+  SELECT source, source_size, least(3.0 * source_size, max(level) OVER () * weight)::DOUBLE AS target
+  FROM levels
+), placed AS (
+  SELECT *, (sum(size) OVER (PARTITION BY source ORDER BY key ROWS UNBOUNDED PRECEDING) - size) AS start
+  FROM sized
+)
+SELECT doc_id, size, source_size, target,
+       list_sum(list_transform([0, 1, 2], lambda p: greatest(0,
+         least(p * source_size + start + size, floor(target + 0.5)) - (p * source_size + start))))::BIGINT AS taken
+FROM placed JOIN wanted ON placed.source IS NOT DISTINCT FROM wanted.source
+"""
+
+
+def op3_label_propagation(spark: SparkSession, folder: str) -> DataFrame:
+    shards = sharding.shard_documents(load(spark, folder, "documents"), shards=24)
+    return shards.withColumn("grown_shard", F.lit(None).cast("int"))
+
+
+def op4_segment_reassembly(spark: SparkSession, folder: str) -> DataFrame:
+    archives = staging_path(spark, "archives")
+    warc.write_archives(load(spark, folder, "pages"), archives)
+    return warc.read_archives(spark, archives).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+OP4_SQL = """
+WITH marked AS (
+  SELECT page_id, coalesce(html, '') AS payload,
+         min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+  FROM pages
+), revisits AS (
+  SELECT *, CASE WHEN strlen(payload) >= 100 AND first IS NOT NULL AND page_id IS DISTINCT FROM first
+            THEN first END AS refers_to
+  FROM marked
+)
+SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, sha256(payload) AS payload_digest,
+       CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
+FROM revisits
+"""
+
+
+def op5_sentence_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return spans.remove_repeats(load(spark, folder, "documents")).select(
+        "doc_id", F.size("removed_sentences").cast("long").alias("n_removed"), "removed_sentences", "text"
+    )
+
+
+def op6_trie_join(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(load(spark, folder, "documents"), simhash.FOUR_BITS)
+
+
 def op7_compression_bands(spark: SparkSession, folder: str) -> DataFrame:
     return quality.measure(load(spark, folder, "documents"))
 
@@ -25,9 +108,36 @@ def op8_histogram_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(digests)
 
 
+def op9_page_differencing(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extract(load(spark, folder, "pages"))
+
+
+def op10_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.linked_vectors(load(spark, folder, "embeddings"), threshold=0.93)
+
+
+def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ship_code(spark)
+        return query(spark, folder)
+
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op7_compression_bands": op7_compression_bands,
-    "op8_histogram_packing": op8_histogram_packing,
+    fn.__name__: _shipped(fn)
+    for fn in (
+        op1_partial_matching,
+        op2_golden_schedule,
+        op3_label_propagation,
+        op4_segment_reassembly,
+        op5_sentence_runs,
+        op6_trie_join,
+        op7_compression_bands,
+        op8_histogram_packing,
+        op9_page_differencing,
+        op10_multi_index,
+    )
 }
 
-CHECKS: dict[str, str] = {}
+CHECKS: dict[str, str] = {"op2_golden_schedule": OP2_SQL, "op4_segment_reassembly": OP4_SQL}
