@@ -1,0 +1,41 @@
+import os
+
+import pytest
+
+from wardlens.llm.common import ship_code
+
+
+@pytest.fixture(scope="session", autouse=True)
+def code(spark):
+    ship_code(spark)
+
+
+@pytest.fixture(scope="session")
+def tables(spark, folder):
+    return lambda name: spark.read.parquet(os.path.join(folder, f"{name}.parquet"))
+
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="session")
+def odd_docs(spark):
+    """NULLs in every column, empty and long texts, repeated rows and ids, clashing names."""
+    long_text = " ".join(f"word{i % 9973} and{i % 31}." for i in range(60_000))
+    rows = [
+        (1, None, "en", "a", None),
+        (2, "", "en", "a", 0),
+        (3, " \n\t ", None, None, 4),
+        (None, "One text without an id. It has two sentences.", "en", "b", 45),
+        (None, None, None, None, None),
+        (4, long_text, "en", "b", len(long_text)),
+        (5, "The same text twice. The same text twice here.", "en", "a", 46),
+        (5, "The same text twice. The same text twice here.", "en", "a", 46),
+        (6, "The same text twice. The same text twice here.", "en", "c", 46),
+        (6, "Another text under an id that is taken already.", "en", "c", 47),
+        (7, "déjà vu – 漢字 <|endoftext|>  x  y\r\n z", "fr", "ü", 30),
+    ]
+    docs = spark.createDataFrame(rows, DOCS)
+    for name in ("_row", "kept", "size", "rank", "n_words", "removed_sentences", "hub", "node", "vec"):
+        docs = docs.withColumn(name, docs.lang)
+    return docs

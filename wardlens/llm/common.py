@@ -46,6 +46,13 @@ def word_count(name: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(name).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that the table does not have."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def arrow_schema(ddl: str) -> pa.Schema:
     """The Arrow schema of a Spark one; for the driver, as parsing it needs a session."""
     return to_arrow_schema(StructType.fromDDL(ddl))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from wardlens.llm.common import placed_in_keys, word_count
+from wardlens.llm.common import placed_in_keys, unused, word_count
 from wardlens.sources.staging import stage
 
 GOLDEN = (math.sqrt(5) - 1) / 2
@@ -176,6 +176,7 @@ def mixed(
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     named = F.coalesce(F.col(source_col).cast("string"), F.lit(""))
     key = F.md5(F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.lit("")), named, text))
-    marked = docs.withColumn("_key", key)
-    chosen = marked.join(times, F.col("_key") == F.col("_k")).dropDuplicates(["_key"])
-    return chosen.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    mark, found, number, copy = (unused(docs, n) for n in ("_key", "_k", "_times", "_copy"))
+    times = times.select(F.col("_k").alias(found), F.col("_times").alias(number))
+    chosen = docs.withColumn(mark, key).join(times, F.col(mark) == F.col(found)).dropDuplicates([mark])
+    return chosen.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(number)))).select(*docs.columns)

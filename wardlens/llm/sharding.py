@@ -46,36 +46,47 @@ def _loads(placed: DataFrame, shards: int) -> list[int]:
 
 
 def _propagate(
-    state: DataFrame, links: DataFrame, others: list[int], shards: int, level: float, turn: int
+    state: DataFrame, links: DataFrame, shards: int, level: float, turn: int
 ) -> DataFrame:
     """One round: every row may move to the shard that holds most of its neighbours.
 
     Neighbours are counted per hub and shard before they reach the rows, so a hub costs ``shards``
-    numbers whatever its size.  Of two equal shards the one that the hub's hash prefers wins, so
-    two neighbours don't change places.  A shard takes no more than its room below ``level``:
+    numbers whatever its size.  Of two equal shards one with room wins, then the one that the hub's
+    hash prefers, so two neighbours don't change places.  Neighbours that need several shards by their bytes gather
+    in as many, those that hold most of them.  A shard takes no more than its room below ``level``:
     moves are weighed by doublings of their gain in a histogram, the driver gives each shard's
     room to the largest first, and within a class running sums of bytes tell which moves fit.
     """
+    full = [load >= 0.97 * level for load in _loads(state, shards)]
     here = links.join(state, "node")
     tally = [F.count_if(F.col("shard") == s).alias(f"n{s}") for s in range(shards)]
-    votes = here.join(here.groupBy("hub").agg(*tally), "hub")
+    votes = here.join(here.groupBy("hub").agg(F.sum("size").alias("bytes"), *tally), "hub")
     names = [f"n{s}" for s in range(shards)]
     summed = votes.groupBy("node", "size", "shard").agg(
-        F.min("hub").alias("hub"), F.count("*").alias("hubs"), *(F.sum(n).alias(n) for n in names)
+        F.min("hub").alias("hub"), F.count("*").alias("hubs"), F.sum("bytes").alias("bytes"), *(F.sum(n).alias(n) for n in names)
     )
-    best = F.array_max(F.array(*(
-        F.struct(F.col(n).alias("n"), F.xxhash64("hub", F.lit(s)).alias("p"), F.lit(s).alias("s"))
+    ranked = F.sort_array(F.array(*(
+        F.struct(
+            (2 * F.col(n) - int(full[s])).alias("rank"), F.xxhash64("hub", F.lit(s)).alias("p"),
+            F.lit(s).alias("s"), F.col(n).alias("n"),
+        )
         for s, n in enumerate(names)
-    )))
+    )), asc=False)
+    needed = F.least(F.ceil(F.col("bytes") / (0.95 * level)), F.lit(shards)).cast("int")
     own = F.get(F.array(*names), F.col("shard"))
-    wish = summed.select("node", "size", "shard", own.alias("own"), "hubs", best.alias("best"))
-    moves = F.col("best.s") != F.col("shard")
+    wish = summed.select(
+        "node", "size", "shard", own.alias("own"), "hubs", F.slice(ranked, F.lit(1), F.greatest(needed, F.lit(1))).alias("best")
+    )
+    there = F.array_contains(F.transform("best", lambda b: b["s"]), F.col("shard"))
+    pick = F.get("best", F.pmod(F.xxhash64("node"), F.size("best")).cast("int"))
+    wish = wish.select("node", "size", "shard", "own", "hubs", there.alias("there"), pick.alias("best"))
+    moves = ~F.col("there")
     gain = F.floor(F.log2(F.greatest(F.col("best.n") - F.col("own") + F.col("hubs"), F.lit(1)))).cast("int")
     wish = stage(
         wish.select("node", "size", "shard", F.when(moves, F.col("best.s")).alias("to"), gain.alias("gain")),
         "wishes",
     )
-    loads = [a + b for a, b in zip(others, _loads(wish, shards))]
+    loads = _loads(wish, shards)
     histogram = wish.filter("to IS NOT NULL").groupBy("to", "gain").agg(F.sum("size").alias("size")).collect()
     room: dict[tuple[int, int], float] = {}
     for s in range(shards):
@@ -101,14 +112,14 @@ def _propagate(
     return stage(stay.union(moved), "shards")
 
 
-def balanced_shards(rows: DataFrame, links: DataFrame, shards: int, rounds: int = 4) -> DataFrame:
+def balanced_shards(rows: DataFrame, links: DataFrame, shards: int, rounds: int = 5) -> DataFrame:
     """A shard for every row: ``node``, ``size``, ``shard``; bytes per shard nearly equal.
 
     ``rows`` has a unique long ``node`` and a long ``size``; ``links`` has ``node`` and a long
-    ``hub``: rows with a hub in common are neighbours (one row per node and hub).  Large rows are
-    dealt in order of size, then linked rows move towards their neighbours under quotas, and the
-    smallest rows, unlinked ones first, fill all shards to one level.  Neighbours that exceed a
-    shard together are cut.  The driver sees sums per shard and per size class only.
+    ``hub``: rows with a hub in common are neighbours (one row per node and hub).  Linked rows are
+    dealt in order of size and move towards their neighbours under quotas; the others then fill
+    the shards to one level, the smallest rows last, unlinked ones first among them.  Neighbours
+    that exceed a shard together are cut.  The driver sees sums per shard and per size class only.
     """
     hubs = links.groupBy("hub").agg(F.count("*").alias("_n")).filter("_n > 1").select("hub")
     shared = stage(links.join(hubs, "hub").select("node", "hub"), "links")
@@ -133,24 +144,20 @@ def balanced_shards(rows: DataFrame, links: DataFrame, shards: int, rounds: int
         [(k, c, t) for (k, c), t in tail.items()], "linked boolean, class int, tail int"
     )
     parted = stage(classed.join(F.broadcast(named), ["linked", "class"]), "parted")
-    first = _by_size(parted.filter("tail = 0"), False)
+    first = _by_size(parted.filter("linked AND tail = 0"), False)
     lap = F.expr(f"rank div {shards}") % 2
     at = (F.col("rank") % shards).cast("int")
-    dealt = stage(
-        first.select("node", "size", "linked", F.when(lap == 0, at).otherwise(shards - 1 - at).alias("shard")),
-        "dealt",
+    state = stage(
+        first.select("node", "size", F.when(lap == 0, at).otherwise(shards - 1 - at).alias("shard")), "dealt"
     )
-    fixed = dealt.filter("NOT linked").select("node", "size", "shard")
-    state = dealt.filter("linked").select("node", "size", "shard")
-    others = _loads(fixed, shards)
     inner = stage(shared.join(state.select("node"), "node", "left_semi"), "links")
     for turn in range(rounds):
-        state = _propagate(state, inner, others, shards, 0.98 * total / shards, turn)
-    placed = fixed.union(state)
-    loads = _loads(placed, shards)
-    for number in range(1, len(TAILS) + 1):
-        part = parted.filter(F.col("tail") == number)
-        weight = sum(size for k, c, size in classes if tail[k, c] == number)
+        state = _propagate(state, inner, shards, 0.98 * total / shards, turn)
+    placed, loads = state, _loads(state, shards)
+    for number in range(len(TAILS) + 1):
+        # Linked rows that are not in a tail are placed already.
+        part = parted.filter((F.col("tail") == number) & ((F.col("tail") > 0) | ~F.col("linked")))
+        weight = sum(size for k, c, size in classes if tail[k, c] == number and (number or not k))
         edges, edge = [], 0.0
         for share in _levels(loads, weight):
             edge += share
@@ -166,7 +173,7 @@ def balanced_shards(rows: DataFrame, links: DataFrame, shards: int, rounds: int
 
 
 def shard_documents(
-    docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text", rounds: int = 4
+    docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text", rounds: int = 5
 ) -> DataFrame:
     """Documents in shards of nearly equal bytes, equal texts together where they fit.
 

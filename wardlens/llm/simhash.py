@@ -11,7 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wardlens.llm.common import map_batches, text_bytes
+from wardlens.llm.common import map_batches, text_bytes, unused
 from wardlens.llm.components import SpanningForest, components
 from wardlens.sources.staging import stage
 
@@ -279,25 +279,26 @@ def links(prints: DataFrame, rule: Rule) -> DataFrame:
 
 def classes(
     docs: DataFrame, rule: Rule, id_col: str, text_col: str, *more: Column
-) -> tuple[DataFrame, DataFrame]:
-    """The fingerprint of every row, and the class of every distinct fingerprint.
+) -> DataFrame:
+    """The id, ``more`` columns and ``fingerprint`` of every row, with its class.
 
-    The first table has the id, ``more`` columns and ``fingerprint``, the second ``print`` and ``component``: the
-    smallest id of the class, NULL if it has none.
+    ``class`` is the same for all rows of a class, ``component`` is the smallest id in it, NULL
+    if it has none.
     """
-    staged = stage(fingerprints(docs, rule, id_col, text_col, *more), "fingerprints")
-    # One node per distinct fingerprint, its smallest id; copies are counted away before the
-    # shuffle.  Fingerprints without an id get a number beyond all ids.
-    beyond = F.lit(1 << 62) + F.xxhash64("fingerprint").bitwiseAND(F.lit((1 << 62) - 1))
-    node = F.coalesce(F.min(F.col(id_col).cast("long")), beyond)
-    distinct = stage(staged.groupBy("fingerprint").agg(node.alias("node")), "distinct")
+    rows = stage(fingerprints(docs, rule, id_col, text_col, *more), "fingerprints")
+    # One node per distinct fingerprint; copies are counted away before the shuffle.
+    distinct = stage(
+        rows.groupBy("fingerprint").agg(F.min(id_col).alias("least"))
+        .withColumn("node", F.monotonically_increasing_id()),
+        "distinct",
+    )
     reached = components(links(distinct, rule)).withColumnRenamed("node", "_n")
-    least = F.coalesce("component", "node")
-    found = distinct.join(reached, F.col("node") == F.col("_n"), "left").select(
-        F.col("fingerprint").alias("print"),
-        F.when(least < F.lit(1 << 62), least).alias("component"),
+    classed = distinct.join(reached, F.col("node") == F.col("_n"), "left").select(
+        "fingerprint", "least", F.coalesce("component", "node").alias("class")
     )
-    return staged, found
+    least = classed.groupBy("class").agg(F.min("least").alias("component"))
+    found = classed.join(least, "class").select(F.col("fingerprint").alias("_print"), "class", "component")
+    return rows.join(found, F.col("fingerprint") == F.col("_print")).drop("_print")
 
 
 def near_duplicates(
@@ -305,14 +306,13 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per document: the id, ``fingerprint`` (hex) and ``component_id``.
 
-    ``component_id`` is the smallest id reachable over links, the row's own included.  Ids are
-    longs below 2^62; rows that share one are one document.  NULL or empty texts have the
-    fingerprint zero, linked like any other; so are equal texts and repeated rows.  A row with a
-    NULL id is returned with its class, NULL if that has no id.  Other columns are not read.  An
-    empty table gives no rows.
+    ``component_id`` is the smallest id reachable over links, the row's own included.  NULL or
+    empty texts have the fingerprint zero, linked like any other; so are equal texts and repeated
+    rows.  Rows that share an id are classed each by its own text.  A row with a NULL id is
+    returned with its class, NULL if that has no id.  Other columns are not read.  An empty table
+    gives no rows.
     """
-    staged, found = classes(docs, rule, id_col, text_col)
-    return staged.join(found, F.col("fingerprint") == F.col("print")).select(
+    return classes(docs, rule, id_col, text_col).select(
         id_col,
         F.lower(F.hex("fingerprint")).alias("fingerprint"),
         F.col("component").alias("component_id"),
@@ -327,15 +327,14 @@ def keep_one(
     A class without ids keeps a row too.  Which of several rows with one id stays is decided by
     their content, so reruns agree; of repeated rows one stays.
     """
-    content = F.xxhash64(*docs.columns)
-    staged, found = classes(docs, rule, id_col, text_col, content.alias("_row"))
-    classed = staged.join(found, F.col("fingerprint") == F.col("print"))
-    # Classes without an id have only their fingerprint in common.
-    label = F.coalesce(F.col("component"), F.xxhash64("print"))
-    first = F.min(F.struct(F.col(id_col).isNull(), F.col(id_col).alias("i"), F.col("_row").alias("r")))
-    keepers = classed.groupBy(F.col("component").isNull(), label).agg(first.alias("k"))
-    keepers = keepers.select(F.col("k.i").alias("_id"), F.col("k.r").alias("_kept"))
-    marked = docs.withColumn("_row", content)
-    same = marked[id_col].eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_kept"))
-    chosen = marked.join(keepers, same, "left_semi")
-    return chosen.dropDuplicates([id_col, "_row"]).select(*docs.columns)
+    content, row = F.xxhash64(*docs.columns), unused(docs, "_row")
+    place = F.struct(F.col(id_col).isNull(), F.col(id_col).alias("i"), F.col(row).alias("r"))
+    firsts = (
+        classes(docs, rule, id_col, text_col, content.alias(row))
+        .groupBy("class").agg(F.min(place).alias("k"))
+    )
+    kept_id, kept_row = unused(docs, "_kept_id"), unused(docs, "_kept_row")
+    firsts = firsts.select(F.col("k.i").alias(kept_id), F.col("k.r").alias(kept_row))
+    marked = docs.withColumn(row, content)
+    same = marked[id_col].eqNullSafe(F.col(kept_id)) & (F.col(row) == F.col(kept_row))
+    return marked.join(firsts, same, "left_semi").dropDuplicates([id_col, row]).select(*docs.columns)

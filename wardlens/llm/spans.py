@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from wardlens.llm.common import map_batches
+from wardlens.llm.common import map_batches, unused
 
 _BREAK = re.compile(r"(?<=[.!?。！？])\s+|\s*\n\s*")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -104,7 +104,8 @@ def remove_repeats(
     if removed_col in docs.columns:
         docs = docs.drop(removed_col)
     id_type = docs.schema[id_col].dataType.simpleString()
-    keyed = docs.withColumn("_row", F.xxhash64(F.col(text_col)))
+    row, found_id, found_row, found_runs = (unused(docs, n) for n in ("_row", "_id", "_r", "_runs"))
+    keyed = docs.withColumn(row, F.xxhash64(F.col(text_col)))
 
     def rows(batch: pa.RecordBatch) -> dict[str, object]:
         owner, found = [], []
@@ -120,7 +121,7 @@ def remove_repeats(
         }
 
     spans = map_batches(
-        keyed.select(id_col, "_row", text_col), rows,
+        keyed.select(id_col, row, text_col), rows,
         f"h1 long, h2 long, i int, n int, `_id` {id_type}, `_r` long",
     )
     place = F.struct(F.col("_id").isNull().alias("none"), "_id", "_r", "i")
@@ -131,9 +132,11 @@ def remove_repeats(
         .select("h1", "h2", "first")
     )
     later = spans.join(repeated, ["h1", "h2"]).filter(place > F.col("first"))
-    covered = later.groupBy("_id", "_r").agg(F.collect_set(F.struct("i", "n")).alias("_runs"))
-    same = keyed[id_col].eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_r"))
-    joined = keyed.join(covered, same, "left").select(*docs.columns, "_runs")
+    covered = later.groupBy(F.col("_id").alias(found_id), F.col("_r").alias(found_row)).agg(
+        F.collect_set(F.struct("i", "n")).alias(found_runs)
+    )
+    same = keyed[id_col].eqNullSafe(F.col(found_id)) & (F.col(row) == F.col(found_row))
+    joined = keyed.join(covered, same, "left").select(*docs.columns, found_runs)
     names, at = [*docs.columns, removed_col], docs.columns.index(text_col)
 
     def cut(batches):
