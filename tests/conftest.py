@@ -12,7 +12,7 @@ from wardlens.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "local[8]", 8, spark__driver__memory="8g", spark__ui__showConsoleProgress="false"
+        "local[4]", 8, spark__driver__memory="8g", spark__ui__showConsoleProgress="false"
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

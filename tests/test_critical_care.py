@@ -406,6 +406,21 @@ def test_q71_surgery_within_days(t, rows):
     assert any(w[3] for w in want)
 
 
+def test_q71_keeps_rows_alike_but_for_one_column(spark, t):
+    """Rows that differ in ``stopreason`` alone, and in where their NULLs stand, are different rows."""
+    columns = t.transfer.columns
+    at = dt.datetime(2024, 5, 1, 8)
+    base = {c: None for c in columns} | {P: 77, "transferdept": "Surgery", "starttime": at}
+    rows = [{**base, "stopreason": r} for r in ("Patient pre discharge", "be hospitalized", None)]
+    table = spark.createDataFrame([tuple(r[c] for c in columns) for r in rows], t.transfer.schema)
+
+    class Only:
+        transfer = table
+
+    got = [tuple(r) for r in q.surgery_within_days(Only).select(P, "discharge_time", "admission_time", "followers").collect()]
+    assert got == [(77, at, at, 1)]
+
+
 def test_additional_departments(t, rows, person):
     for r in q.sexes_by_dept(t).collect():
         v = [b["sex"] for b in rows["baseline"] if b["admitdept"] == r["admitdept"]]

@@ -88,9 +88,8 @@ def test_bands_and_score(one):
      ("12", "--10", False), (".5", "1.0--2.", True), (".", "1--2", False)],
 )
 def test_outside_range(one, found, reference, outside):
-    got = value(one, numbers.outside_range(
-        F.lit(found).cast("string"), F.lit(reference).cast("string"), ["--", "～"]))
-    assert bool(got) == outside
+    rows = one.select(F.lit(found).cast("string").alias("v"), F.lit(reference).cast("string").alias("r"))
+    assert numbers.outside_range(rows, F.col("v"), F.col("r"), ["--", "～"]).count() == int(outside)
 
 
 def test_text(one):
@@ -102,7 +101,11 @@ def test_text(one):
     assert value(one, text.last_chars(F.lit("abcdefgh"), 6)) == "cdefgh"
     assert value(one, text.zero_pad(F.lit(857781), 12)) == "000000857781"
     assert value(one, text.position_of(F.lit("abc"), "y")) == 0
-    assert value(one, text.text_bar(F.lit(85), 40)) == "▰▰"
+    assert value(one, text.text_bar(F.lit(85), F.lit(200), per_mark=40)) == "▰▰"
+    assert value(one, text.text_bar(F.lit(85), F.lit(170), 10)) == "▰" * 5
+    huge = F.lit(4 * 10**12)
+    assert value(one, text.text_bar(huge, huge, 30, per_mark=40)) == "▰" * 30
+    assert value(one, text.text_bar(F.lit(0), F.lit(0))) == ""
     assert value(one, text.bits_and_chars(F.lit("é"))[0]) == 16
     assert value(one, text.bits_and_chars(F.lit("é"))[1]) == 8
     ranks = {"1_Much better now": 1, "④比1年前差一些": 4}
@@ -170,9 +173,22 @@ def test_prefix_counts_include_zero(spark):
 
 
 def test_series_quotient_equals_division(spark):
-    df = spark.createDataFrame([(0, 3), (7, 2), (9, 3), (10, 11)], "a int, b int")
+    data = [(0, 3), (7, 2), (9, 3), (10, 11), (-5, 2), (-6, -4), (4, -1), (3, 0), (None, 1)]
+    df = spark.createDataFrame(data, "a int, b int")
     for r in df.select("a", "b", inline.series_quotient(F.lit(0), F.col("a"), F.col("b")).alias("q")).collect():
-        assert r["q"] == r["a"] // r["b"]
+        empty = r["a"] is None or r["b"] == 0 or r["a"] * r["b"] < 0
+        assert r["q"] == (None if empty else r["a"] // r["b"])
+    rows = inline.expand_series(df.filter("b <> 0"), F.lit(0), F.col("a"), F.col("b"), "x")
+    assert rows.count() == sum(a // b + 1 for a, b in data if b and a is not None and a * b >= 0)
+
+
+def test_rounding_and_means_hold_for_any_value(spark, one):
+    assert value(one, numbers.round_half_up(F.lit(1e30), 2)) == 1e30
+    assert value(one, numbers.round_half_up(F.lit(2.5e-12), 12)) == 3e-12
+    assert value(one, numbers.round_half_up(F.lit(2.675), 2)) == 2.68
+    assert value(one, numbers.truncate(F.lit(-1e30), 2)) == -1e30
+    df = spark.createDataFrame([(0.0001,), (0.0002,), (0.0004,), (1e15,), (-1e15,)], "v double")
+    assert df.agg(aggregates.exact_mean(F.col("v"), 6, scale=4)).first()[0] == 0.00014
 
 
 def test_draws_repeat_and_stay_in_range(spark):

@@ -34,9 +34,20 @@ def same(left, right):
 
 
 def test_finds_only_large_groups(readings):
-    found = {r["key"] for r in oversized_groups(readings, ["key"], 600).collect()}
-    assert found == {"busy"}
-    assert oversized_groups(readings, ["key"], 10_000) is None
+    sizes = readings.groupBy("key").agg(F.count("*").alias("_n"))
+    assert {r["key"] for r in oversized_groups(sizes, ["key"], 600).collect()} == {"busy"}
+    assert oversized_groups(sizes, ["key"], 10_000) is None
+
+
+@pytest.mark.parametrize("limit", [3, 50, 500, 10_000])
+def test_running_means_of_doubles_do_not_depend_on_the_limit(spark, limit):
+    """Doubles from 10^-6 to 10^6, and more oversized groups than any list of them would hold."""
+    rng = random.Random(11)
+    rows = [(i, i % 3 if i % 2 else 100 + i % 10_500, rng.choice([-1, 1]) * 10 ** rng.uniform(-6, 6)) for i in range(60_000)]
+    df = spark.createDataFrame(rows, "id long, key int, value double").cache()
+    got = windows.running_mean(df, ["key"], ["id"], "value", "mean", max_group_rows=limit)
+    want = windows.running_mean(df, ["key"], ["id"], "value", "mean", max_group_rows=10**6)
+    assert got.exceptAll(want).isEmpty() and got.count() == len(rows)
 
 
 def test_numbered_is_the_global_order(readings):

@@ -1,11 +1,13 @@
 """Ranks against plain windows, and the plans that keep them balanced."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import Window, functions as F
 
 from wardlens.operators import ranking
+from wardlens.plans import catalog
 
 
 @pytest.fixture(scope="module")
@@ -64,7 +66,9 @@ def test_rows_at_last_time(spark):
     df = spark.createDataFrame(data + [("z", 9, 100 + i) for i in range(30)], "k string, t int, id int")
     got = ranking.rows_at_last_time(df, ["k"], "t", [F.col("id")]).collect()
     assert sorted(r["id"] for r in got if r["k"] in "ab") == [2, 3, 4]
-    assert sorted(r["id"] for r in got if r["k"] == "z") == list(range(100, 110))
+    assert sorted(r["id"] for r in got if r["k"] == "z") == list(range(100, 130))
+    ten = ranking.rows_at_last_time(df, ["k"], "t", [F.col("id")], 10).collect()
+    assert sorted(r["id"] for r in ten if r["k"] == "z") == list(range(100, 110))
 
 
 def test_most_and_least_frequent(spark):
@@ -112,9 +116,18 @@ def test_top_rows_are_pruned_before_the_shuffle(people):
 
 
 def test_no_query_runs_python(spark, folder):
-    import __spark_entry__ as driver
-
-    for name, query in driver.queries().items():
+    for name, query in catalog.queries().items():
         plan = plan_of(query(spark, folder))
         for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroups", "CartesianProduct"):
             assert node not in plan, (name, node)
+
+
+def test_filters_reach_the_scans(spark, folder):
+    plan = plan_of(catalog.queries()["fn_daily_avg"](spark, folder))
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(ts", plan)
+    plan = plan_of(catalog.queries()["fn_prefix_distinct"](spark, folder))
+    assert plan.index("Join") < plan.index("Generate explode"), "the prefixes are matched below the join"
+    plan = plan_of(catalog.queries()["range_violation"](spark, folder))
+    assert "exists(" not in plan and "transform(" not in plan
+    for name in ("median_by_rank", "agg_percentile", "pct_of_total", "fn_group_pct"):
+        assert plan_of(catalog.queries()[name](spark, folder)).count(f"{folder}/") <= 1, name

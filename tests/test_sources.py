@@ -1,8 +1,11 @@
 """Table changes, staged tables and the alert rule on stored and arriving rows."""
 
+import pathlib
+
 import pytest
 from pyspark.sql import functions as F
 
+from wardlens.operators import ranking
 from wardlens.sources import inline, maintenance, staging
 from wardlens.sources.tables import load
 from wardlens.streaming import rules
@@ -59,12 +62,36 @@ def test_save_table_replaces(spark, staff):
     assert staging.save_table(staff.limit(1), path).count() == 1
 
 
-def test_stream_warns_about_the_same_rows_as_batch(spark, folder):
+def test_stream_warns_about_the_same_rows_as_batch(spark, folder, tmp_path):
     events = load(spark, folder, "events")
     rule = F.col("value") > 100
     batch = rules.only_alerts(events, rule, "high")
-    stream = rules.stream_alerts(spark, folder, "events.parquet", events.schema, rule, "high")
-    assert sorted(map(repr, stream.collect())) == sorted(map(repr, batch.collect()))
+    want = sorted(map(repr, batch.collect()))
+    path = staging.staging_path(spark, "alerts")
+    stream = rules.stream_alerts(spark, f"{folder}/events.parque[t]", events.schema, rule, "high", path)
+    assert sorted(map(repr, stream.collect())) == want
     flagged = rules.flag_rows(events, rule, "high")
     assert flagged.filter("alert is not null").count() == batch.count()
     assert flagged.count() == events.count()
+
+    # A table stored as a folder of parts; a second run on the same path adds only what is new.
+    parts = str(tmp_path / "events.parquet")
+    events.repartition(5).write.parquet(parts)
+    path = staging.staging_path(spark, "alerts")
+    files = f"{tmp_path}/events.parque[t]"
+    first = rules.stream_alerts(spark, files, events.schema, rule, "high", path)
+    assert sorted(map(repr, first.collect())) == want
+    batch.drop("alert").limit(3).withColumn("event_id", F.col("event_id") + 10**9).write.mode("append").parquet(parts)
+    second = rules.stream_alerts(spark, files, events.schema, rule, "high", path)
+    assert second.count() == len(want) + 3 and second.filter(F.col("event_id") >= 10**9).count() == 3
+
+
+def test_staged_tables_go_when_their_context_closes(spark, staff):
+    with staging.staged(spark):
+        ranked = ranking.global_rank(staff, ["bmi"], [True])
+        paths = [f for f in ranked.inputFiles()]
+        assert ranked.count() == 3 and paths
+    kept = staging.stage(staff, "kept")
+    exists = lambda f: pathlib.Path(f.removeprefix("file://")).exists()
+    assert not any(exists(f) for f in paths)
+    assert kept.count() == 3

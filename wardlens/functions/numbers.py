@@ -2,22 +2,34 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+
+def _as_decimal(x: Column, digits: int) -> tuple[Column, Column]:
+    """Whether x is small enough to have decimals, and then x with at least 10 of them.
+
+    A double of 10^17 or more is a whole number, so it needs no rounding.
+    """
+    scale = max(10, digits + 6)
+    small = F.abs(x.cast("double")) < F.lit(float(10 ** min(17, 37 - scale)))
+    return small, F.when(small, x).cast(f"decimal(38,{scale})")
 
 
 def round_half_up(x: Column, digits: int = 2) -> Column:
     """Decimal rounding (half away from zero), returned as a double."""
-    return F.round(x.cast("decimal(38,10)"), digits).cast("double")
+    small, exact = _as_decimal(x, digits)
+    return F.when(small, F.round(exact, digits).cast("double")).otherwise(x.cast("double"))
 
 
 def truncate(x: Column, digits: int = 2) -> Column:
     """Cut digits off towards zero."""
-    exact = x.cast("decimal(38,10)")
+    small, exact = _as_decimal(x, digits)
     cut = F.floor(F.abs(exact), F.lit(digits))
-    return F.when(exact < 0, -cut).otherwise(cut).cast("double")
+    return F.when(small, F.when(exact < 0, -cut).otherwise(cut).cast("double")).otherwise(x.cast("double"))
 
 
 def guarded_ratio(top: Column, bottom: Column) -> Column:
@@ -100,31 +112,26 @@ def plain_number(text: Column) -> Column:
     return F.when(text.rlike(PLAIN_NUMBER), text.try_cast("double"))
 
 
-def outside_range(value: Column, reference: Column, separators: Sequence[str]) -> Column:
-    """Does text ``value`` lie outside a textual range ``low<sep>high``?
+def range_parts(value: Column, reference: Column, separators: Sequence[str]) -> Column:
+    """A struct of ``low``, ``high`` and ``found``: a textual range ``low<sep>high`` and a value in numbers.
 
-    False where the value or either limit is not a plain unsigned number.  Texts
-    and cut limits are bound to lambda variables, because a filter evaluates an
-    expression again at every place it is used.
+    A part is NULL where its text is not a plain unsigned number, or the range has no separator
+    or more than one.
     """
+    either = "|".join(re.escape(s) for s in separators)
+    pattern = f"^((?:(?!{either}).)*)(?:{either})((?:(?!{either}).)*)$"
+    ends = [plain_number(F.regexp_extract(reference, pattern, i)) for i in (1, 2)]
+    return F.struct(ends[0].alias("low"), ends[1].alias("high"), plain_number(value).alias("found"))
 
-    def cut(text: Column) -> Column:
-        limits = F.lit(None)
-        for sep in separators:
-            low = F.substring_index(text, sep, 1)
-            high = F.substring_index(text, sep, -1)
-            whole = F.char_length(low) + F.char_length(high) + len(sep) == F.char_length(text)
-            both = F.struct(plain_number(low).alias("low"), plain_number(high).alias("high"))
-            limits = F.when(F.contains(text, F.lit(sep)) & whole, both).otherwise(limits)
-        return limits
-
-    def parsed(row: Column) -> Column:
-        return F.struct(plain_number(row["value"]).alias("found"), cut(row["reference"]).alias("cut"))
-
-    def outside(row: Column) -> Column:
-        low, high = row["cut"]["low"], row["cut"]["high"]
-        beyond = (row["found"] < low) | (row["found"] > high)
-        return low.isNotNull() & high.isNotNull() & beyond
-
-    texts = F.array(F.struct(value.alias("value"), reference.alias("reference")))
-    return F.exists(F.transform(texts, parsed), outside)
+
+def outside_range(
+    df: DataFrame, value: Column, reference: Column, separators: Sequence[str]
+) -> DataFrame:
+    """The rows whose text ``value`` lies outside the textual range ``reference``.
+
+    Rows where the value or either limit is not a plain unsigned number are not among them.  The
+    texts are parsed once, in the scan's stage, and the filter compares the numbers.
+    """
+    parsed = df.select("*", F.inline(F.array(range_parts(value, reference, separators))))
+    beyond = (F.col("found") < F.col("low")) | (F.col("found") > F.col("high"))
+    return parsed.filter(F.col("low").isNotNull() & F.col("high").isNotNull() & beyond).select(*df.columns)

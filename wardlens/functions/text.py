@@ -49,9 +49,19 @@ def zero_pad(value: Column, width: int) -> Column:
     return F.lpad(value.cast("string"), width, "0")
 
 
-def text_bar(count: Column, per_mark: int, mark: str = "▰") -> Column:
-    """A bar with one mark per ``per_mark`` counted rows."""
-    return F.repeat(F.lit(mark), F.floor(count / per_mark).cast("int"))
+def text_bar(
+    count: Column, largest: Column, width: int = 50, mark: str = "▰", per_mark: int | None = None
+) -> Column:
+    """A bar of at most ``width`` marks; the largest count fills it.
+
+    With ``per_mark`` a mark stands for that many rows as long as the largest count
+    fits the width.
+    """
+    share = F.floor(count.cast("double") * width / F.greatest(largest, F.lit(1)))
+    if per_mark is not None:
+        fits = largest <= F.lit(per_mark * width)
+        share = F.when(fits, F.floor(count / per_mark)).otherwise(share)
+    return F.repeat(F.lit(mark), F.least(share, F.lit(width)).cast("int"))
 
 
 def bits_and_chars(text: Column) -> tuple[Column, Column, Column]:

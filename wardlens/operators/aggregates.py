@@ -9,24 +9,28 @@ from pyspark.sql import Column, DataFrame, functions as F
 from wardlens.functions.numbers import guarded_ratio, percent, round_half_up, whole_quotient
 from wardlens.operators.percentiles import percentiles
 from wardlens.operators.sequences import along
+from wardlens.sources.staging import stage
 
 
 def share_of_total(
     df: DataFrame, keys: Sequence[str], where: Column | None = None, out: str = "pct",
     digits: int = 2,
 ) -> DataFrame:
-    """Percentage of all rows per group; ``where`` limits the groups, not the total."""
-    total = df.agg(F.count(F.lit(1))).scalar()
-    kept = df if where is None else df.filter(where)
-    counts = kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn(out, percent(F.col("n"), total, digits))
+    """Percentage of all rows per group; ``where`` limits the groups, not the total.
+
+    The counts are staged, so that the input is read once for them and their total.
+    """
+    hits = F.count(F.lit(1)) if where is None else count_where(where)
+    counts = stage(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_all"), hits.alias("n")), "shares")
+    total = counts.agg(F.sum("_all")).scalar()
+    return counts.filter("n > 0").withColumn(out, percent(F.col("n"), total, digits)).drop("_all")
 
 
 def share_of_counted(
     df: DataFrame, keys: Sequence[str], out: str = "pct", digits: int = 2
 ) -> DataFrame:
     """Percentage of all grouped rows per group, the total taken from the group counts."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    counts = stage(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), "shares")
     return counts.withColumn(out, percent(F.col("n"), counts.agg(F.sum("n")).scalar(), digits))
 
 
@@ -58,13 +62,13 @@ def group_rate(
     )
 
 
-def exact_mean(column: Column, digits: int, scale: int = 2) -> Column:
-    """Mean of amounts with ``scale`` decimals, rounded; the same for any order of addition.
+def exact_mean(column: Column, digits: int, scale: int) -> Column:
+    """Mean of amounts with up to ``scale`` decimals, rounded; the same for any order of addition.
 
     A sum of doubles depends on the order in which tasks finish, which shows
     where the mean lies on the edge between two roundings.
     """
-    exact = column.cast(f"decimal(18,{scale})")
+    exact = column.cast(f"decimal({min(38, 22 + scale)},{scale})")
     return round_half_up(F.try_divide(F.sum(exact).cast("double"), F.count(exact)), digits)
 
 

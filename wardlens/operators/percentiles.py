@@ -9,6 +9,30 @@ from pyspark.sql import DataFrame, functions as F
 from wardlens.functions.numbers import whole_quotient
 from wardlens.operators.keys import join_back
 from wardlens.operators.sequences import along
+from wardlens.sources.staging import stage
+
+
+def _counted(
+    df: DataFrame, keys: Sequence[str], value: str, max_group_rows: int | None
+) -> DataFrame:
+    """Distinct values of each group with ``_n``, ``_through`` (rows up to it) and ``_rows`` (all rows).
+
+    The counts are staged once and serve for the group sizes, the running count and the totals.
+    """
+    counts = stage(
+        df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")),
+        "counts",
+    )
+    totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_values"))
+    sizes = totals.select(*keys, F.col("_values").alias("_n"))
+    placed = along(
+        counts, keys, [value], running={"_through": ("sum", "_n")},
+        max_group_rows=max_group_rows, sizes=sizes,
+    )
+    totals = totals.drop("_values")
+    if keys:
+        return join_back(placed, totals, keys, "inner")
+    return placed.withColumn("_rows", totals.scalar())
 
 
 def percentiles(
@@ -20,19 +44,7 @@ def percentiles(
     Rows are counted per distinct value before any sort; the running count of
     the values tells which ones stand at the wanted places.
     """
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    placed = along(
-        counts, keys, [value], running={"_through": ("sum", "_n")}, max_group_rows=max_group_rows
-    )
-    totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_rows"))
-    if keys:
-        placed = join_back(placed, totals, keys, "inner")
-    else:
-        placed = placed.withColumn("_rows", totals.scalar())
+    placed = _counted(df, keys, value, max_group_rows)
     first, last = F.col("_through") - F.col("_n"), F.col("_through") - 1
 
     def at(place):
@@ -62,17 +74,17 @@ def median_by_rank(
     df: DataFrame, keys: Sequence[str], value: str, tie_break: str, out: str = "median",
     max_group_rows: int | None = None,
 ) -> DataFrame:
-    """Median as the mean of the middle one or two rows of each group."""
-    rows = df.filter(F.col(value).isNotNull()).select(*keys, value, tie_break)
-    numbers = along(
-        rows, keys, [value, tie_break], running={"_no": ("count", F.lit(1))},
-        max_group_rows=max_group_rows,
-    )
-    totals = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    middle = join_back(numbers, totals, keys, "inner").filter(
-        F.col("_no").isin(
-            whole_quotient(F.col("_rows") + 1, F.lit(2)),
-            whole_quotient(F.col("_rows") + 2, F.lit(2)),
-        )
-    )
-    return middle.groupBy(*keys).agg(F.avg(value).alias(out))
+    """Median as the mean of the middle one or two rows of each group.
+
+    The rows are numbered by value counts, so that ``tie_break``, which orders
+    rows of one value, cannot change the result and is not read.
+    """
+    placed = _counted(df, keys, value, max_group_rows)
+    low = whole_quotient(F.col("_rows") + 1, F.lit(2))
+    high = whole_quotient(F.col("_rows") + 2, F.lit(2))
+    first, last = F.col("_through") - F.col("_n") + 1, F.col("_through")
+
+    def at(place):
+        return F.max(F.when(place.between(first, last), F.col(value)))
+
+    return placed.groupBy(*keys).agg(((at(low) + at(high)) / 2).alias(out))

@@ -108,12 +108,14 @@ def top_values(
 
 
 def rows_at_last_time(
-    df: DataFrame, keys: Sequence[str], time: str, tie_break: Sequence[Column], limit: int = 10
+    df: DataFrame, keys: Sequence[str], time: str, tie_break: Sequence[Column], limit: int | None = None
 ) -> DataFrame:
-    """Up to ``limit`` rows at each group's latest time, chosen by ``tie_break``."""
-    best = top_rows(df, keys, [F.col(time).desc_nulls_last(), *tie_break], limit, "_no")
-    last = F.max(time).over(Window.partitionBy(*keys))
-    return best.withColumn("_last", last).filter(F.col(time) == F.col("_last")).drop("_no", "_last")
+    """All rows at each group's latest time, or the first ``limit`` of them by ``tie_break``."""
+    last = df.filter(F.col(time).isNotNull()).groupBy(*keys).agg(F.max(time).alias("_last"))
+    rows = join_back(df, last, keys, "inner").filter(F.col(time) == F.col("_last")).drop("_last")
+    if limit is None:
+        return rows
+    return top_rows(rows, keys, list(tie_break), limit, "_no").drop("_no")
 
 
 def nth_distinct(df: DataFrame, column: str, n: int, ascending: bool = True) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -13,10 +14,19 @@ from wardlens.sources.inline import inline_rows
 
 
 def distinct_by_prefix(
-    df: DataFrame, column: str, prefixes: Sequence[str], id_column: str, out: str = "n"
+    df: DataFrame, column: str, prefixes: Sequence[str], id_column: str, out: str = "n",
+    facts: DataFrame | None = None, key: str | None = None,
 ) -> DataFrame:
-    """Distinct ids per prefix of a text column, 0 for a prefix nothing starts with."""
-    hits = df.select(id_column, F.explode(matching_prefixes(F.col(column), prefixes)).alias("prefix"))
+    """Distinct ids per prefix of a text column, 0 for a prefix nothing starts with.
+
+    Where the ids stand in another table, ``facts`` names it and ``key`` the column both share:
+    the prefixes are matched first, and only rows with a hit are joined.
+    """
+    found = F.explode(matching_prefixes(F.col(column), prefixes)).alias("prefix")
+    if facts is None:
+        hits = df.select(id_column, found)
+    else:
+        hits = facts.select(key, id_column).join(df.select(key, found), key).select(id_column, "prefix")
     counts = hits.groupBy("prefix").agg(F.count_distinct(id_column).alias(out))
     asked = inline_rows(df.sparkSession, [(p,) for p in prefixes], "prefix string")
     return asked.join(counts, "prefix", "left").withColumn(out, F.coalesce(out, F.lit(0)))
@@ -44,5 +54,11 @@ def mean_of_days(
     """Daily mean for each requested day, NULL for a day without readings."""
     asked = inline_rows(df.sparkSession, [(d,) for d in days], "day string")
     asked = asked.select(F.to_date("day").alias("day"))
-    in_days = df.filter(F.to_date(time).isin([F.lit(d).cast("date") for d in days]))
+    starts = [F.lit(d).cast("date") for d in days]
+    ranges = [
+        (F.col(time) >= start.cast("timestamp")) & (F.col(time) < F.date_add(start, 1).cast("timestamp"))
+        for start in starts
+    ]
+    # Ranges of the raw time reach the scan; they are the test by calendar day, written so.
+    in_days = df.filter(reduce(lambda a, b: a | b, ranges))
     return asked.join(daily_mean(in_days, [], time, {out: column}), "day", "left")

@@ -14,18 +14,20 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from wardlens.operators.keys import join_back, same_keys
 from wardlens.sources.staging import stage
 
 DEFAULT_MAX_GROUP_ROWS = 4_000_000
-# At most this many groups can each hold more than 1/10,000 of the rows, so the
-# list of oversized groups that is broadcast never exceeds it.
-MAX_OVERSIZED_GROUPS = 10_000
+# Running sums of doubles are taken in this type: exact to 12 decimals whatever
+# the order of addition, up to 10^24; values beyond fail instead of being lost.
+# Two such numbers add up without losing a decimal.
+EXACT_SUM = "decimal(36,12)"
 
 _COMBINE = {
     "sum": lambda before, here: F.when(before.isNull(), here).otherwise(
-        before + F.coalesce(here, F.lit(0))
+        F.coalesce(before + here, before)
     ),
     "count": lambda before, here: F.coalesce(before, F.lit(0)) + here,
     "min": F.least,
@@ -91,14 +93,13 @@ def numbered(df: DataFrame, *order: Column | str, out: str = "row_no") -> DataFr
     )
 
 
-def oversized_groups(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None:
-    """The groups with more than ``limit`` rows, or None; at most 10,000 rows."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
-    found = sizes.orderBy(F.desc("_n")).limit(MAX_OVERSIZED_GROUPS).select("_n", *keys).collect()
-    if not found:
-        return None
-    schema = df.select(F.lit(0).cast("bigint").alias("_n"), *keys).schema
-    return df.sparkSession.createDataFrame(found, schema).drop("_n")
+def oversized_groups(sizes: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None:
+    """The groups with more than ``limit`` rows as a staged table, or None.
+
+    ``sizes`` has the keys and ``_n``, rows per group.  The driver only asks whether there are any.
+    """
+    found = stage(sizes.filter(F.col("_n") > limit).select(*keys), "oversized")
+    return None if found.isEmpty() else found
 
 
 def along(
@@ -109,6 +110,7 @@ def along(
     derive: Callable[[DataFrame], DataFrame] | None = None,
     running: Mapping[str, tuple[str, Column | str]] | None = None,
     max_group_rows: int | None = None,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Neighbour and running values along ``order`` within each group.
 
@@ -116,16 +118,21 @@ def along(
     or after (n < 0).  ``derive`` may then add row-wise columns.  ``running``
     maps an output to (sum | count | min | max, column) over the rows from the
     group's first to the current one.  ``order`` must be total within a group.
+    Sums of doubles are exact to 12 decimals, so both ways give the same bits.
+    Callers that know the rows per group pass them as ``sizes`` (keys and ``_n``).
+    Without keys the rows are always cut into chunks.
     """
     shifts, running = dict(shifts or {}), dict(running or {})
     derive = derive or (lambda d: d)
     limit = group_limit(df, max_group_rows)
-    hot = oversized_groups(df, keys, limit)
-    if hot is None:
-        return _by_window(df, keys, order, shifts, derive, running)
     if not keys:
         return _by_chunks(df, keys, order, shifts, derive, running, limit)
-    hot = F.broadcast(hot.select(*[F.col(k).alias(f"_r_{k}") for k in keys]))
+    if sizes is None:
+        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = oversized_groups(sizes, keys, limit)
+    if hot is None:
+        return _by_window(df, keys, order, shifts, derive, running)
+    hot = hot.select(*[F.col(k).alias(f"_r_{k}") for k in keys])
     usual = df.join(hot, same_keys(keys), "left_anti")
     large = df.join(hot, same_keys(keys), "left_semi")
     return _by_window(usual, keys, order, shifts, derive, running).unionByName(
@@ -133,15 +140,29 @@ def along(
     )
 
 
+def _addends(df: DataFrame, running: Mapping[str, tuple[str, Column | str]]) -> tuple[dict, list[str]]:
+    """The running aggregates with sums of doubles made exact, and the outputs to turn back."""
+    exact, doubles = {}, []
+    for name, (fn, column) in running.items():
+        column = F.col(column) if isinstance(column, str) else column
+        kind = df.select(column.alias("_")).schema["_"].dataType
+        if fn == "sum" and isinstance(kind, (DoubleType, FloatType)):
+            column, doubles = column.cast(EXACT_SUM), [*doubles, name]
+        exact[name] = (fn, column)
+    return exact, doubles
+
+
 def _by_window(df, keys, order, shifts, derive, running) -> DataFrame:
     window = Window.partitionBy(*keys).orderBy(*order)
     so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = derive(
         df.withColumns({name: _shift(col, n).over(window) for name, (col, n) in shifts.items()})
     )
-    return out.withColumns(
-        {name: _AGGREGATE[fn](col).over(so_far) for name, (fn, col) in running.items()}
+    exact, doubles = _addends(out, running)
+    out = out.withColumns(
+        {name: _AGGREGATE[fn](col).over(so_far) for name, (fn, col) in exact.items()}
     )
+    return out.withColumns({name: F.col(name).cast("double") for name in doubles})
 
 
 def _shift(column, n: int) -> Column:
@@ -192,6 +213,7 @@ def _shift_over_cuts(rows, keys, shifts, size) -> DataFrame:
 
 
 def _run_over_cuts(rows, keys, running) -> DataFrame:
+    running, doubles = _addends(rows, running)
     group = [*keys, "_seq_chunk"]
     totals = rows.groupBy(*group).agg(
         *[_AGGREGATE[fn](col).alias(f"_all_{name}") for name, (fn, col) in running.items()]
@@ -215,10 +237,15 @@ def _run_over_cuts(rows, keys, running) -> DataFrame:
         {f"_here_{name}": _AGGREGATE[fn](col).over(here) for name, (fn, col) in running.items()}
     )
     out = join_back(out, before, group)
+    def part(when: str, name: str) -> Column:
+        value = F.col(f"_{when}_{name}")
+        return value.cast(EXACT_SUM) if name in doubles else value
+
     out = out.withColumns(
         {
-            name: _COMBINE[fn](F.col(f"_before_{name}"), F.col(f"_here_{name}"))
+            name: _COMBINE[fn](part("before", name), part("here", name))
             for name, (fn, _) in running.items()
         }
     )
+    out = out.withColumns({name: F.col(name).cast("double") for name in doubles})
     return out.drop(*[f"_{part}_{name}" for name in running for part in ("before", "here")])

@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wardlens.functions import dates, numbers, text
 from wardlens.operators import (
@@ -454,7 +454,9 @@ def busiest_weekday(t) -> DataFrame:
 @question("51")
 def age_category_bars(t, more_than: int = 100, per_mark: int = 40) -> DataFrame:
     counts = t.demography.groupBy("agecat").agg(count()).filter(F.col("patients") > more_than)
-    return counts.withColumn("bar", text.text_bar(F.col("patients"), per_mark)).orderBy("patients", "agecat")
+    return counts.withColumn("bar", text.text_bar(
+        F.col("patients"), F.max("patients").over(Window.partitionBy()), per_mark=per_mark
+    )).orderBy("patients", "agecat")
 
 
 @question("52")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wardlens.functions import dates, numbers, text
 from wardlens.operators import (
@@ -88,8 +88,8 @@ def pressure_above_icu_median(t) -> DataFrame:
 
 
 @question("4")
-def last_drugs(t, limit: int = 10) -> DataFrame:
-    """Drugs given at each patient's latest drug time, up to ``limit`` by name."""
+def last_drugs(t, limit: int | None = None) -> DataFrame:
+    """Drugs given at each patient's latest drug time, or the first ``limit`` of them by name."""
     return ranking.rows_at_last_time(
         t.drugs, [PATIENT], "drug_time", [F.col("drugname"), F.col("formula")], limit
     ).select(PATIENT, "drugname", "drug_time", "formula")
@@ -520,7 +520,7 @@ def median_temperature(t, older_than: int = 60, dept: str = "ICU") -> DataFrame:
     """Median over the distinct (patient, temperature) pairs of older patients in a department."""
     chart = charted(t, "temperature", who=(F.col("age") > older_than) & (F.col("admitdept") == dept))
     pairs = chart.filter(F.col("temperature").isNotNull()).select(PATIENT, "temperature").distinct()
-    found = percentiles.median_by_rank(pairs.withColumn("_all", F.lit(1)), ["_all"], "temperature", PATIENT)
+    found = percentiles.median_by_rank(pairs, [], "temperature", PATIENT)
     return found.select(numbers.round_half_up(F.col("median"), 2).alias("median_temperature"))
 
 
@@ -562,7 +562,9 @@ def ventilator_bars(t, site: str = "Pneumonia", per_mark: int = 40) -> DataFrame
     counts = rows_per(modes.filter(F.col("breathing_pattern").isNotNull()), "breathing_pattern", out="mode_count")
     return counts.select(
         F.rpad("breathing_pattern", 40, " ").alias("ventilator_mode"), "mode_count",
-        text.text_bar(F.col("mode_count"), per_mark).alias("mode_count_bar"),
+        text.text_bar(
+            F.col("mode_count"), F.max("mode_count").over(Window.partitionBy()), per_mark=per_mark
+        ).alias("mode_count_bar"),
     ).orderBy(F.desc("mode_count"), "ventilator_mode")
 
 
@@ -580,8 +582,8 @@ def surgery_within_days(t, days: int = 30) -> DataFrame:
     The number of discharges with ``followers`` above 0 answers how many; the
     admissions themselves are the surgery rows the first one starts.
     """
-    key = F.sha2(F.concat_ws("|", PATIENT, STAY, "starttime", "stoptime", "transferdept", "startreason"), 256)
-    rows = t.transfer.withColumn("row_id", key).dropDuplicates(["row_id"])
+    content = F.to_json(F.struct(*t.transfer.columns), {"ignoreNullFields": "false"})
+    rows = t.transfer.distinct().withColumn("row_id", F.sha2(content, 256))
     out = rows.filter(F.col("stopreason") == "Patient pre discharge").select(
         PATIENT, STAY, "row_id", F.col("starttime").alias("discharge_time")
     )
@@ -694,7 +696,7 @@ def patients_of_dept(t) -> DataFrame:
 
 @question("A7")
 def labs_out_of_range(t, separators: Sequence[str] = ("--", "～")) -> DataFrame:
-    return t.lab.filter(numbers.outside_range(F.col("labvalue"), F.col("reference"), separators))
+    return numbers.outside_range(t.lab, F.col("labvalue"), F.col("reference"), separators)
 
 
 @question("A8")

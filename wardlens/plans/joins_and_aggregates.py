@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from wardlens.functions import dates, numbers, text
 from wardlens.operators import (
     aggregates, crosstabs, filters, joins, percentiles, ranking, setops, windows,
 )
 from wardlens.plans.registry import Tables, query, rounded
-from wardlens.sources.tables import as_view
 
 
 @query(
@@ -27,10 +26,9 @@ def join_inner(t: Tables):
     "SELECT c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey",
 )
 def join_comma(t: Tables):
-    as_view(t.customer, "wl_customer")
-    as_view(t.nation, "wl_nation")
     return t.spark.sql(
-        "SELECT c_custkey, n_name FROM wl_customer c, wl_nation n WHERE c.c_nationkey = n.n_nationkey"
+        "SELECT c_custkey, n_name FROM {customer} c, {nation} n WHERE c.c_nationkey = n.n_nationkey",
+        customer=t.customer, nation=t.nation,
     )
 
 
@@ -595,14 +593,14 @@ def date_span(t: Tables):
 @query(
     "text_bar",
     """SELECT rpad(o_orderpriority, 16, ' ') AS priority, count(*) AS n,
-              repeat('▰', CAST(count(*) // 40 AS INT)) AS bar
+              repeat('▰', CAST(count(*) * 40 // max(count(*)) OVER () AS INT)) AS bar
        FROM orders GROUP BY o_orderpriority HAVING count(*) > 100""",
 )
 def text_bar(t: Tables):
     counts = t.orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
     return counts.filter(F.col("n") > 100).select(
         F.rpad("o_orderpriority", 16, " ").alias("priority"), "n",
-        text.text_bar(F.col("n"), 40).alias("bar"),
+        text.text_bar(F.col("n"), F.max("n").over(Window.partitionBy()), 40).alias("bar"),
     )
 
 
@@ -655,11 +653,11 @@ def entity_summary(t: Tables):
         ["c_custkey"],
         [
             (orders, {
-                "mean_price": aggregates.exact_mean(F.col("o_totalprice"), 4),
+                "mean_price": aggregates.exact_mean(F.col("o_totalprice"), 4, scale=6),
                 "n_orders": F.count(F.lit(1)),
             }),
             (events, {
-                "mean_value": aggregates.exact_mean(F.col("value"), 4),
+                "mean_value": aggregates.exact_mean(F.col("value"), 4, scale=6),
                 "high_value": F.max("value"),
                 "n_events": F.count(F.lit(1)),
             }),

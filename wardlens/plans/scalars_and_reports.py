@@ -51,10 +51,10 @@ def str_split_part(t: Tables):
 @query(
     "palindromes",
     """SELECT DISTINCT word, word = reverse(word) AS palindrome FROM
-         (SELECT unnest(regexp_extract_all(lower(text), '[a-z]{3,}')) AS word FROM documents)""",
+         (SELECT unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{M}]+')) AS word FROM documents)""",
 )
 def palindromes(t: Tables):
-    words = F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{3,})"), F.lit(1))
+    words = F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{M}]+)"), F.lit(1))
     found = t.documents.select(F.explode(words).alias("word")).distinct()
     return found.withColumn("palindrome", text.is_palindrome(F.col("word")))
 
@@ -263,14 +263,15 @@ def math_basic(t: Tables):
     "int_quotient",
     """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
               CAST(l_quantity AS BIGINT) // l_linenumber AS quotient,
-              CAST(l_quantity AS BIGINT) // l_linenumber AS counted FROM lineitem""",
+              nullif(len(generate_series(0, CAST(l_quantity AS BIGINT) - 10, l_linenumber)), 0) - 1 AS counted
+       FROM lineitem""",
 )
 def int_quotient(t: Tables):
     whole, step = F.col("l_quantity").cast("int"), F.col("l_linenumber")
     return t.lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         numbers.whole_quotient(whole, step).alias("quotient"),
-        inline.series_quotient(F.lit(0), whole, step).alias("counted"),
+        inline.series_quotient(F.lit(0), whole - 10, step).alias("counted"),
     )
 
 
@@ -359,8 +360,10 @@ def fn_age(t: Tables):
        LEFT JOIN (lineitem JOIN part ON l_partkey = p_partkey) ON p_name LIKE prefix || '%' GROUP BY 1""",
 )
 def fn_prefix_distinct(t: Tables):
-    joined = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-    return reports.distinct_by_prefix(joined, "p_name", ["bl", "blue r", "red", "zz"], "l_orderkey")
+    lines = t.lineitem.select(F.col("l_partkey").alias("p_partkey"), "l_orderkey")
+    return reports.distinct_by_prefix(
+        t.part, "p_name", ["bl", "blue r", "red", "zz"], "l_orderkey", facts=lines, key="p_partkey"
+    )
 
 
 @query(
@@ -398,14 +401,15 @@ def fn_entity_csv(t: Tables):
 
 @query(
     "fn_last_rows",
-    """SELECT o_custkey, o_orderkey, o_orderdate FROM (SELECT *, rank() OVER
-         (PARTITION BY o_custkey ORDER BY o_orderdate DESC) AS r,
-         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS n FROM orders)
-       WHERE r = 1 AND n <= 10""",
+    """SELECT o_orderpriority, o_orderkey, strftime(o_orderdate, '%Y-%m') AS month FROM orders o
+       WHERE strftime(o_orderdate, '%Y-%m') = (SELECT max(strftime(o_orderdate, '%Y-%m')) FROM orders i
+                                               WHERE i.o_orderpriority = o.o_orderpriority)""",
 )
 def fn_last_rows(t: Tables):
-    last = ranking.rows_at_last_time(t.orders, ["o_custkey"], "o_orderdate", [F.col("o_orderkey")])
-    return last.select("o_custkey", "o_orderkey", "o_orderdate")
+    orders = t.orders.select(
+        "o_orderpriority", "o_orderkey", F.date_format("o_orderdate", "yyyy-MM").alias("month")
+    )
+    return ranking.rows_at_last_time(orders, ["o_orderpriority"], "month", [F.col("o_orderkey")])
 
 
 @query(

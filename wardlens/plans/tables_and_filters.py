@@ -38,13 +38,17 @@ def inline_values_join(t: Tables):
 
 @query(
     "series_expand",
-    """SELECT l_returnflag, l_linestatus, CAST(sum(l_quantity) AS BIGINT) AS units,
-              CAST(sum(l_quantity * (l_quantity + 1) / 2) AS BIGINT) AS unit_sum
-       FROM lineitem GROUP BY 1, 2""",
+    """SELECT l_returnflag, l_linestatus, count(*) AS units, CAST(sum(unit) AS BIGINT) AS unit_sum
+       FROM (SELECT l_returnflag, l_linestatus,
+                    unnest(generate_series(l_linenumber, CAST(l_quantity AS BIGINT) - 10, 2)) AS unit
+             FROM lineitem) GROUP BY 1, 2""",
 )
 def series_expand(t: Tables):
-    lines = t.lineitem.select("l_returnflag", "l_linestatus", F.col("l_quantity").cast("int").alias("q"))
-    units = inline.expand_series(lines, F.lit(1), F.col("q"), F.lit(1), "unit")
+    lines = t.lineitem.select(
+        "l_returnflag", "l_linestatus", F.col("l_linenumber").cast("int").alias("first"),
+        (F.col("l_quantity").cast("int") - 10).alias("last"),
+    )
+    units = inline.expand_series(lines, F.col("first"), F.col("last"), F.lit(2), "unit")
     return units.groupBy("l_returnflag", "l_linestatus").agg(
         F.count("unit").alias("units"), F.sum("unit").alias("unit_sum")
     )
@@ -163,8 +167,8 @@ def update_from_join(t: Tables):
 )
 def alert_rule(t: Tables):
     alerts = rules.stream_alerts(
-        t.spark, t.folder, "events.parquet", t.events.schema,
-        F.col("value") > 100, "value above 100",
+        t.spark, f"{t.folder}/events.parque[t]", t.events.schema,
+        F.col("value") > 100, "value above 100", staging_path(t.spark, "alerts"),
     )
     return alerts.select("event_id", "user_id", "value", "alert")
 
@@ -386,9 +390,7 @@ def range_violation(t: Tables):
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", value.alias("labvalue"),
         F.when(line % 3 == 0, "none").otherwise(limits).alias("reference"),
     )
-    return lab.filter(
-        numbers.outside_range(F.col("labvalue"), F.col("reference"), ["--", "～"])
-    )
+    return numbers.outside_range(lab, F.col("labvalue"), F.col("reference"), ["--", "～"])
 
 
 @query(

@@ -7,12 +7,15 @@ and cuts the lineage of everything built on it.
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+_open_contexts: list[list[str]] = []
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -31,7 +34,28 @@ def staging_root(spark: SparkSession) -> str:
 def staging_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the staging root, grouped by application for clean-up."""
     app = spark.conf.get("spark.app.id", "local")
-    return f"{staging_root(spark)}/wardlens/{app}/{label}-{uuid.uuid4().hex}"
+    path = f"{staging_root(spark)}/wardlens/{app}/{label}-{uuid.uuid4().hex}"
+    for paths in _open_contexts:
+        paths.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def staged(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are deleted when the context closes, so results must be read before.
+
+    Without it they stay until the application's folder is removed.
+    """
+    paths: list[str] = []
+    _open_contexts.append(paths)
+    try:
+        yield
+    finally:
+        _open_contexts.remove(paths)
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in paths:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from wardlens.sources.staging import staging_path
-
 
 def flag_rows(df: DataFrame, rule: Column, message: str, out: str = "alert") -> DataFrame:
     """Add the warning text to rows that satisfy the rule, NULL to the others."""
@@ -19,15 +17,16 @@ def only_alerts(df: DataFrame, rule: Column, message: str, out: str = "alert") -
 
 
 def stream_alerts(
-    spark: SparkSession, folder: str, pattern: str, schema: StructType, rule: Column, message: str
+    spark: SparkSession, files: str, schema: StructType, rule: Column, message: str, path: str
 ) -> DataFrame:
-    """Apply the rule to all files that have arrived and return the warnings.
+    """Apply the rule to all files that have arrived and return all warnings so far.
 
-    The query keeps its offsets and its output in the shared staging folder, so
-    a restart neither loses nor repeats a row.
+    ``files`` is a pattern of a table's files or folder, as ``/data/events.parque[t]``: a pattern
+    finds a single file as well as a folder of parts.  ``path``, in storage that all executors
+    share, keeps the query's progress and its output, so that a later run with the same path
+    reads only what is new.
     """
-    path = staging_path(spark, "alerts")
-    arriving = spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
+    arriving = spark.readStream.schema(schema).parquet(files)
     alerts = only_alerts(arriving, rule, message)
     query = (
         alerts.writeStream.format("parquet")
