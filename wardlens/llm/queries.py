@@ -124,6 +124,24 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return run
 
 
+OP10_SQL = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) = len(list_filter(embedding, lambda x: isfinite(x)))
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.93
+), reached(a, b) AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+)
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id)::BIGINT AS n_links,
+       least(e.vec_id, coalesce((SELECT min(b) FROM reached r WHERE r.a = e.vec_id), e.vec_id)) AS component_id,
+       e.vec_id = least(e.vec_id, coalesce((SELECT min(b) FROM reached r WHERE r.a = e.vec_id), e.vec_id)) AS kept
+FROM embeddings e
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     fn.__name__: _shipped(fn)
     for fn in (
@@ -140,4 +158,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-CHECKS: dict[str, str] = {"op2_golden_schedule": OP2_SQL, "op4_segment_reassembly": OP4_SQL}
+CHECKS: dict[str, str] = {
+    "op2_golden_schedule": OP2_SQL,
+    "op4_segment_reassembly": OP4_SQL,
+    "op10_multi_index": OP10_SQL,
+}
