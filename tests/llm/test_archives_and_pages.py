@@ -129,6 +129,8 @@ def test_longest_common_subsequence():
             return 1 + brute(a[1:], b[1:])
         return max(brute(a[1:], b), brute(a, b[1:]))
 
+    long_ = [f"line {i % 700}" for i in range(5000)]
+    assert len(pages.shared_lines(long_, long_[100:] + ["more"])) == 4900
     for _ in range(60):
         a, b = ([draw.choice("abcd") for _ in range(draw.randint(0, 8))] for _ in range(2))
         found = sorted(pages.shared_lines(a, b))
