@@ -22,8 +22,8 @@ class Runs:
 
     sentences: int = 2
     words: int = 20
-    longest: int = 40
-    piece: int = 20
+    longest: int = 24
+    piece: int = 12
 
 
 PRODUCTION = Runs()
