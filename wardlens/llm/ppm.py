@@ -118,13 +118,15 @@ def trie(vocabulary: DataFrame) -> DataFrame:
                 used, starts = _windows([w for w in words if w != END])
                 sizes = np.diff(np.concatenate((starts, [len(used)])))
                 keys, n = np.concatenate((keys, used)), np.concatenate((n, np.repeat(weight[~is_end], sizes)))
+            once = np.ones(len(keys), np.int64)
             while len(keys):
-                found, at, once = np.unique(keys, return_inverse=True, return_counts=True)
-                sums = np.zeros(len(found), np.int64)
-                np.add.at(sums, at, n)
-                yield from _batches(schema, found, sums, once)
+                keys, at = np.unique(keys, return_inverse=True)
+                sums = np.zeros((2, len(keys)), np.int64)
+                np.add.at(sums[0], at, n)
+                np.add.at(sums[1], at, once)
+                yield from _batches(schema, keys, *sums)
                 deeper = keys >> 40 > 0
-                keys, n = _shorter(keys[deeper]), n[deeper]
+                keys, (n, once) = _shorter(keys[deeper]), sums[:, deeper]
 
     counted = vocabulary.filter("n > 0").select("word", "n").mapInArrow(edges, "key long, uses long, kinds long")
     return counted.groupBy("key").agg(*(F.sum(c).cast("long").alias(c) for c in ("uses", "kinds")))
@@ -284,8 +286,9 @@ def _window_keys(vocabulary: DataFrame, spot: Column) -> DataFrame:
             if real.any():
                 used, starts = _windows([w for w in words if w != END])
                 sizes = np.diff(np.concatenate((starts, [len(used)])))
-                pairs = np.unique(np.stack((np.repeat(spots[real], sizes), used)), axis=1)
-                yield from _batches(schema, pairs[0], pairs[1])
+                # A key has 43 bits, which leaves 20 for the spot.
+                pairs = np.unique((np.repeat(spots[real], sizes) << 43) | used)
+                yield from _batches(schema, pairs >> 43, pairs & ((1 << 43) - 1))
             yield from _batches(schema, spots[~real], np.full((~real).sum(), END_WINDOW))
 
     return vocabulary.select("word", spot.alias("spot")).mapInArrow(keys, "spot long, key long").distinct()
@@ -326,10 +329,14 @@ def word_scores(
     windows' probabilities; after that the beginning is new, and the windows go on alone.
     """
     nodes = _prefixes(words, counts)
-    number = {prefix: i for i, prefix in enumerate(nodes)}
     seen = np.array([sum(node.values()) for node in nodes.values()], np.int64)
     share = escapes.share(ORDER + 1, 0, seen, np.array([len(node) for node in nodes.values()], np.int64))
     stay, leave = np.log10((1 - share) / np.maximum(seen, 1)).tolist(), np.log10(share).tolist()
+    steps = {
+        prefix: ({symbol: s + math.log10(n) for symbol, n in node.items()}, out)
+        for (prefix, node), s, out in zip(nodes.items(), stay, leave)
+    }
+    del nodes
     real = [w for w in words if w != END]
     used, starts = _windows(real) if real else (np.zeros(0, np.int64), np.zeros(0, np.int64))
     at = np.searchsorted(keys, used)
@@ -346,18 +353,19 @@ def word_scores(
         total = first[min(lo + ORDER, hi)] - first[lo]
         for i in range(ORDER, len(word) + 1):
             prefix = word[:i]
-            node = nodes.get(prefix)
-            if node is None:
+            known = steps.get(prefix)
+            if known is None:
                 total += later[hi] - later[lo + i]
                 break
-            symbol = word[i] if i < len(word) else SPACE
-            if symbol in node:
-                total += stay[number[prefix]] + math.log10(node[symbol])
+            node, out = known
+            step = node.get(word[i] if i < len(word) else SPACE)
+            if step is not None:
+                total += step
                 continue
             context = (ORDER << 40) | (int.from_bytes(prefix[-ORDER:], "big") << 8)
             others = np.array([context | s for s in node], np.int64)
             left = 1 - float((10 ** go_on[np.searchsorted(keys, others)]).sum())
-            total += leave[number[prefix]] - math.log10(max(left, 1e-9)) + later[hi] - later[lo + i]
+            total += out - math.log10(max(left, 1e-9)) + later[hi] - later[lo + i]
             break
         values[nth] = total
     return values
@@ -479,7 +487,7 @@ def score_texts(
         F.coalesce(chunk, F.lit(0)).alias("chunk"), text_bytes(text_col).alias("text"),
         F.coalesce(held, F.lit(False)).alias("held"), F.col(id_col).alias("id"),
     )
-    used = _chunk_words(narrow)
+    used = stage(_chunk_words(narrow), "words")
     vocabulary = stage(used.groupBy("word").agg(F.sum("n").cast("long").alias("n")), "vocabulary")
     total, distinct = vocabulary.filter("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     total, distinct = int(total), int(distinct)
@@ -495,12 +503,15 @@ def score_texts(
         at = {w: i for i, w in enumerate(found.column("word").to_pylist())}
         counts, values = found.column("n").to_numpy(), found.column("score").to_numpy()
         base = np.log10((counts + 1) / (total + distinct + 1))
+        share, known = prior * 10**values, counts > 0
         out = [[], [], [], []]
         for text in texts.column("text"):
-            places = np.array([*map(at.__getitem__, text.as_py().lower().split()), at[END]])
-            chance = (_before(places) + prior * 10 ** values[places]) / (np.arange(len(places)) + prior)
+            words = text.as_py().lower().split()
+            words.append(END)
+            places = np.fromiter(map(at.__getitem__, words), np.int64, len(words))
+            chance = (_before(places) + share[places]) / (np.arange(len(places)) + prior)
             out[0].append(len(places))
-            out[1].append(int((counts[places] > 0).sum()))
+            out[1].append(int(np.count_nonzero(known[places])))
             out[2].append(float(base[places].sum()))
             out[3].append(float(np.log10(chance).sum()))
         return pa.Table.from_arrays(
