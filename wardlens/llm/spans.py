@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from wardlens.llm.common import map_batches, unused
+from wardlens.sources.staging import stage
 
 _BREAK = re.compile(r"(?<=[.!?。！？])\s+|\s*\n\s*")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -125,11 +126,13 @@ def remove_repeats(
         f"h1 long, h2 long, i int, n int, `_id` {id_type}, `_r` long",
     )
     place = F.struct(F.col("_id").isNull().alias("none"), "_id", "_r", "i")
-    repeated = (
+    # Written first, so that the join deals both sides anew and a frequent run's rows can be split.
+    repeated = stage(
         spans.groupBy("h1", "h2")
         .agg(F.min(place).alias("first"), F.max(place).alias("last"))
         .filter("first < last")
-        .select("h1", "h2", "first")
+        .select("h1", "h2", "first"),
+        "repeated",
     )
     later = spans.join(repeated, ["h1", "h2"]).filter(place > F.col("first"))
     covered = later.groupBy(F.col("_id").alias(found_id), F.col("_r").alias(found_row)).agg(
