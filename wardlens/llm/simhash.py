@@ -296,7 +296,8 @@ def classes(
     classed = distinct.join(reached, F.col("node") == F.col("_n"), "left").select(
         "fingerprint", "least", F.coalesce("component", "node").alias("class")
     )
-    least = classed.groupBy("class").agg(F.min("least").alias("component"))
+    # Written first, so that the join below deals both sides anew and large classes can be split.
+    least = stage(classed.groupBy("class").agg(F.min("least").alias("component")), "classes")
     found = classed.join(least, "class").select(F.col("fingerprint").alias("_print"), "class", "component")
     return rows.join(found, F.col("fingerprint") == F.col("_print")).drop("_print")
 
