@@ -44,7 +44,7 @@ class Codebooks:
     margin: float
 
     def distances(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Squared distances of the halves to their codes, less that of the nearest.
+        """Squared distances of the halves to their codes.
 
         Each is a sum over one row, so a vector has the same figures in every batch.
         """
@@ -78,10 +78,9 @@ class Codebooks:
         a, b = self.distances(unit)
         at = np.arange(len(unit))
         left, right = np.divmod(cell, len(self.right))
-        near = (a[at, left] - a.min(axis=1)) + (b[at, right] - b.min(axis=1))
         # The same comparison as in ``cells``: the right share against what the left one leaves.
         x, y = a[at, left] - a.min(axis=1), b[at, right] - b.min(axis=1)
-        return (x <= self.margin) & (y <= self.margin - x) & (near < np.inf)
+        return (x <= self.margin) & (y <= self.margin - x)
 
 
 def _codes(points: np.ndarray, number: int, draws: np.random.Generator) -> np.ndarray:
@@ -120,8 +119,7 @@ def fit(sample: np.ndarray, rows: int, threshold: float, index: Index) -> Codebo
     (ax, bx), (ay, by) = books.distances(x), books.distances(y)
 
     def margin(a, b, c, d):
-        over = a[at, c.argmin(axis=1)] - a.min(axis=1) + b[at, d.argmin(axis=1)] - b.min(axis=1)
-        return over
+        return a[at, c.argmin(axis=1)] - a.min(axis=1) + b[at, d.argmin(axis=1)] - b.min(axis=1)
 
     nearer = np.minimum(margin(ax, bx, ay, by), margin(ay, by, ax, bx))
     return Codebooks(books.left, books.right, float(np.quantile(nearer, index.recall)))
@@ -232,10 +230,14 @@ def linked_vectors(
     )
     size = index.block_rows
     key = ["label", "width", "cell"]
-    cuts = spread.groupBy(*key).agg(
-        F.ceil(F.count_if("home") / size).cast("int").alias("homes"),
-        F.ceil(F.count_if(~F.col("home")) / size).cast("int").alias("visitors"),
-    ).filter("homes > 0")
+    # Written first, so that the join deals both sides anew and a large cell can be split.
+    cuts = stage(
+        spread.groupBy(*key).agg(
+            F.ceil(F.count_if("home") / size).cast("int").alias("homes"),
+            F.ceil(F.count_if(~F.col("home")) / size).cast("int").alias("visitors"),
+        ).filter("homes > 0"),
+        "cells",
+    )
     slice_of = F.xxhash64("node")
     placed = spread.join(cuts, key)
     # A vector at home meets the visitors of its cell slice by slice, and a visitor the homes.
@@ -293,9 +295,9 @@ def linked_vectors(
             "links": pa.array(np.concatenate([links[some], np.zeros(len(child), np.int64)]), pa.int64()),
         })
 
-    met = stage(
-        blocks.groupBy(*key, "h", "v").applyInArrow(compare, "a long, b long, links long"), "links"
-    )
+    # Dealt by block: by cell alone, as the join leaves them, a large cell's blocks meet in one task.
+    dealt = blocks.repartition(*key, "h", "v").groupBy(*key, "h", "v")
+    met = stage(dealt.applyInArrow(compare, "a long, b long, links long"), "links")
     counts = met.groupBy(F.col("a").alias("_c")).agg(F.sum("links").alias("met"))
     reached = components(met.filter("a <> b").select("a", "b"))
     nodes = (
