@@ -60,7 +60,9 @@ def _propagate(
     full = [load >= 0.97 * level for load in _loads(state, shards)]
     here = links.join(state, "node")
     tally = [F.count_if(F.col("shard") == s).alias(f"n{s}") for s in range(shards)]
-    votes = here.join(here.groupBy("hub").agg(F.sum("size").alias("bytes"), *tally), "hub")
+    # Written first, so that the join deals both sides anew and a large hub's rows can be split.
+    tallies = stage(here.groupBy("hub").agg(F.sum("size").alias("bytes"), *tally), "tallies")
+    votes = here.join(tallies, "hub")
     names = [f"n{s}" for s in range(shards)]
     summed = votes.groupBy("node", "size", "shard").agg(
         F.min("hub").alias("hub"), F.count("*").alias("hubs"), F.sum("bytes").alias("bytes"), *(F.sum(n).alias(n) for n in names)
