@@ -242,3 +242,55 @@ def test_all_vectors_of_the_table(spark, folder, tables):
     assert sum(r.n_links for r in got.values()) >= 0.9 * 2 * len(links)
     if not links:
         assert all(r.kept and r.n_links == 0 for r in got.values())
+
+
+def test_pairs_at_the_threshold(spark):
+    """Pairs at 0.805 link, those at 0.799 and 0.75 don't; repeated lines don't count."""
+    draw = random.Random(21)
+    texts, want = {}, {}
+    for i in range(240):
+        words = [f"w{draw.getrandbits(40)}" for _ in range(300)]
+        changed = (32, 33, 42)[i % 3]
+        other = words[:-changed] + [f"w{draw.getrandbits(40)}" for _ in range(changed)]
+        if i % 12 == 0:
+            other += words[:150] + words[:150]
+        texts[2 * i], texts[2 * i + 1] = " ".join(words), " ".join(other)
+        grams = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (words, other)]
+        want[i] = len(grams[0] & grams[1]) / len(grams[0] | grams[1])
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(df).collect()}
+    linked = {i for i in want if got[2 * i] == got[2 * i + 1]}
+    assert not [i for i in linked if want[i] < 0.8]
+    at = [i for i in want if want[i] >= 0.8]
+    assert len(at) >= 60 and len(linked) >= 0.95 * len(at)
+
+
+@pytest.mark.parametrize("together", [6, 256])
+def test_crowds_are_verified_in_slices(spark, together):
+    """Chains and crowds at one candidate class come out as by brute force, however they are cut."""
+    draw = random.Random(22)
+    base, texts = [f"w{i}" for i in range(120)], {}
+    for i in range(90):
+        words = list(base)
+        for _ in range(draw.choice((0, 1, 2, 3, 4))):
+            words[draw.randrange(120)] = f"x{draw.getrandbits(40)}"
+        texts[i] = " ".join(words)
+    grams = {i: {tuple(t.split()[k : k + 5]) for k in range(116)} for i, t in texts.items()}
+    links = [(a, b) for a in texts for b in range(a) if len(grams[a] & grams[b]) / len(grams[a] | grams[b]) >= 0.8]
+    want = brute_components(texts, links)
+    assert 1 < len(set(want.values())) < 60
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rule = simhash.Rule(5, 256, 64, 64, together=together)
+    assert {r.doc_id: r.component_id for r in simhash.near_duplicates(df, rule).collect()} == want
+
+
+def test_walks_meet_at_every_size():
+    """The walks' bits, as they are picked, meet pairs at 0.8 with the rule's chance."""
+    rule = simhash.SIMILAR
+    draw = np.random.default_rng(23)
+    differ = draw.random((4000, rule.bits)) < np.arccos(1.6 / 1.8) / np.pi
+    for rows in (1000, 15_000_000, 100_000_000):
+        met = np.zeros(len(differ), bool)
+        for walk in rule.walks_for(rows):
+            met |= ~differ[:, list(walk.picked[: walk.head])].any(axis=1)
+        assert (met & (differ.sum(axis=1) <= rule.budget)).mean() >= rule.recall - 0.01

@@ -1,8 +1,13 @@
-"""Near-duplicates by SimHash: a self-join of binary tries under a budget of differing bits."""
+"""Near-duplicates by SimHash: a self-join of binary tries under a budget of differing bits.
+
+The rule for a similarity takes what the tries find as candidates and verifies them by Jaccard.
+"""
 
 from __future__ import annotations
 
 import math
+import random
+from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -21,12 +26,14 @@ FRONTIER = 200_000
 
 @dataclass(frozen=True)
 class Walk:
-    """One trie: the fingerprint's bits from ``first`` on, around its end, and how many of the
-    first ``head`` bits may differ; the bits after the head share the rule's ``reach``."""
+    """One trie: the fingerprint's bits from ``first`` on, around its end, or the 64 ``picked``
+    ones, and how many of the first ``head`` bits may differ; the bits after the head share the
+    rule's ``reach``."""
 
     first: int
     head: int
     errors: int
+    picked: tuple[int, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -34,9 +41,12 @@ class Rule:
     """Fingerprints of ``bits`` bits over runs of ``shingle`` words link at ``budget`` differing bits.
 
     ``reach`` is the most errors in the 64 bits of a trie.  With fixed ``walks`` a pair must keep
-    to the head errors of one of them.  Without, each walk starts with a node's path where no bit
-    differs, and there are as many walks as a pair at ``similarity`` needs to be found with the
-    chance ``recall``; nodes keep about ``node_rows`` fingerprints at any table size.
+    to the head errors of one of them, and what they find is the result.  Without, pairs in budget
+    are candidates, and texts link if the Jaccard similarity of their sets of shingles is at least
+    ``similarity``.  Each walk then has random bits of its own and starts with a node's path where
+    no bit differs, and there are as many walks as a pair at ``similarity`` needs to be met with
+    the chance ``recall``; nodes keep about ``node_rows`` fingerprints at any table size.  At most
+    about ``together`` sets, or ``together_bytes`` of them, are verified in one task.
     """
 
     shingle: int
@@ -45,40 +55,70 @@ class Rule:
     reach: int
     walks: tuple[Walk, ...] = ()
     similarity: float = 0.8
-    recall: float = 0.95
+    recall: float = 0.98
     node_rows: int = 1024
+    together: int = 256
+    together_bytes: int = 1 << 26
+
+    def met(self, depth: int, number: int) -> float:
+        """The chance that a pair at ``similarity`` is in budget and meets in one of ``number`` walks.
+
+        Walks share the pair's differing bits, however many those are; they only pick theirs
+        independently.
+        """
+        differs = math.acos(2 * self.similarity / (1 + self.similarity)) / math.pi
+        return sum(
+            math.comb(self.bits, d) * differs**d * (1 - differs) ** (self.bits - d)
+            * (1 - (1 - math.comb(self.bits - d, depth) / math.comb(self.bits, depth)) ** number)
+            for d in range(self.budget + 1)
+        )
 
     def walks_for(self, rows: int) -> tuple[Walk, ...]:
         if self.walks:
             return self.walks
         depth = min(32, max(8, math.ceil(math.log2(max(rows, 1) / self.node_rows))))
-        differs = math.acos(2 * self.similarity / (1 + self.similarity)) / math.pi
-        number = math.ceil(math.log(1 - self.recall) / math.log(1 - (1 - differs) ** depth))
-        return tuple(Walk(i * self.bits // number, depth, 0) for i in range(number))
+        number = 1
+        while self.met(depth, number) < self.recall:
+            number += 1
+        return tuple(
+            Walk(0, depth, 0, tuple(random.Random(i).sample(range(self.bits), 64))) for i in range(number)
+        )
 
 
 #: Exact: of 4 differing bits the first half has at most 2, or the second at most 1.
 FOUR_BITS = Rule(4, 64, 4, 4, (Walk(0, 32, 2), Walk(32, 32, 1)), node_rows=4096)
 
-#: For a Jaccard similarity of 0.8 on 5-word shingles: its cosine is 2 * 0.8 / 1.8, an angle that
-#: differs in 39 of 256 bits on average, with a deviation of 6; in 9.7 of 64 with one of 2.9.
-SIMILAR = Rule(5, 256, 44, 16)
+#: For a Jaccard similarity of 0.8 on 5-word shingles: its cosine is at least 2 * 0.8 / 1.8, an
+#: angle that differs in 39 of 256 bits on average, with a deviation of 6, and in 48 for sets of 4
+#: and 5, where ties count.  64 leaves room for either.
+SIMILAR = Rule(5, 256, 64, 64)
 
 
-def fingerprint(text: bytes, shingle: int, bits: int) -> bytes:
-    """The SimHash of a text, big-endian; zeros without words.
+def _shingles(text: bytes, shingle: int) -> list[bytes]:
+    """All runs of ``shingle`` words, or the one shorter run, of a text.
 
-    Words are cut at ASCII white space after lower-casing A-Z.  A bit is set when over half the
-    hashes of the shingles, repeats included, have it.  Bits beyond 64 come from further seeds.
+    Words are cut at ASCII white space after lower-casing A-Z.
     """
     words = text.lower().split()
     if not words:
-        return bytes(bits // 8)
+        return []
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words])
     stops = (ends - 1)[shingle - 1 :].tolist() or [len(joined)]
     starts = [0, *ends[: max(0, len(words) - shingle)].tolist()]
-    grams = [joined[a:b] for a, b in zip(starts, stops)]
+    return [joined[a:b] for a, b in zip(starts, stops)]
+
+
+def shingle_set(text: bytes, shingle: int) -> np.ndarray:
+    """The set of a text's shingles as sorted hashes."""
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.fromiter((digest(g, 42) for g in _shingles(text, shingle)), np.uint64))
+
+
+def _majority(grams: Sequence[bytes], bits: int) -> bytes:
+    """The bits that over half the hashes of the shingles have; zeros without shingles."""
+    if not grams:
+        return bytes(bits // 8)
     out = []
     for seed in range(42, 42 + bits // 64):
         digest = xxhash.xxh64_intdigest
@@ -91,19 +131,42 @@ def fingerprint(text: bytes, shingle: int, bits: int) -> bytes:
     return b"".join(out)
 
 
+def fingerprint(text: bytes, shingle: int, bits: int) -> bytes:
+    """The SimHash of a text, big-endian; zeros without words.
+
+    A bit is set when over half the hashes of the shingles, repeats included, have it.  Bits
+    beyond 64 come from further seeds.
+    """
+    return _majority(_shingles(text, shingle), bits)
+
+
+def set_fingerprint(text: bytes, shingle: int, bits: int) -> tuple[bytes, bytes]:
+    """The SimHash of a text's set of shingles, without repeats, and a digest of that set."""
+    grams = sorted(set(_shingles(text, shingle)))
+    return _majority(grams, bits), xxhash.xxh3_128_digest(b"\n".join(grams))
+
+
 def fingerprints(
     docs: DataFrame, rule: Rule, id_col: str = "doc_id", text_col: str = "text", *more: Column
 ) -> DataFrame:
-    """The id, ``more`` columns and ``fingerprint`` (binary) of every row; a NULL text is an empty one."""
+    """The id, ``more`` columns and ``fingerprint`` (binary) of every row; a NULL text is an empty one.
+
+    A rule for a similarity has the fingerprints of sets, and adds ``_set``, the set's digest.
+    """
     picked = docs.select(text_bytes(text_col).alias("_text"), id_col, *more)
     kept = picked.columns[1:]
 
     def rows(batch: pa.RecordBatch) -> dict[str, object]:
-        found = [fingerprint(t, rule.shingle, rule.bits) for t in batch.column(0).to_pylist()]
-        return {**{c: batch.column(i + 1) for i, c in enumerate(kept)}, "fingerprint": found}
+        texts = batch.column(0).to_pylist()
+        same = {c: batch.column(i + 1) for i, c in enumerate(kept)}
+        if rule.walks:
+            return {**same, "fingerprint": [fingerprint(t, rule.shingle, rule.bits) for t in texts]}
+        found = [set_fingerprint(t, rule.shingle, rule.bits) for t in texts]
+        return {**same, "fingerprint": [f for f, _ in found], "_set": [d for _, d in found]}
 
-    types = (f"`{c}` {picked.schema[c].dataType.simpleString()}" for c in kept)
-    return map_batches(picked, rows, ", ".join([*types, "fingerprint binary"]))
+    types = [f"`{c}` {picked.schema[c].dataType.simpleString()}" for c in kept]
+    types += ["fingerprint binary"] if rule.walks else ["fingerprint binary", "`_set` binary"]
+    return map_batches(picked, rows, ", ".join(types))
 
 
 def _words(prints: list[bytes], bits: int) -> np.ndarray:
@@ -121,11 +184,20 @@ def _turned(words: np.ndarray, first: int) -> np.ndarray:
     return (left << np.uint64(by)) | (right >> np.uint64(64 - by))
 
 
+def _keys(words: np.ndarray, walk: Walk) -> np.ndarray:
+    """The 64 bits of each fingerprint that the walk's trie is made of."""
+    if not walk.picked:
+        return _turned(words, walk.first)
+    bits = np.unpackbits(np.ascontiguousarray(words.astype(">u8")).view(np.uint8), axis=1)
+    chosen = np.packbits(bits[:, list(walk.picked)], axis=1)
+    return np.ascontiguousarray(chosen).view(">u8").reshape(-1).astype(np.uint64)
+
+
 class _Trie:
     """Sorted keys as a binary trie: a node is a range of them."""
 
-    def __init__(self, words: np.ndarray, first: int):
-        keys = _turned(words, first)
+    def __init__(self, words: np.ndarray, walk: Walk):
+        keys = _keys(words, walk)
         self.order = np.argsort(keys, kind="stable")
         self.keys = keys[self.order]
         self.words = words[self.order]
@@ -147,8 +219,8 @@ def linked(
     whose differing bits exceed the budget is dropped with all below it.
     """
     inside = right is None
-    a = _Trie(left, walk.first)
-    b = a if inside else _Trie(right, walk.first)
+    a = _Trie(left, walk)
+    b = a if inside else _Trie(right, walk)
     shift = 0 if inside else len(left)
     forest = SpanningForest(len(left) + (0 if inside else len(right)))
     zeros: dict[tuple[int, int], np.ndarray] = {}
@@ -231,14 +303,26 @@ def links(prints: DataFrame, rule: Rule) -> DataFrame:
     walks = rule.walks_for(rows)
     depth = max(5, math.ceil(math.log2(max(rows, 1) / rule.node_rows)))
     depth = min(depth if rule.walks else 64, *(w.head for w in walks))
-    ring = F.concat("fingerprint", "fingerprint")
-    tops = [
-        F.struct(F.lit(i).alias("walk"), F.conv(F.substring(F.lpad(F.conv(F.hex(
-            F.substring(ring, w.first // 8 + 1, 5)), 16, 2), 40, "0"), w.first % 8 + 1, depth),
-            2, 10).cast("long").alias("p"))
-        for i, w in enumerate(walks)
-    ]
-    keyed = prints.select("node", "fingerprint", F.inline(F.array(*tops)))
+    if rule.walks:
+        ring = F.concat("fingerprint", "fingerprint")
+        tops = [
+            F.struct(F.lit(i).alias("walk"), F.conv(F.substring(F.lpad(F.conv(F.hex(
+                F.substring(ring, w.first // 8 + 1, 5)), 16, 2), 40, "0"), w.first % 8 + 1, depth),
+                2, 10).cast("long").alias("p"))
+            for i, w in enumerate(walks)
+        ]
+        keyed = prints.select("node", "fingerprint", F.inline(F.array(*tops)))
+    else:
+        def paths(batch: pa.RecordBatch) -> dict[str, object]:
+            words = _words(batch.column(1).to_pylist(), rule.bits)
+            found = np.stack([_keys(words, w) >> np.uint64(64 - depth) for w in walks], axis=1)
+            tops = pa.array(found.astype(np.int64).tolist(), pa.list_(pa.int64()))
+            return {"node": batch.column(0), "fingerprint": batch.column(1), "tops": tops}
+
+        topped = map_batches(
+            prints.select("node", "fingerprint"), paths, "node long, fingerprint binary, tops array<long>"
+        )
+        keyed = topped.select("node", "fingerprint", F.posexplode("tops").alias("walk", "p"))
     sizes = stage(
         keyed.groupBy("walk", "p").agg(
             F.ceil(F.count("*") / (2 * rule.node_rows)).cast("int").alias("slices")
@@ -277,6 +361,161 @@ def links(prints: DataFrame, rule: Rule) -> DataFrame:
     return blocks.groupBy("walk", "x", "y").applyInArrow(join, "a long, b long")
 
 
+def alike(
+    sets: list[np.ndarray], similarity: float, labels: np.ndarray, probing: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning edges of the pairs of sets whose Jaccard similarity is at least ``similarity``.
+
+    Sets with one of the ``labels`` are connected already.  Pairs have an end among ``probing``; a
+    set that is connected to all others needs no more counting.
+    """
+    sizes = np.array([len(x) for x in sets])
+    forest = SpanningForest(len(sets))
+    first: dict[int, int] = {}
+    old = np.array([first.setdefault(x, i) for i, x in enumerate(labels.tolist())])
+    forest.add(np.arange(len(sets)), old)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, name = np.unique(np.concatenate(sets), return_inverse=True)
+    holders = owner[np.argsort(name, kind="stable")]
+    ends = np.cumsum(np.bincount(name, minlength=1))
+    starts = ends - np.bincount(name, minlength=1)
+    at = np.cumsum(sizes) - sizes
+    found: list[tuple[int, int]] = []
+    for i in probing.tolist():
+        if (forest.root == forest.root[i]).all():
+            continue
+        shared = np.zeros(len(sets), np.int64)
+        names = name[at[i] : at[i] + sizes[i]]
+        for part in range(0, len(names), 4096):
+            low, high = starts[names[part : part + 4096]], ends[names[part : part + 4096]]
+            width = high - low
+            where = np.repeat(low - np.cumsum(width) + width, width) + np.arange(width.sum())
+            shared += np.bincount(holders[where], minlength=len(sets))
+        near = shared / np.maximum(sizes + sizes[i] - shared, 1) >= similarity
+        for j in np.flatnonzero(near & (forest.root != forest.root[i])).tolist():
+            if forest.root[i] != forest.root[j]:
+                forest.add(np.array([i]), np.array([j]))
+                found.append((i, j))
+    ends_of = np.array(found, np.int64).reshape(-1, 2)
+    return ends_of[:, 0], ends_of[:, 1]
+
+
+def _verify(grouped, rule: Rule) -> DataFrame:
+    """The verified edges of each group of rows ``node``, ``set``, ``label`` and ``probes``."""
+
+    def join(group: pa.Table) -> pa.Table:
+        nodes = group.column("node").to_numpy()
+        sets = [np.frombuffer(x, np.uint64) for x in group.column("set").to_pylist()]
+        probing = np.flatnonzero(group.column("probes").to_numpy())
+        i, j = alike(sets, rule.similarity, group.column("label").to_numpy(), probing)
+        return pa.table({"a": pa.array(nodes[i], pa.int64()), "b": pa.array(nodes[j], pa.int64())})
+
+    return grouped.applyInArrow(join, "a long, b long")
+
+
+def _labelled(sets: DataFrame, edges: DataFrame) -> DataFrame:
+    """The sets with ``label``, the smallest node that the edges connect each with."""
+    reached = components(edges).select(F.col("node").alias("_n"), "component")
+    joined = sets.drop("label").join(reached, F.col("node") == F.col("_n"), "left")
+    return joined.withColumn("label", F.coalesce("component", "node")).drop("_n", "component")
+
+
+def similar(members: DataFrame, docs: DataFrame, text_col: str, rule: Rule) -> DataFrame:
+    """Edges that connect the texts at ``rule.similarity`` inside each class: longs ``a``, ``b``.
+
+    ``members`` has a long ``node``, its ``class`` of candidates and ``text``, the MD5 of a text.
+    Every pair of a class is held against the threshold unless verified links connect it already,
+    so a task holds the sets of one class.  A class of more than ``rule.together`` is cut: slices
+    of it, by two hashes, are verified each in itself; then what is not in the class's largest
+    component meets the whole class, slice by slice.  So a crowd of near copies is read a few
+    times, whatever its size, and only texts that link with nothing near are met by all.
+    """
+    several = members.groupBy("class").agg(F.count("*").alias("_n")).filter("_n > 1")
+    wanted = stage(
+        members.join(several.select(F.col("class").alias("_c")), F.col("class") == F.col("_c"))
+        .select(F.col("text").alias("_md5"), "node", "class"),
+        "candidates",
+    )
+    texts = docs.select(text_bytes(text_col).alias("_text"))
+    texts = texts.withColumn("_key", F.unhex(F.md5("_text"))).join(wanted, F.col("_key") == F.col("_md5"))
+
+    def hashed(batch: pa.RecordBatch) -> dict[str, object]:
+        found = [shingle_set(t, rule.shingle).tobytes() for t in batch.column(2).to_pylist()]
+        return {"node": batch.column(0), "class": batch.column(1), "set": found}
+
+    once = texts.select("node", "class", "_text").dropDuplicates(["node"])
+    hashes = stage(map_batches(once, hashed, "node long, class long, set binary"), "sets")
+    slices = F.greatest(
+        F.ceil(F.count("*") / rule.together), F.ceil(F.sum(F.octet_length("set")) / rule.together_bytes)
+    )
+    sized = stage(
+        hashes.groupBy("class").agg(slices.cast("int").alias("slices"))
+        .select(F.col("class").alias("_c"), "slices"),
+        "slices",
+    )
+    sets = hashes.join(sized, F.col("class") == F.col("_c")).drop("_c").withColumn("label", F.col("node"))
+    every = F.lit(True).alias("probes")
+
+    def within(rows: DataFrame, turn: int) -> DataFrame:
+        slot = F.pmod(F.xxhash64("node", F.lit(turn)), F.col("slices")).alias("slot")
+        grouped = rows.select("class", slot, "node", "set", "label", every).groupBy("class", "slot")
+        return _verify(grouped, rule)
+
+    edges = stage(within(sets, 0), "similar")
+    if sized.filter("slices > 1").isEmpty():
+        return edges
+    large = stage(sets.filter("slices > 1"), "large")
+    again = stage(within(_labelled(large, edges), 1), "similar")
+    edges = edges.union(again)
+    labelled = stage(_labelled(large, edges), "labelled")
+    counts = labelled.groupBy("class", "label").agg(F.count("*").alias("n"))
+    main = stage(
+        counts.groupBy("class").agg(F.max(F.struct("n", "label")).alias("m"), F.sum("n").alias("all"))
+        .select(F.col("class").alias("_c"), F.col("m.label").alias("_main"),
+                F.col("m.n").alias("_inner"), (F.col("all") - F.col("m.n")).alias("_rest"))
+        .filter("_rest > 0"),
+        "main",
+    )
+    # Slices of the largest component have the numbers before those of the rest.
+    share = F.col("slices") / (F.col("_inner") + F.col("_rest"))
+    inner = F.ceil(F.col("_inner") * share).cast("int")
+    rest = F.ceil(F.col("_rest") * share).cast("int")
+    open_ = (
+        labelled.join(main, F.col("class") == F.col("_c"))
+        .withColumn("inner", inner).withColumn("upto", inner + rest)
+        .withColumn("outside", F.col("label") != F.col("_main"))
+    )
+    hashed_at = F.xxhash64("node", F.lit(2))
+    slot = F.when(F.col("outside"), F.col("inner") + F.pmod(hashed_at, F.col("upto") - F.col("inner")))
+    open_ = open_.withColumn("slot", slot.otherwise(F.pmod(hashed_at, F.col("inner"))).cast("int"))
+    met = F.when(F.col("outside"), F.sequence(F.lit(0), F.col("upto") - 1)).otherwise(
+        F.sequence(F.col("inner"), F.col("upto") - 1)
+    )
+    blocks = open_.withColumn("other", F.explode(met)).filter("slot <> other")
+    blocks = blocks.select(
+        "class", F.least("slot", "other").alias("x"), F.greatest("slot", "other").alias("y"),
+        "node", "set", "label", (F.col("slot") > F.col("other")).alias("probes"),
+    )
+    return edges.union(_verify(blocks.groupBy("class", "x", "y"), rule))
+
+
+def _verified(rows: DataFrame, candidates: DataFrame, docs: DataFrame, id_col: str, text_col: str, rule: Rule):
+    """The sets of ``rows`` with their class: ``fingerprint``, ``_set``, ``least``, ``class``."""
+    distinct = rows.groupBy("fingerprint", "_set").agg(
+        F.min(id_col).alias("least"), F.min("_md5").alias("text")
+    )
+    prints = candidates.select(F.col("fingerprint").alias("_print"), "class")
+    members = stage(
+        distinct.join(prints, F.col("fingerprint") == F.col("_print")).drop("_print")
+        .withColumn("node", F.monotonically_increasing_id()),
+        "members",
+    )
+    reached = components(similar(members, docs, text_col, rule)).withColumnRenamed("node", "_n")
+    return members.drop("class").join(reached, F.col("node") == F.col("_n"), "left").select(
+        "fingerprint", "_set", "least", F.coalesce("component", "node").alias("class")
+    )
+
+
 def classes(
     docs: DataFrame, rule: Rule, id_col: str, text_col: str, *more: Column
 ) -> DataFrame:
@@ -285,7 +524,8 @@ def classes(
     ``class`` is the same for all rows of a class, ``component`` is the smallest id in it, NULL
     if it has none.
     """
-    rows = stage(fingerprints(docs, rule, id_col, text_col, *more), "fingerprints")
+    extra = () if rule.walks else (F.unhex(F.md5(text_bytes(text_col))).alias("_md5"),)
+    rows = stage(fingerprints(docs, rule, id_col, text_col, *more, *extra), "fingerprints")
     # One node per distinct fingerprint; copies are counted away before the shuffle.
     distinct = stage(
         rows.groupBy("fingerprint").agg(F.min(id_col).alias("least"))
@@ -296,10 +536,17 @@ def classes(
     classed = distinct.join(reached, F.col("node") == F.col("_n"), "left").select(
         "fingerprint", "least", F.coalesce("component", "node").alias("class")
     )
+    keys = ["fingerprint"]
+    if not rule.walks:
+        classed = stage(_verified(rows, classed, docs, id_col, text_col, rule), "verified")
+        keys = ["fingerprint", "_set"]
     # Written first, so that the join below deals both sides anew and large classes can be split.
     least = stage(classed.groupBy("class").agg(F.min("least").alias("component")), "classes")
-    found = classed.join(least, "class").select(F.col("fingerprint").alias("_print"), "class", "component")
-    return rows.join(found, F.col("fingerprint") == F.col("_print")).drop("_print")
+    found = classed.join(least, "class").select(*keys, "class", "component")
+    for key in keys:
+        found = found.withColumnRenamed(key, f"_of{key}")
+    same = [F.col(key) == F.col(f"_of{key}") for key in keys]
+    return rows.join(found, same).drop(*(f"_of{key}" for key in keys), "_set", "_md5")
 
 
 def near_duplicates(
@@ -307,8 +554,8 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per document: the id, ``fingerprint`` (hex) and ``component_id``.
 
-    ``component_id`` is the smallest id reachable over links, the row's own included.  NULL or
-    empty texts have the fingerprint zero, linked like any other; so are equal texts and repeated
+    ``component_id`` is the smallest id reachable over links, the row's own included.  By the
+    standing rule texts link at a similarity of 0.8, exactly; see ``Rule``.  NULL or empty texts have the fingerprint zero, linked like any other; so are equal texts and repeated
     rows.  Rows that share an id are classed each by its own text.  A row with a NULL id is
     returned with its class, NULL if that has no id.  Other columns are not read.  An empty table
     gives no rows.
