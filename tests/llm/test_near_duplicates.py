@@ -173,6 +173,31 @@ def test_shared_passage_goes_but_for_its_first_place(spark):
     assert got == {1: docs[1], 2: docs[2], 3: other(3), 4: other(4), 5: unmarked, 6: f"{other(6)}\n{other(66)}"}
 
 
+def test_passage_inside_a_long_sentence_at_all_offsets(spark):
+    """60 words that two long sentences share go but for their edges, wherever they stand."""
+    draw = random.Random(31)
+    word = lambda: f"w{draw.getrandbits(40)}"
+    docs = []
+    for offset in range(40):
+        passage = [word() for _ in range(60)]
+        for i, before in enumerate((7, offset)):
+            docs.append((2 * offset + i, " ".join([word() for _ in range(before)] + passage + [word() for _ in range(30 * (i == 0 or offset % 4))])))
+    texts = dict(docs)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in spans.remove_repeats(df).collect()}
+    assert all(got[2 * i] == texts[2 * i] for i in range(40))
+    gone = [len(texts[2 * i + 1].split()) - len(got[2 * i + 1].split()) for i in range(40)]
+    assert all(20 <= n <= 60 for n in gone) and sum(gone) >= 40 * 35
+
+
+@pytest.mark.parametrize("unit", ["a", "a b c", " ".join(map(str, range(500)))])
+def test_pieces_are_bounded(unit):
+    text = " ".join([unit] * 40)
+    parts = spans.sentences(text)
+    assert sum(n for _, _, n in parts) == len(text.split())
+    assert max(n for _, _, n in parts) < 20
+
+
 def test_runs_in_odd_documents(odd_docs):
     got = spans.remove_repeats(odd_docs)
     assert set(got.columns) == set(odd_docs.columns)

@@ -19,7 +19,8 @@ _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 @dataclass(frozen=True)
 class Runs:
     """A run starts at a sentence and takes the next ones until it has both ``sentences`` and
-    ``words``.  A sentence of more than ``longest`` words counts as pieces of ``piece`` words."""
+    ``words``.  A sentence of more than ``longest`` words counts as pieces of about ``piece`` words,
+    cut where its words say, so a passage inside is cut alike wherever it stands."""
 
     sentences: int = 2
     words: int = 20
@@ -30,6 +31,42 @@ class Runs:
 PRODUCTION = Runs()
 
 
+def _cuts(words: list[str], runs: Runs) -> list[int]:
+    """Where a long sentence is cut: the first words of its pieces.
+
+    A word starts a piece if the hash of it and the next one is the least of ``piece`` // 2 - 1 on
+    either side, the first of equal ones.  What is left longer than 4/3 of ``piece`` is cut at
+    its own least hash, as far from both ends.  A last piece that no run would reach joins the
+    one before it.
+    """
+    reach, most = max(1, runs.piece // 2 - 1), max(3, runs.piece * 4 // 3)
+    plain = " ".join(words).lower().split(" ")
+    digest = xxhash.xxh64_intdigest
+    marks = [digest(f"{a} {b}".encode("utf-8", "replace")) for a, b in zip(plain, plain[1:])]
+    marks.append(digest(plain[-1].encode("utf-8", "replace")))
+    n, found, i = len(words), [0], reach
+    while i <= n - reach:
+        mark = marks[i]
+        if mark == min(marks[i - reach : i + reach + 1]) and mark not in marks[i - reach : i]:
+            found.append(i)
+            i += reach
+        i += 1
+    out = []
+    waiting = list(zip(found, [*found[1:], n]))[::-1]
+    while waiting:
+        start, end = waiting.pop()
+        low, high = start + reach, end - reach
+        if end - start > most and low <= high:
+            at = min(range(low, high + 1), key=marks.__getitem__)
+            waiting += [(at, end), (start, at)]
+        else:
+            out.append(start)
+    from_run = [i for i in out[:-1] if n - i >= runs.words]
+    if len(out) > 1 and from_run and from_run[-1] < out[-2] and out[-1] - from_run[-1] >= runs.words:
+        out.pop()
+    return out
+
+
 def sentences(text: str, runs: Runs = PRODUCTION) -> list[tuple[int, int, int]]:
     """The sentences with a word as (start, end, words); white space between belongs to none."""
     edges, at = [], 0
@@ -42,9 +79,9 @@ def sentences(text: str, runs: Runs = PRODUCTION) -> list[tuple[int, int, int]]:
         n = len(_WORD.findall(text, start, end))
         if n > runs.longest:
             words = [m.span() for m in _WORD.finditer(text, start, end)]
-            for i in range(0, n, runs.piece):
-                part = words[i : i + runs.piece]
-                found.append((part[0][0], part[-1][1], len(part)))
+            cuts = _cuts([text[a:b] for a, b in words], runs)
+            for i, j in zip(cuts, [*cuts[1:], n]):
+                found.append((words[i][0], words[j - 1][1], j - i))
         elif n:
             found.append((start, end, n))
     return found
