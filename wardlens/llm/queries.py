@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardlens.llm import embeddings, mixing, packing, pages, ppm, quality, sharding, simhash, spans, warc
+from wardlens.llm import embeddings, manifest, mixing, packing, pages, ppm, quality, sharding, simhash, spans, warc
 from wardlens.llm.common import ship_code
 from wardlens.sources.staging import staging_path
 from wardlens.sources.tables import load
@@ -116,6 +116,18 @@ def op10_multi_index(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.linked_vectors(load(spark, folder, "embeddings"), threshold=0.93)
 
 
+def op13_interval_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load(spark, folder, "documents")
+    more = {"n_chars": F.col("n_chars").cast("decimal(20,0)") + 1}
+    picked = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    proofs = manifest.document_proofs(docs, changed=more, changed_where=picked)
+    root = manifest.folded(F.col("claimed"), F.col("proof"))
+    return proofs.select(
+        "doc_id", "leaf", "subroot", "root",
+        manifest.siblings_digest(F.col("proof")).alias("proof_sha256"), root.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         ship_code(spark)
@@ -155,6 +167,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_histogram_packing,
         op9_page_differencing,
         op10_multi_index,
+        op13_interval_manifest,
     )
 }
 
