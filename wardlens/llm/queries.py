@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardlens.llm import embeddings, manifest, mixing, packing, pages, ppm, quality, sharding, simhash, spans, warc
+from wardlens.llm import (
+    embeddings, manifest, mixing, packing, pages, ppm, quality, sharding, simhash, spans, variants, warc,
+)
 from wardlens.llm.common import ship_code
 from wardlens.sources.staging import staging_path
 from wardlens.sources.tables import load
@@ -116,6 +118,10 @@ def op10_multi_index(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.linked_vectors(load(spark, folder, "embeddings"), threshold=0.93)
 
 
+def op12_dense_tiles(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.group_variants(variants.word_counts(load(spark, folder, "documents")))
+
+
 def op13_interval_manifest(spark: SparkSession, folder: str) -> DataFrame:
     docs = load(spark, folder, "documents")
     more = {"n_chars": F.col("n_chars").cast("decimal(20,0)") + 1}
@@ -167,6 +173,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_histogram_packing,
         op9_page_differencing,
         op10_multi_index,
+        op12_dense_tiles,
         op13_interval_manifest,
     )
 }
