@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wardlens.operators.keys import join_back
 from wardlens.operators.sequences import numbered
@@ -58,133 +58,142 @@ def _bucket(position: Column, level: int | Column) -> Column:
     return F.call_function("shiftright", position, F.lit(level) if isinstance(level, int) else level)
 
 
+def _text(node: Column) -> Column:
+    """A digest kept in 32 bytes as the text it stands for."""
+    return F.lower(F.hex(node))
+
+
 def _pair_digest(nodes: Column) -> Callable[[Column], Column]:
     """The digest of the k-th two of an array of digests, or of the one that is left."""
-    return lambda k: digest(F.array_join(F.slice(nodes, (k * 2 + 1).cast("int"), F.lit(2)), ""))
+
+    def of(k: Column) -> Column:
+        pair = F.transform(F.slice(nodes, (k * 2 + 1).cast("int"), F.lit(2)), _text)
+        return F.unhex(digest(F.array_join(pair, "")))
+
+    return of
 
 
 def _band(bottom: DataFrame, level: int) -> DataFrame:
     """All nodes of the levels ``level`` to ``level + BAND`` above the given ones of ``level``.
 
-    ``bottom`` has g, n (leaves of the group), lo, hi and digest, for groups of several nodes.
+    ``bottom`` has g, n (leaves of the group), lo and node (32 bytes), for groups of several nodes.
+    The result labels each node with its level and interval from lo to before hi.
     """
     packed = (
         bottom.groupBy("g", "n", _bucket(F.col("lo"), level + BAND).alias("f"))
-        .agg(F.sort_array(F.collect_list(F.struct("lo", "digest"))).alias("nodes"))
-        .withColumn("l0", F.col("nodes.digest"))
+        .agg(F.sort_array(F.collect_list(F.struct("lo", "node"))).alias("nodes"))
+        .withColumn("l0", F.col("nodes.node"))
     )
     for j in range(1, BAND + 1):
         below = F.col(f"l{j - 1}")
         last = F.call_function("div", F.size(below) - 1, F.lit(2)).cast("int")
         several = F.col("n") > _width(level + j - 1)
         parents = F.transform(F.sequence(F.lit(0), last), _pair_digest(below))
-        empty = F.array().cast("array<string>")
-        packed = packed.withColumn(
-            f"l{j}", F.when(several, parents).otherwise(empty)
-        )
+        empty = F.array().cast("array<binary>")
+        packed = packed.withColumn(f"l{j}", F.when(several, parents).otherwise(empty))
     levels = F.array(*[
         F.struct(F.lit(level + j).alias("level"), F.col(f"l{j}").alias("digests")) for j in range(BAND + 1)
     ])
     each = packed.select("g", "n", "f", F.explode(levels).alias("at")).select(
-        "g", "n", "f", "at.level", F.posexplode("at.digests").alias("k", "digest")
+        "g", "n", "f", "at.level", F.posexplode("at.digests").alias("k", "node")
     )
     start = F.col("f") * _width(level + BAND)
     width = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("level"))
     return each.select(
         "g", "n", "level", (start + F.col("k") * width).alias("lo"),
-        F.least(F.col("n"), start + (F.col("k") + 1) * width).alias("hi"), "digest",
+        F.least(F.col("n"), start + (F.col("k") + 1) * width).alias("hi"), "node",
     )
 
 
 def _steps(nodes: DataFrame, level: int) -> DataFrame:
-    """The steps from each node of ``level`` to the band's top: g, lo and the sorted ``steps``."""
-    child = nodes.select("g", "level", "lo", "hi").filter(F.col("level") < level + BAND)
-    parent = nodes.select(
-        F.col("g").alias("pg"), F.col("level").alias("pl"), F.col("lo").alias("plo"), F.col("hi").alias("phi")
+    """The steps of all nodes below a band's top, per interval ``f`` of the top: g, f and ``steps``.
+
+    Parents are attached by a containment join on level and bucket.  What the parent's interval
+    has before or after the child's is the sibling's interval.
+    """
+    child = nodes.filter(F.col("level") < level + BAND).select(
+        "g", (F.col("level") + 1).alias("up"), _bucket(F.col("lo"), F.col("level") + 1).alias("bucket"),
+        "lo", "hi", "node",
+    )
+    parent = nodes.filter(F.col("level") > level).select(
+        F.col("g").alias("pg"), F.col("level").alias("pl"),
+        _bucket(F.col("lo"), F.col("level")).alias("pb"), F.col("lo").alias("plo"), F.col("hi").alias("phi"),
     )
-    above = F.col("level") + 1
     inside = (F.col("plo") <= F.col("lo")) & (F.col("hi") <= F.col("phi"))
     owned = child.join(
-        parent,
-        (F.col("g") == F.col("pg"))
-        & (F.col("pl") == above)
-        & (_bucket(F.col("plo"), F.col("pl")) == _bucket(F.col("lo"), above))
-        & inside,
-    )
-    # What the parent covers beside the child: the ranks before it, or those after it, or none.
-    left = F.col("plo") < F.col("lo")
-    owned = owned.select(
-        "g", "level", "lo", "hi",
-        F.when(left, F.col("plo")).otherwise(F.col("hi")).alias("slo"),
-        F.when(left, F.col("lo")).otherwise(F.col("phi")).alias("shi"),
-    )
-    sibling = nodes.select(
-        F.col("g").alias("og"), F.col("level").alias("ol"), F.col("lo").alias("olo"),
-        F.col("hi").alias("ohi"), F.col("digest").alias("other"),
-    )
-    beside = owned.join(
-        sibling,
-        (F.col("g") == F.col("og")) & (F.col("level") == F.col("ol"))
-        & (F.col("slo") == F.col("olo")) & (F.col("shi") == F.col("ohi")),
-        "left",
-    )
-    side = (
-        F.when(F.col("other").isNull(), F.lit(ALONE))
-        .when(F.col("slo") < F.col("lo"), F.lit(LEFT))
-        .otherwise(F.lit(RIGHT))
+        parent, (F.col("g") == F.col("pg")) & (F.col("up") == F.col("pl")) & (F.col("bucket") == F.col("pb")) & inside
     )
-    stepping = beside.select(
-        F.col("g").alias("ag"), F.col("level").alias("al"), F.col("lo").alias("alo"), F.col("hi").alias("ahi"),
-        F.concat(side, F.coalesce("other", F.lit(""))).alias("step"),
+    beside = Window.partitionBy("g", "up", "bucket").orderBy("lo")
+    before, after = F.lag(F.struct("lo", "hi", "node")).over(beside), F.lead(F.struct("lo", "hi", "node")).over(beside)
+    owned = owned.withColumn("before", before).withColumn("after", after)
+    is_left = (F.col("before.lo") == F.col("plo")) & (F.col("before.hi") == F.col("lo"))
+    is_right = (F.col("after.lo") == F.col("hi")) & (F.col("after.hi") == F.col("phi"))
+    step = F.struct(
+        "up", "lo", "hi",
+        F.when(is_left, F.lit(LEFT)).when(is_right, F.lit(RIGHT)).otherwise(F.lit(ALONE)).alias("side"),
+        F.when(is_left, F.col("before.node")).when(is_right, F.col("after.node")).alias("other"),
     )
-    levels = F.sequence(F.lit(level), F.lit(level + BAND - 1))
-    bottom = nodes.filter(F.col("level") == level).select("g", "lo", "hi", F.explode(levels).alias("up"))
-    holds = (F.col("alo") <= F.col("lo")) & (F.col("hi") <= F.col("ahi"))
-    attached = bottom.join(
-        stepping,
-        (F.col("g") == F.col("ag")) & (F.col("up") == F.col("al"))
-        & (_bucket(F.col("lo"), F.col("up")) == _bucket(F.col("alo"), F.col("al")))
-        & holds,
+    return owned.groupBy("g", _bucket(F.col("lo"), level + BAND).alias("f")).agg(
+        F.sort_array(F.collect_list(step)).alias("steps")
     )
-    ordered = F.sort_array(F.collect_list(F.struct("up", "step")))
-    return attached.groupBy("g", "lo").agg(ordered.getField("step").alias("steps"))
 
 
-def _paths(leaves: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The path of each leaf to its group's root, and the roots.
+def _path_of(position: Column, steps: Column, rest: Column) -> Column:
+    """The path of the node that begins at a rank: the steps of those that hold it, and the rest."""
+    held = F.filter(steps, lambda s: (s["lo"] <= position) & (position < s["hi"]))
+    none = F.array().cast(_PATH)
+    own = F.transform(held, lambda s: F.struct(s["side"].alias("side"), s["other"].alias("other")))
+    return F.concat(F.coalesce(own, none), F.coalesce(rest, none))
 
-    ``leaves`` (staged: g, n, lo, digest) gives the trees.  The first result has g, lo and path
-    (array of steps; groups of one leaf have no row), the second g and subroot.
+
+_PATH = "array<struct<side:string,other:binary>>"
+
+
+def _paths(leaves: DataFrame) -> tuple[DataFrame | None, DataFrame]:
+    """What each leaf needs for its path to its group's root, and the roots.
+
+    ``leaves`` (staged: g, n, lo, node) gives the trees.  The first result has g, f (leaf rank divided
+    by 2^BAND), steps and rest, for groups of several leaves (None where there are no such groups);
+    the second g and subroot (32 bytes).
     """
     largest = leaves.agg(F.max("n")).first()[0] or 0
-    roots = leaves.filter("n = 1").select("g", F.col("digest").alias("subroot"))
-    bottom = leaves.filter("n > 1").select("g", "n", "lo", (F.col("lo") + 1).alias("hi"), "digest")
+    roots = leaves.filter("n = 1").select("g", F.col("node").alias("subroot"))
+    bottom = leaves.filter("n > 1").select("g", "n", "lo", "node")
     bands, level = [], 0
     while largest > 1 << level:
         nodes = stage(_band(bottom, level), "tree")
         bands.append(nodes)
         whole = (F.col("lo") == 0) & (F.col("hi") == F.col("n"))
-        roots = roots.union(nodes.filter(whole).select("g", "digest"))
+        roots = roots.union(nodes.filter(whole).select("g", "node"))
         level += BAND
-        bottom = nodes.filter((F.col("level") == level) & ~whole).drop("level")
-    path = None
+        bottom = nodes.filter((F.col("level") == level) & ~whole)
+    above = None
     for k in reversed(range(len(bands))):
-        steps, level = _steps(bands[k], k * BAND), k * BAND
-        if path is None:
-            path = steps.withColumnRenamed("steps", "path")
+        level = k * BAND
+        steps = _steps(bands[k], level)
+        if above is None:
+            steps = steps.withColumn("rest", F.array().cast(_PATH))
         else:
-            upper = path.select(F.col("g").alias("ug"), F.col("lo").alias("ulo"), F.col("path").alias("rest"))
-            top = (_bucket(F.col("lo"), level + BAND) * _width(level + BAND)).alias("top")
-            path = steps.select("*", top).join(
-                upper, (F.col("g") == F.col("ug")) & (F.col("top") == F.col("ulo")), "left"
-            )
-            rest = F.coalesce("rest", F.array().cast("array<string>"))
-            path = path.select("g", "lo", F.concat("steps", rest).alias("path"))
+            steps = steps.join(above, (F.col("g") == F.col("ug")) & (F.col("f") == F.col("uf")), "left").drop("ug", "uf")
+        steps = stage(steps, "steps")
         if k:
-            path = stage(path, "paths")
-    if path is None:
-        path = leaves.filter("n > 1").select("g", "lo", F.array().cast("array<string>").alias("path"))
-    return path, roots
+            tops = bands[k].filter(F.col("level") == level).select(
+                F.col("g").alias("ug"), F.col("lo").alias("ulo"), _bucket(F.col("lo"), level).alias("uf"),
+                _bucket(F.col("lo"), level + BAND).alias("in"),
+            )
+            path = _path_of(F.col("ulo"), F.col("steps"), F.col("rest")).alias("rest")
+            above = tops.join(steps, (F.col("ug") == F.col("g")) & (F.col("in") == F.col("f"))).select("ug", "uf", path)
+    return (steps if bands else None), roots
+
+
+def _with_paths(rows: DataFrame, steps: DataFrame | None, g: str, lo: str, out: str) -> DataFrame:
+    """Rows with the path of the leaf at rank ``lo`` of group ``g``."""
+    if steps is None:
+        return rows.withColumn(out, F.array().cast(_PATH))
+    named = steps.select(*[F.col(c).alias(f"_m_s_{c}") for c in ("g", "f", "steps", "rest")])
+    same = (F.col(g) == F.col("_m_s_g")) & (_bucket(F.col(lo), BAND) == F.col("_m_s_f"))
+    path = _path_of(F.col(lo), F.col("_m_s_steps"), F.col("_m_s_rest"))
+    return rows.join(named, same, "left").withColumn(out, path).drop(*named.columns)
 
 
 def prove(leaves: DataFrame, group: str, order: Sequence[str], leaf: str = "leaf") -> DataFrame:
@@ -200,40 +209,36 @@ def prove(leaves: DataFrame, group: str, order: Sequence[str], leaf: str = "leaf
     empty table gives no rows.  Columns whose names begin with ``_m_`` are not allowed.
     """
     leaves = leaves.drop("subroot", "root", "proof")
-    rows = stage(leaves, "leaves")
-    rows = numbered(rows, group, *order, leaf, out="_m_no")
+    kept = [F.col(f"`{c}`") for c in leaves.columns if c != leaf]
+    rows = stage(leaves.select(*kept, F.unhex(F.col(f"`{leaf}`")).alias("_m_node")), "leaves")
+    rows = numbered(rows, group, *order, "_m_node", out="_m_no")
     sizes = rows.groupBy(group).agg(F.min("_m_no").alias("_m_first"), F.count(F.lit(1)).alias("_m_n"))
     groups = stage(numbered(sizes, "_m_first", out="_m_g"), "groups")
     rows = join_back(rows, groups, [group])
     rows = stage(rows.withColumn("_m_lo", F.col("_m_no") - F.col("_m_first")), "ranked")
-    trees = rows.select(
-        F.col("_m_g").alias("g"), F.col("_m_n").alias("n"), F.col("_m_lo").alias("lo"),
-        F.col(f"`{leaf}`").alias("digest"),
-    )
-    path, subroots = _paths(trees)
+    steps, subroots = _paths(rows.select(
+        F.col("_m_g").alias("g"), F.col("_m_n").alias("n"), F.col("_m_lo").alias("lo"), F.col("_m_node").alias("node"),
+    ))
     subroots = stage(subroots, "subroots")
-    n_groups = subroots.count()
+    count = F.lit(subroots.count()).cast("bigint")
     top = subroots.select(
-        F.lit(0).cast("bigint").alias("g"), F.lit(n_groups).cast("bigint").alias("n"),
-        (F.col("g") - 1).alias("lo"), F.col("subroot").alias("digest"),
+        F.lit(0).cast("bigint").alias("g"), count.alias("n"), (F.col("g") - 1).alias("lo"), F.col("subroot").alias("node"),
+    )
+    top_steps, top_root = _paths(top)
+    root = top_root.first()
+    heads = subroots.select(
+        F.lit(0).cast("bigint").alias("_m_top"), F.col("g").alias("_m_h"), (F.col("g") - 1).alias("_m_hlo"),
+        _text(F.col("subroot")).alias("_m_subroot"),
+        F.lit(root[1].hex() if root else None).cast("string").alias("_m_root"),
     )
-    group_path, root = _paths(top)
-    top_root = root.first()
-    whole = subroots.withColumn("root", F.lit(top_root[1] if top_root else None).cast("string"))
-    up = group_path.select((F.col("lo") + 1).alias("hg"), F.col("path").alias("group_path"))
-    whole = stage(whole.join(up, F.col("g") == F.col("hg"), "left").drop("hg"), "roots")
-    none = F.array().cast("array<string>")
-    path = path.select(F.col("g").alias("_m_pg"), F.col("lo").alias("_m_plo"), "path")
-    found = rows.join(path, (F.col("_m_g") == F.col("_m_pg")) & (F.col("_m_lo") == F.col("_m_plo")), "left")
-    heads = whole.select(
-        F.col("g").alias("_m_hg"), F.col("subroot").alias("_m_subroot"), F.col("root").alias("_m_root"),
-        F.col("group_path").alias("_m_group_path"),
+    heads = stage(_with_paths(heads, top_steps, "_m_top", "_m_hlo", "_m_up"), "roots")
+    found = _with_paths(rows, steps, "_m_g", "_m_lo", "_m_path").join(heads, F.col("_m_g") == F.col("_m_h"))
+    proof = F.transform(
+        F.concat("_m_path", "_m_up"), lambda s: F.concat(s["side"], F.coalesce(_text(s["other"]), F.lit("")))
     )
-    found = found.join(heads, F.col("_m_g") == F.col("_m_hg"))
-    proof = F.concat(F.coalesce("path", none), F.coalesce("_m_group_path", none))
+    columns = [_text(F.col("_m_node")).alias(leaf) if c == leaf else F.col(f"`{c}`") for c in leaves.columns]
     return found.select(
-        *[F.col(f"`{c}`") for c in leaves.columns],
-        F.col("_m_subroot").alias("subroot"), F.col("_m_root").alias("root"), proof.alias("proof"),
+        *columns, F.col("_m_subroot").alias("subroot"), F.col("_m_root").alias("root"), proof.alias("proof")
     )
 
 
@@ -264,11 +269,12 @@ def document_proofs(
     row would present.  Only the given fields count; other columns, whatever their names, don't.
     """
     leaf = leaf_digest(fields)
-    claimed = leaf
+    claimed = F.lit(None).cast("string")
     if changed and changed_where is not None:
-        claimed = F.when(changed_where, leaf_digest(fields, changed)).otherwise(leaf)
+        claimed = F.when(changed_where, leaf_digest(fields, changed))
     leaves = docs.select(
         F.col(f"`{id_col}`").alias("id"), F.col(f"`{group_col}`").cast("string").alias("grp"),
         leaf.alias("leaf"), claimed.alias("claimed"),
     )
-    return prove(leaves, "grp", ["id"]).withColumnRenamed("id", id_col).drop("grp")
+    proofs = prove(leaves, "grp", ["id"]).withColumn("claimed", F.coalesce("claimed", "leaf"))
+    return proofs.withColumnRenamed("id", id_col).drop("grp")
