@@ -52,10 +52,21 @@ def staged(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _open_contexts.remove(paths)
-        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
         for path in paths:
-            place = jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(conf).delete(place, True)
+            delete_path(spark, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder on any of Spark's file systems; nothing happens if there is none."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a staged table that nothing reads any more, or any scan or selection of it."""
+    for path in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+        if f"/wardlens/{table.sparkSession.conf.get('spark.app.id', 'local')}/" in path:
+            delete_path(table.sparkSession, path)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
