@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wardlens.llm import (
-    embeddings, manifest, mixing, packing, pages, ppm, quality, sharding, simhash, spans, variants, warc,
+    bwt, embeddings, manifest, mixing, packing, pages, ppm, quality, sharding, simhash, spans, variants, warc,
 )
 from wardlens.llm.common import ship_code
 from wardlens.sources.staging import staging_path
@@ -118,6 +118,16 @@ def op10_multi_index(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.linked_vectors(load(spark, folder, "embeddings"), threshold=0.93)
 
 
+def op11_merged_transforms(spark: SparkSession, folder: str) -> DataFrame:
+    found = bwt.repeated_bytes(load(spark, folder, "documents"))
+    cut = bwt.without_ranges(found.select("doc_id", "text", "repeated"))
+    removed = F.aggregate("repeated", F.lit(0).cast("long"), lambda n, r: n + (r["ends"] - r["begins"]))
+    return cut.select(
+        "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), removed.alias("n_removed"),
+        F.size("repeated").cast("long").alias("n_spans"), "kept_sha256",
+    )
+
+
 def op12_dense_tiles(spark: SparkSession, folder: str) -> DataFrame:
     return variants.group_variants(variants.word_counts(load(spark, folder, "documents")))
 
@@ -173,6 +183,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_histogram_packing,
         op9_page_differencing,
         op10_multi_index,
+        op11_merged_transforms,
         op12_dense_tiles,
         op13_interval_manifest,
     )
