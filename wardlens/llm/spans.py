@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import re
+import struct
 from dataclasses import dataclass
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from wardlens.llm.common import map_batches, unused
 from wardlens.sources.staging import stage
 
-_BREAK = re.compile(r"(?<=[.!?。！？])\s+|\s*\n\s*")
+#: White space after a sentence's end, or any with a line end; what stands before the latter is cut off later.
+_BREAK = re.compile(r"[.!?。！？]\s+|\n\s*")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_HALVES = struct.Struct(">qq")
 
 
 @dataclass(frozen=True)
@@ -31,8 +35,8 @@ class Runs:
 PRODUCTION = Runs()
 
 
-def _cuts(words: list[str], runs: Runs) -> list[int]:
-    """Where a long sentence is cut: the first words of its pieces.
+def _cuts(words: list[bytes], runs: Runs) -> list[int]:
+    """Where a long sentence is cut: the first of its lower-cased words that start pieces.
 
     A word starts a piece if the hash of it and the next one is the least of ``piece`` // 2 - 1 on
     either side, the first of equal ones.  What is left longer than 4/3 of ``piece`` is cut at
@@ -40,17 +44,17 @@ def _cuts(words: list[str], runs: Runs) -> list[int]:
     one before it.
     """
     reach, most = max(1, runs.piece // 2 - 1), max(3, runs.piece * 4 // 3)
-    plain = " ".join(words).lower().split(" ")
     digest = xxhash.xxh64_intdigest
-    marks = [digest(f"{a} {b}".encode("utf-8", "replace")) for a, b in zip(plain, plain[1:])]
-    marks.append(digest(plain[-1].encode("utf-8", "replace")))
+    marks = [digest(a + b" " + b) for a, b in zip(words, words[1:])]
+    marks.append(digest(words[-1]))
     n, found, i = len(words), [0], reach
     while i <= n - reach:
-        mark = marks[i]
-        if mark == min(marks[i - reach : i + reach + 1]) and mark not in marks[i - reach : i]:
+        around = marks[i - reach : i + reach + 1]
+        least = i - reach + around.index(min(around))
+        if least == i:
             found.append(i)
-            i += reach
-        i += 1
+        # No word between this one and a later least one, nor any that an earlier one is near, qualifies.
+        i = least if least > i else least + reach + 1
     out = []
     waiting = list(zip(found, [*found[1:], n]))[::-1]
     while waiting:
@@ -67,43 +71,50 @@ def _cuts(words: list[str], runs: Runs) -> list[int]:
     return out
 
 
-def sentences(text: str, runs: Runs = PRODUCTION) -> list[tuple[int, int, int]]:
-    """The sentences with a word as (start, end, words); white space between belongs to none."""
+def _parts(text: str, runs: Runs) -> list[tuple[int, int, list[bytes]]]:
+    """The sentences with a word: start, end and lower-cased words."""
     edges, at = [], 0
     for gap in _BREAK.finditer(text):
-        edges.append((at, gap.start()))
+        start = gap.start()
+        if text[start] == "\n":
+            edges.append((at, at + len(text[at:start].rstrip())))
+        else:
+            edges.append((at, start + 1))
         at = gap.end()
     edges.append((at, len(text)))
     found = []
     for start, end in edges:
-        n = len(_WORD.findall(text, start, end))
-        if n > runs.longest:
-            words = [m.span() for m in _WORD.finditer(text, start, end)]
-            cuts = _cuts([text[a:b] for a, b in words], runs)
-            for i, j in zip(cuts, [*cuts[1:], n]):
-                found.append((words[i][0], words[j - 1][1], j - i))
-        elif n:
-            found.append((start, end, n))
+        words = text[start:end].lower().encode("utf-8", "replace").split()
+        if len(words) > runs.longest:
+            places = [m.span() for m in _WORD.finditer(text, start, end)]
+            cuts = _cuts(words, runs)
+            for i, j in zip(cuts, [*cuts[1:], len(words)]):
+                found.append((places[i][0], places[j - 1][1], words[i:j]))
+        elif words:
+            found.append((start, end, words))
     return found
 
 
+def sentences(text: str, runs: Runs = PRODUCTION) -> list[tuple[int, int, int]]:
+    """The sentences with a word as (start, end, words); white space between belongs to none."""
+    return [(start, end, len(words)) for start, end, words in _parts(text, runs)]
+
+
 def run_hashes(text: str, runs: Runs = PRODUCTION) -> list[tuple[int, int, int, int]]:
     """All runs of a text as (hash, hash, first sentence, sentences); case and spacing don't count."""
-    parts = sentences(text, runs)
-    plain = [" ".join(_WORD.findall(text[a:b].lower())).encode("utf-8", "replace") for a, b, _ in parts]
-    out, end, words = [], 0, 0
-    for i in range(len(parts)):
-        while end < len(parts) and (end - i < runs.sentences or words < runs.words):
-            words += parts[end][2]
+    words = [part for _, _, part in _parts(text, runs)]
+    sizes = [len(part) for part in words]
+    plain = [b" ".join(part) for part in words]
+    out, end, total, last = [], 0, 0, len(plain)
+    for i in range(last):
+        while end < last and (end - i < runs.sentences or total < runs.words):
+            total += sizes[end]
             end += 1
-        if end - i < runs.sentences or words < runs.words:
+        if end - i < runs.sentences or total < runs.words:
             break
-        digest = xxhash.xxh3_128_digest(b"\n".join(plain[i:end]))
-        out.append((
-            int.from_bytes(digest[:8], "big", signed=True),
-            int.from_bytes(digest[8:], "big", signed=True), i, end - i,
-        ))
-        words -= parts[i][2]
+        h1, h2 = _HALVES.unpack(xxhash.xxh3_128_digest(b"\n".join(plain[i:end])))
+        out.append((h1, h2, i, end - i))
+        total -= sizes[i]
     return out
 
 
@@ -158,9 +169,13 @@ def remove_repeats(
             "_id": batch.column(0).take(take), "_r": batch.column(1).take(take),
         }
 
-    spans = map_batches(
-        keyed.select(id_col, row, text_col), rows,
-        f"h1 long, h2 long, i int, n int, `_id` {id_type}, `_r` long",
+    # Written first, so that the texts are read and hashed once for both uses.
+    spans = stage(
+        map_batches(
+            keyed.select(id_col, row, text_col), rows,
+            f"h1 long, h2 long, i int, n int, `_id` {id_type}, `_r` long",
+        ),
+        "runs",
     )
     place = F.struct(F.col("_id").isNull().alias("none"), "_id", "_r", "i")
     # Written first, so that the join deals both sides anew and a frequent run's rows can be split.
@@ -181,14 +196,15 @@ def remove_repeats(
 
     def cut(batches):
         for batch in batches:
-            texts, removed = batch.column(at).to_pylist(), []
+            texts, removed, changed, shorter = batch.column(at), [], [], []
             for i, runs_of in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
                 gone = {k for r in runs_of or () for k in range(r["i"], r["i"] + r["n"])}
                 if gone:
-                    texts[i] = without(texts[i], gone, runs)
+                    shorter.append(without(texts[i].as_py(), gone, runs))
+                changed.append(bool(gone))
                 removed.append(sorted(gone))
             columns = batch.columns[:-1]
-            columns[at] = pa.array(texts, pa.string())
+            columns[at] = pc.replace_with_mask(texts, pa.array(changed, pa.bool_()), pa.array(shorter, texts.type))
             columns.append(pa.array(removed, pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(columns, names)
 
