@@ -30,11 +30,13 @@ from wardlens.llm.common import arrow_schema, unused
 from wardlens.sources.staging import discard, stage
 
 #: Bytes of text that a shard gathers; a longer document is a shard of its own.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 4 << 20
 #: Keys of a bucket, about; a bucket's keys from all shards meet in one task.
 BUCKET_KEYS = 1 << 19
 #: Symbols up to which intervals are refined; a string of that many short phrases counts as long enough.
 STEPS = 12
+#: Refinement also ends when fewer than one in so many of the first intervals are left; those count as long enough.
+FEW = 100
 #: Bytes that choose a cut together, before the window is taken.
 GRAM = 8
 #: Positions that are hashed in one piece.
@@ -278,12 +280,12 @@ def _suffix_order(seq: np.ndarray) -> np.ndarray:
 
 
 _STATE = (
-    "shard long, names binary, widths binary, bwt binary, before binary, place binary, steps binary, "
-    "low binary, size binary, id binary, bytes binary, depth int, n long"
+    "shard long, names binary, widths binary, bwt binary, before binary, steps binary, low binary, "
+    "size binary, id binary, bytes binary, depth int, n long"
 )
 _TYPES = {
-    "names": "<u8", "widths": "<i4", "bwt": "<i4", "before": "<i4", "place": "<i4", "steps": "u1",
-    "low": "<i4", "size": "<i4", "id": "<u8", "bytes": "<i4",
+    "names": "<u8", "widths": "<u2", "bwt": "<i4", "before": "<i4", "steps": "u1", "low": "<i4", "size": "<i4",
+    "id": "<u8", "bytes": "<u2",
 }
 
 
@@ -372,9 +374,9 @@ def _refined(row: dict, buckets: int, most: int) -> dict[str, object]:
     return {**state, "steps": steps, **{name: values[open_] for name, values in new.items()}, "depth": depth}
 
 
-def _states(rows: DataFrame, make, *args) -> DataFrame:
+def _states(rows: DataFrame, make, schema: str, *args) -> DataFrame:
     """Apply a step to each shard's row."""
-    target = arrow_schema(_STATE)
+    target = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -382,48 +384,56 @@ def _states(rows: DataFrame, make, *args) -> DataFrame:
                 row = _row(batch, i)
                 state = make(row, *args)
                 columns = {name: np.asarray(state[name]).astype(kind).tobytes() for name, kind in _TYPES.items()}
+                columns["place"] = np.asarray(state.get("place", ())).astype("<i4").tobytes()
                 columns |= {"shard": row["shard"], "depth": state["depth"], "n": len(state["low"])}
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([columns[f.name]], f.type) for f in target], schema=target
                 )
 
-    return stage(rows.mapInArrow(run, _STATE), "transforms")
+    return stage(rows.mapInArrow(run, schema), "transforms")
 
 
 def _total(rows: DataFrame) -> int:
     return rows.agg(F.sum("n")).first()[0] or 0
 
 
-def common_prefixes(shards: DataFrame, match: Match) -> DataFrame:
+def common_prefixes(shards: DataFrame, match: Match) -> tuple[DataFrame, int]:
     """Merge the shards: shard, and per suffix its phrase (``place``) and ``steps``, the symbols that
-    it has in common with another suffix, as far as a match's inner part reaches."""
+    it has in common with another suffix, as far as a match's inner part reaches.  The second result
+    is the number of symbols that counts as long enough."""
     most = match.last - match.first
     answers, buckets = _exchange(shards.select("shard", "syms"), lambda row: _symbols(row)[0], _total(shards), 4)
     begun = _with_answers(shards.select("shard", "counts", "syms", "begins"), answers)
-    state = _states(begun, _transform, buckets, most)
-    for _ in range(STEPS - 1):
+    first = _states(begun, _transform, f"{_STATE}, place binary", buckets, most)
+    state, depth, initial = first.drop("place"), 1, _total(first)
+    while depth < STEPS:
         count = _total(state)
-        if not count:
+        if count * FEW <= initial:
             break
         answers, buckets = _exchange(state, lambda row: np.unique(_longer(_arrays(row))["id"]), count, 8)
-        state, old = _states(_with_answers(state, answers), _refined, buckets, most), state
-        discard(old)
-    return state.select("shard", "place", "steps")
+        state, old = _states(_with_answers(state, answers), _refined, _STATE, buckets, most), state
+        if depth > 1:
+            discard(old)
+        depth += 1
+    places = first.select(F.col("shard").alias("to"), "place")
+    return state.select("shard", "steps").join(places, F.col("shard") == F.col("to")).drop("to"), depth
 
 
 # --- from repeated intervals to bytes ----------------------------------------------------------
 
 
-def _ranges_of(begins: np.ndarray, steps: np.ndarray, size: int, match: Match) -> tuple[np.ndarray, np.ndarray]:
+def _ranges_of(
+    begins: np.ndarray, steps: np.ndarray, size: int, match: Match, enough: int
+) -> tuple[np.ndarray, np.ndarray]:
     """Where a match may start in a document: first and last places.
 
     For a start whose first inner cut is f, the string of phrases from f up to the last inner cut must
-    occur elsewhere, so that cut is at most f's number of steps away.
+    occur elsewhere, so that cut is at most f's number of steps away, or that number is ``enough``.
     """
     f = np.flatnonzero(steps)
-    edges = np.r_[begins, np.full(STEPS + 2, size + match.length)]
+    edges = np.r_[begins, np.full(enough + 2, size + match.length)]
     first = np.where(f > 0, begins[f - 1] - match.first + 1, 0)
-    beyond = np.where(steps[f] < STEPS, edges[f + steps[f] + 1] - match.last - 1, size)
+    beyond = np.where(steps[f] < enough, edges[f + steps[f] + 1] - match.last - 1, size)
     last = np.minimum(np.minimum(begins[f] - match.first, beyond), size - match.length)
     first = np.maximum(first, 0)
     ok = first <= last
@@ -440,7 +450,7 @@ def _joined(first: np.ndarray, last: np.ndarray, gap: int) -> tuple[np.ndarray,
     return first[new], top[ends]
 
 
-def _candidates(shards: DataFrame, prefixes: DataFrame, match: Match, id_type: str) -> DataFrame:
+def _candidates(shards: DataFrame, prefixes: DataFrame, match: Match, enough: int, id_type: str) -> DataFrame:
     """Documents with places where a match may start: id, row, shard, starts, ends and n places."""
     ddl = f"id {id_type}, row long, shard long, starts array<int>, ends array<int>, n long"
     target = arrow_schema(ddl)
@@ -460,7 +470,7 @@ def _candidates(shards: DataFrame, prefixes: DataFrame, match: Match, id_type: s
                 for d in range(len(counts)):
                     own = steps[phrase[d] : phrase[d + 1]]
                     if own.any():
-                        first, last = _ranges_of(begins[cut[d] : cut[d + 1]], own, row["sizes"][d], match)
+                        first, last = _ranges_of(begins[cut[d] : cut[d + 1]], own, row["sizes"][d], match, enough)
                         if len(first):
                             out.append((row["ids"][d], row["rows"][d], row["shard"], first.tolist(), last.tolist(),
                                         int((last - first + 1).sum())))
@@ -564,8 +574,8 @@ def repeated_bytes(
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary")
     keyed = docs.select(F.col(f"`{id_col}`").alias("_i"), F.xxhash64(text).alias("_h"), text.alias("_t"))
     shards = _shards(keyed, match, id_type)
-    prefixes = common_prefixes(shards, match)
-    candidates = _candidates(shards, prefixes, match, id_type)
+    prefixes, enough = common_prefixes(shards, match)
+    candidates = _candidates(shards, prefixes, match, enough, id_type)
     discard(shards)
     discard(prefixes)
     cases = _cases(keyed, candidates, match, id_type)
