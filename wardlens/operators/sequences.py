@@ -16,14 +16,13 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from wardlens.functions.exact_sums import (
+    ALL_DOUBLES, addends, range_aggregates, range_totals, total, words_for, words_from,
+)
 from wardlens.operators.keys import join_back, same_keys
 from wardlens.sources.staging import stage
 
 DEFAULT_MAX_GROUP_ROWS = 4_000_000
-# Running sums of doubles are taken in this type: exact to 12 decimals whatever
-# the order of addition, up to 10^24; values beyond fail instead of being lost.
-# Two such numbers add up without losing a decimal.
-EXACT_SUM = "decimal(36,12)"
 
 _COMBINE = {
     "sum": lambda before, here: F.when(before.isNull(), here).otherwise(
@@ -98,8 +97,9 @@ def oversized_groups(sizes: DataFrame, keys: Sequence[str], limit: int) -> DataF
 
     ``sizes`` has the keys and ``_n``, rows per group.  The driver only asks whether there are any.
     """
-    found = stage(sizes.filter(F.col("_n") > limit).select(*keys), "oversized")
-    return None if found.isEmpty() else found
+    if (sizes.agg(F.max("_n")).first()[0] or 0) <= limit:
+        return None
+    return stage(sizes.filter(F.col("_n") > limit).select(*keys), "oversized")
 
 
 def along(
@@ -118,18 +118,33 @@ def along(
     or after (n < 0).  ``derive`` may then add row-wise columns.  ``running``
     maps an output to (sum | count | min | max, column) over the rows from the
     group's first to the current one.  ``order`` must be total within a group.
-    Sums of doubles are exact to 12 decimals, so both ways give the same bits.
+    Sums of doubles are added up as whole numbers (see ``functions.exact_sums``), so both ways give
+    the same bits at any magnitude; a NaN, or infinities of both signs, make the sum NaN from there on.
     Callers that know the rows per group pass them as ``sizes`` (keys and ``_n``).
     Without keys the rows are always cut into chunks.
     """
     shifts, running = dict(shifts or {}), dict(running or {})
     derive = derive or (lambda d: d)
     limit = group_limit(df, max_group_rows)
+    doubles, measured = _double_sums(df, shifts, derive, running)
+    hot, words = None, dict.fromkeys(doubles, ALL_DOUBLES)
+    if keys and sizes is None:
+        # One job tells the size of the largest group and the range of the values to add up.
+        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *range_aggregates(measured))
+        most = sizes.agg(F.max("_n").alias("_n"), *range_totals(measured)).first()
+        words |= words_from(most, measured)
+        if (most["_n"] or 0) > limit:
+            hot = stage(sizes.filter(F.col("_n") > limit).select(*keys), "oversized")
+    else:
+        words |= words_for(df, measured) if measured else {}
+        hot = oversized_groups(sizes, keys, limit) if keys else None
+    running, finish = _exact_sums(doubles, words, running)
+    return finish(_along(df, keys, order, shifts, derive, running, limit, hot))
+
+
+def _along(df, keys, order, shifts, derive, running, limit, hot) -> DataFrame:
     if not keys:
         return _by_chunks(df, keys, order, shifts, derive, running, limit)
-    if sizes is None:
-        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = oversized_groups(sizes, keys, limit)
     if hot is None:
         return _by_window(df, keys, order, shifts, derive, running)
     hot = hot.select(*[F.col(k).alias(f"_r_{k}") for k in keys])
@@ -140,16 +155,35 @@ def along(
     )
 
 
-def _addends(df: DataFrame, running: Mapping[str, tuple[str, Column | str]]) -> tuple[dict, list[str]]:
-    """The running aggregates with sums of doubles made exact, and the outputs to turn back."""
-    exact, doubles = {}, []
-    for name, (fn, column) in running.items():
-        column = F.col(column) if isinstance(column, str) else column
-        kind = df.select(column.alias("_")).schema["_"].dataType
-        if fn == "sum" and isinstance(kind, (DoubleType, FloatType)):
-            column, doubles = column.cast(EXACT_SUM), [*doubles, name]
-        exact[name] = (fn, column)
-    return exact, doubles
+def _double_sums(df, shifts, derive, running) -> tuple[dict[str, Column], dict[str, Column]]:
+    """The running sums of doubles, and those of them whose values the input has already."""
+    sums = {n: F.col(c) if isinstance(c, str) else c for n, (fn, c) in running.items() if fn == "sum"}
+    if not sums:
+        return {}, {}
+    shifted = {name: F.lit(None).cast(df.schema[col].dataType) for name, (col, _) in shifts.items()}
+    shape = derive(df.withColumns(shifted))
+    kinds = shape.select(*[c.alias(n) for n, c in sums.items()]).schema
+    doubles = {n: c for n, c in sums.items() if isinstance(kinds[n].dataType, (DoubleType, FloatType))}
+    return doubles, doubles if shape.columns == df.columns else {}
+
+
+def _exact_sums(doubles, words, running) -> tuple[dict, Callable[[DataFrame], DataFrame]]:
+    """The running aggregates with sums of doubles taken apart into words, and what puts them together."""
+    if not doubles:
+        return running, lambda rows: rows
+    out = {name: pair for name, pair in running.items() if name not in doubles}
+    parts = {}
+    for name, column in doubles.items():
+        added = addends(column, words[name])
+        parts[name] = [f"_word_{name}_{k}" for k in range(len(added))]
+        out |= {part: ("sum", value) for part, value in zip(parts[name], added)}
+
+    def finish(rows: DataFrame) -> DataFrame:
+        kept = [F.col(c) for c in rows.columns if not any(c in p for p in parts.values())]
+        sums = [total([F.col(p) for p in parts[name]], words[name]).alias(name) for name in doubles]
+        return rows.select(*kept, *sums)
+
+    return out, finish
 
 
 def _by_window(df, keys, order, shifts, derive, running) -> DataFrame:
@@ -158,11 +192,9 @@ def _by_window(df, keys, order, shifts, derive, running) -> DataFrame:
     out = derive(
         df.withColumns({name: _shift(col, n).over(window) for name, (col, n) in shifts.items()})
     )
-    exact, doubles = _addends(out, running)
-    out = out.withColumns(
-        {name: _AGGREGATE[fn](col).over(so_far) for name, (fn, col) in exact.items()}
+    return out.withColumns(
+        {name: _AGGREGATE[fn](col).over(so_far) for name, (fn, col) in running.items()}
     )
-    return out.withColumns({name: F.col(name).cast("double") for name in doubles})
 
 
 def _shift(column, n: int) -> Column:
@@ -213,7 +245,6 @@ def _shift_over_cuts(rows, keys, shifts, size) -> DataFrame:
 
 
 def _run_over_cuts(rows, keys, running) -> DataFrame:
-    running, doubles = _addends(rows, running)
     group = [*keys, "_seq_chunk"]
     totals = rows.groupBy(*group).agg(
         *[_AGGREGATE[fn](col).alias(f"_all_{name}") for name, (fn, col) in running.items()]
@@ -237,15 +268,10 @@ def _run_over_cuts(rows, keys, running) -> DataFrame:
         {f"_here_{name}": _AGGREGATE[fn](col).over(here) for name, (fn, col) in running.items()}
     )
     out = join_back(out, before, group)
-    def part(when: str, name: str) -> Column:
-        value = F.col(f"_{when}_{name}")
-        return value.cast(EXACT_SUM) if name in doubles else value
-
     out = out.withColumns(
         {
-            name: _COMBINE[fn](part("before", name), part("here", name))
+            name: _COMBINE[fn](F.col(f"_before_{name}"), F.col(f"_here_{name}"))
             for name, (fn, _) in running.items()
         }
     )
-    out = out.withColumns({name: F.col(name).cast("double") for name in doubles})
     return out.drop(*[f"_{part}_{name}" for name in running for part in ("before", "here")])
