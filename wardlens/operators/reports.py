@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -49,16 +48,41 @@ def entity_csv(
 
 
 def mean_of_days(
-    df: DataFrame, time: str, column: str, days: Sequence[str], out: str = "mean"
+    df: DataFrame, time: str, column: str, days: Sequence[str] | DataFrame, out: str = "mean"
 ) -> DataFrame:
-    """Daily mean for each requested day, NULL for a day without readings."""
-    asked = inline_rows(df.sparkSession, [(d,) for d in days], "day string")
-    asked = asked.select(F.to_date("day").alias("day"))
-    starts = [F.lit(d).cast("date") for d in days]
-    ranges = [
-        (F.col(time) >= start.cast("timestamp")) & (F.col(time) < F.date_add(start, 1).cast("timestamp"))
-        for start in starts
-    ]
-    # Ranges of the raw time reach the scan; they are the test by calendar day, written so.
-    in_days = df.filter(reduce(lambda a, b: a | b, ranges))
+    """Daily mean for each requested day, NULL for a day without readings.
+
+    ``days`` is a list of dates or a table whose first column holds them.  Of any number of days only the
+    first and the last enter the plan, as bounds of the raw time that reach the scan and skip row groups;
+    the rest is a semi-join by day.  NULL and repeated days count once or not at all.
+    """
+    if not isinstance(days, DataFrame):
+        days = inline_rows(df.sparkSession, [(d,) for d in days], "day string")
+    asked = days.select(F.to_date(F.col(days.columns[0])).alias("day")).filter("day IS NOT NULL").distinct()
+    first, last = asked.agg(F.min("day"), F.max("day")).first()
+    kind = df.schema[time].dataType
+    low, high = F.lit(first).cast("date").cast(kind), F.date_add(F.lit(last).cast("date"), 1).cast(kind)
+    inside = df.filter((F.col(time) >= low) & (F.col(time) < high))
+    wanted = asked.select(F.col("day").alias("_asked"))
+    in_days = inside.join(wanted, F.to_date(time) == F.col("_asked"), "left_semi")
     return asked.join(daily_mean(in_days, [], time, {out: column}), "day", "left")
+
+
+def counts_by_prefix(
+    df: DataFrame, text: str, value: str, prefixes: DataFrame, prefix: str = "prefix", out: str = "n"
+) -> DataFrame:
+    """How many different values go with texts that begin with each prefix of a table, 0 if none.
+
+    Texts are cut to each length that prefixes have (the driver sees the lengths alone) and meet them by
+    an equi-join, so the work does not grow with the number of prefixes.  Different (text, value)
+    pairs are found first.  NULL prefixes are left out; the empty prefix fits every text.
+    """
+    asked = prefixes.select(F.col(prefix).alias(prefix)).filter(F.col(prefix).isNotNull()).distinct()
+    lengths = sorted(r[0] for r in asked.select(F.char_length(prefix)).distinct().collect())
+    pairs = df.select(F.col(text).alias("_text"), F.col(value).alias("_value")).filter("_value IS NOT NULL").distinct()
+    heads = F.array(*[F.when(F.char_length("_text") >= n, F.left("_text", F.lit(n))) for n in lengths])
+    cut = pairs.select("_value", F.explode(heads if lengths else F.array().cast("array<string>")).alias("_head"))
+    found = cut.join(asked, F.col("_head") == F.col(prefix)).select(prefix, "_value").distinct()
+    counted = found.groupBy(prefix).agg(F.count("_value").alias("_n"))
+    zero = F.lit(0).cast("bigint")
+    return asked.join(counted, prefix, "left").select(prefix, F.coalesce("_n", zero).alias(out))

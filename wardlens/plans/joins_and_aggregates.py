@@ -99,6 +99,46 @@ def join_within_days(t: Tables):
     )
 
 
+@query(
+    "follow_up_rows",
+    """SELECT o_orderkey, follower, next_key, next_price, next_time FROM (
+         SELECT a.o_orderkey, b.o_orderkey AS next_key, b.o_totalprice AS next_price, b.o_orderdate AS next_time,
+                row_number() OVER (PARTITION BY a.o_orderkey ORDER BY b.o_orderdate, b.o_orderkey) AS follower
+         FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey AND b.o_orderdate > a.o_orderdate
+                                    AND b.o_orderdate <= a.o_orderdate + INTERVAL 90 DAY) WHERE follower <= 3""",
+)
+def follow_up_rows(t: Tables):
+    orders = t.orders.select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+    found = joins.first_followers(
+        orders, orders, ["o_custkey"], "o_orderkey", "o_orderdate", "o_orderkey", "o_orderdate", 90, 3,
+        {"next_key": "o_orderkey", "next_price": "o_totalprice", "next_time": "o_orderdate"},
+    )
+    return found.select("o_orderkey", "follower", "next_key", "next_price", "next_time")
+
+
+@query(
+    "follow_up_chains",
+    """WITH RECURSIVE follows AS (
+         SELECT a.o_orderkey AS source, b.o_orderkey AS target,
+                row_number() OVER (PARTITION BY a.o_orderkey ORDER BY b.o_orderdate, b.o_orderkey) AS n
+         FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey AND b.o_orderdate > a.o_orderdate
+                                    AND b.o_orderdate <= a.o_orderdate + INTERVAL 60 DAY),
+       way(node, hops) AS (
+         SELECT o_orderkey, 0 FROM orders WHERE o_orderpriority = '1-URGENT' AND o_totalprice > 300000
+         UNION SELECT target, hops + 1 FROM way JOIN follows ON source = node WHERE n <= 2)
+       SELECT node AS o_orderkey, min(hops) AS hops FROM way GROUP BY 1""",
+)
+def follow_up_chains(t: Tables):
+    orders = t.orders.select("o_custkey", "o_orderkey", "o_orderdate")
+    follows = joins.first_followers(
+        orders, orders, ["o_custkey"], "o_orderkey", "o_orderdate", "o_orderkey", "o_orderdate", 60, 2,
+        {"next_key": "o_orderkey"},
+    )
+    urgent = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_totalprice") > 300000)
+    seeds = t.orders.filter(urgent).select("o_orderkey")
+    return joins.reached(follows, seeds, "o_orderkey", "next_key", "o_orderkey", "hops")
+
+
 @query(
     "join_self_dup",
     """SELECT DISTINCT a.l_orderkey, a.l_linenumber, a.l_partkey, a.l_suppkey

@@ -366,6 +366,21 @@ def fn_prefix_distinct(t: Tables):
     )
 
 
+@query(
+    "fn_prefix_table",
+    """SELECT prefix, count(DISTINCT l_orderkey) AS n
+       FROM (SELECT DISTINCT left(p_name, k::INT) AS prefix FROM part, (VALUES (2), (5), (9)) v(k) WHERE p_partkey % 5 = 0
+             UNION SELECT 'zz')
+       LEFT JOIN (lineitem JOIN part ON l_partkey = p_partkey) ON starts_with(p_name, prefix) GROUP BY 1""",
+)
+def fn_prefix_table(t: Tables):
+    names = t.part.filter(F.col("p_partkey") % 5 == 0)
+    heads = F.array(*[F.left("p_name", F.lit(n)) for n in (2, 5, 9)], F.lit("zz"))
+    lines = t.lineitem.select(F.col("l_partkey").alias("p_partkey"), "l_orderkey").distinct()
+    named = lines.join(t.part.select("p_partkey", "p_name"), "p_partkey")
+    return reports.counts_by_prefix(named, "p_name", "l_orderkey", names.select(F.explode(heads).alias("prefix")))
+
+
 @query(
     "fn_group_pct",
     f"""SELECT c_mktsegment, count(*) AS n,
@@ -425,6 +440,20 @@ def fn_daily_avg(t: Tables):
     )
 
 
+@query(
+    "fn_daily_avg_table",
+    f"""SELECT strftime(d, '%Y-%m-%d') AS day, {rounded("avg(value)", 4)} AS mean
+        FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) + INTERVAL 28 YEAR AS d FROM orders)
+        LEFT JOIN events ON CAST(ts AS DATE) = d GROUP BY 1""",
+)
+def fn_daily_avg_table(t: Tables):
+    days = t.orders.select(F.to_date(F.col("o_orderdate") + F.expr("INTERVAL 28 YEARS")).alias("day"))
+    means = reports.mean_of_days(t.events, "ts", "value", days)
+    return means.select(
+        F.col("day").cast("string").alias("day"), numbers.round_half_up(F.col("mean"), 4).alias("mean")
+    )
+
+
 @query(
     "fn_filtered_pct",
     f"""SELECT coalesce({rounded("100.0 * count(*) FILTER (toxic = 1) / nullif(count(*), 0)", 2)}, 0) AS pct
