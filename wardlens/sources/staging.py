@@ -8,6 +8,7 @@ and cuts the lineage of everything built on it.
 from __future__ import annotations
 
 import contextlib
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -62,6 +63,16 @@ def delete_path(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs now.
+
+    It does so when the driver's garbage collector finds that nothing refers to a plan any more; between
+    the rounds of an iteration that may be long after the round's result is staged.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def discard(table: DataFrame) -> None:
     """Delete a staged table that nothing reads any more, or any scan or selection of it."""
     for path in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
