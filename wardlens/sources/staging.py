@@ -8,13 +8,13 @@ and cuts the lineage of everything built on it.
 from __future__ import annotations
 
 import contextlib
-import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _local_roots: dict[str, str] = {}
 _open_contexts: list[list[str]] = []
 
@@ -63,16 +63,6 @@ def delete_path(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished jobs now.
-
-    It does so when the driver's garbage collector finds that nothing refers to a plan any more; between
-    the rounds of an iteration that may be long after the round's result is staged.
-    """
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def discard(table: DataFrame) -> None:
     """Delete a staged table that nothing reads any more, or any scan or selection of it."""
     for path in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
@@ -86,6 +76,21 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return save_table(df, path)
 
 
+def stage_lean(df: DataFrame, label: str) -> DataFrame:
+    """As ``stage``, with the shuffle files of the query deleted as soon as it is written.
+
+    For the rounds of an iteration: else each round's files stay until the driver's garbage collector
+    finds that nothing refers to its plan.  The session's own setting is put back after the write.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, None)
+    conf.set(_CLEANUP, "true")
+    try:
+        return stage(df, label)
+    finally:
+        conf.unset(_CLEANUP) if before is None else conf.set(_CLEANUP, before)
+
+
 def save_table(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
     """Create a table from a query, replacing what the path held before."""
     df.write.mode(mode).parquet(path)
