@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from wardlens.llm.common import arrow_schema, unused
-from wardlens.sources.staging import discard, stage
+from wardlens.sources.staging import discard, stage_lean
 
 #: Bytes of text that a shard gathers; a longer document is a shard of its own.
 SHARD_BYTES = 4 << 20
@@ -37,6 +37,8 @@ BUCKET_KEYS = 1 << 19
 STEPS = 12
 #: Refinement also ends when fewer than one in so many of the first intervals are left; those count as long enough.
 FEW = 100
+#: Places that may start a match whose documents are put together in one case, about.
+CASE_PLACES = 2 << 20
 #: Bytes that choose a cut together, before the window is taken.
 GRAM = 8
 #: Positions that are hashed in one piece.
@@ -200,7 +202,7 @@ def _exchange(senders: DataFrame, keys_of, count: int, width: int) -> tuple[Data
         lambda table: _found_elsewhere(table, width), "shard long, bucket int, bits binary"
     )
     answers = met.groupBy(F.col("shard").alias("to")).agg(F.collect_list(F.struct("bucket", "bits")).alias("answers"))
-    return stage(answers, "answers"), buckets
+    return stage_lean(answers, "answers"), buckets
 
 
 def _row(batch: pa.RecordBatch, i: int) -> dict[str, object]:
@@ -225,14 +227,14 @@ def _with_answers(shards: DataFrame, answers: DataFrame) -> DataFrame:
 
 def _shards(docs: DataFrame, match: Match, id_type: str) -> DataFrame:
     """The documents' phrases, gathered in shards where the scan reads them."""
-    ddl = f"ids array<{id_type}>, rows array<long>, sizes array<int>, counts array<int>, syms binary, begins binary"
+    ddl = f"ids array<{id_type}>, rows array<long>, sizes array<int>, counts array<int>, least array<long>, syms binary, begins binary"
     target = arrow_schema(ddl)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, rows, sizes, counts, syms, begins, held = [], [], [], [], [], [], 0
+        ids, rows, sizes, counts, least, syms, begins, held = [], [], [], [], [], [], [], 0
 
         def out() -> pa.RecordBatch:
-            columns = [[ids], [rows], [sizes], [counts], [b"".join(syms)], [b"".join(begins)]]
+            columns = [[ids], [rows], [sizes], [counts], [least], [b"".join(syms)], [b"".join(begins)]]
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, target.field(i).type) for i, c in enumerate(columns)], schema=target
             )
@@ -250,17 +252,19 @@ def _shards(docs: DataFrame, match: Match, id_type: str) -> DataFrame:
                 rows.append(hashes[k])
                 sizes.append(len(data))
                 counts.append(len(at))
-                syms.append(range_hashes(data, at[:-1], at[1:]).tobytes())
+                own = range_hashes(data, at[:-1], at[1:])
+                least.append(int(own.min() >> np.uint64(1)) if len(own) else 0)
+                syms.append(own.tobytes())
                 begins.append(at.astype("<i4").tobytes())
                 held += len(data)
                 if held >= SHARD_BYTES:
                     yield out()
-                    ids, rows, sizes, counts, syms, begins, held = [], [], [], [], [], [], 0
+                    ids, rows, sizes, counts, least, syms, begins, held = [], [], [], [], [], [], [], 0
         if ids:
             yield out()
 
     gathered = docs.mapInArrow(gather, ddl).withColumn("shard", F.monotonically_increasing_id())
-    return stage(gathered.withColumn("n", F.expr("length(syms) div 8")), "shards")
+    return stage_lean(gathered.withColumn("n", F.expr("length(syms) div 8")), "shards")
 
 
 def _symbols(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -390,7 +394,7 @@ def _states(rows: DataFrame, make, schema: str, *args) -> DataFrame:
                     [pa.array([columns[f.name]], f.type) for f in target], schema=target
                 )
 
-    return stage(rows.mapInArrow(run, schema), "transforms")
+    return stage_lean(rows.mapInArrow(run, schema), "transforms")
 
 
 def _total(rows: DataFrame) -> int:
@@ -451,11 +455,15 @@ def _joined(first: np.ndarray, last: np.ndarray, gap: int) -> tuple[np.ndarray,
 
 
 def _candidates(shards: DataFrame, prefixes: DataFrame, match: Match, enough: int, id_type: str) -> DataFrame:
-    """Documents with places where a match may start: id, row, shard, starts, ends and n places."""
-    ddl = f"id {id_type}, row long, shard long, starts array<int>, ends array<int>, n long"
+    """Documents with places where a match may start: id, row, shard, starts, ends and n places.
+
+    Documents with the same least phrase, as most copies of a text have, are put in one new shard, whose
+    equal places then go to the exchange once; those of a phrase with many places are dealt to several.
+    """
+    ddl = f"id {id_type}, row long, least long, starts array<int>, ends array<int>, n long"
     target = arrow_schema(ddl)
     known = prefixes.select(F.col("shard").alias("to"), "place", "steps")
-    both = shards.select("shard", "ids", "rows", "sizes", "counts", "begins").join(known, F.col("shard") == F.col("to"))
+    both = shards.select("shard", "ids", "rows", "sizes", "counts", "least", "begins").join(known, F.col("shard") == F.col("to"))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -472,7 +480,7 @@ def _candidates(shards: DataFrame, prefixes: DataFrame, match: Match, enough: in
                     if own.any():
                         first, last = _ranges_of(begins[cut[d] : cut[d + 1]], own, row["sizes"][d], match, enough)
                         if len(first):
-                            out.append((row["ids"][d], row["rows"][d], row["shard"], first.tolist(), last.tolist(),
+                            out.append((row["ids"][d], row["rows"][d], row["least"][d], first.tolist(), last.tolist(),
                                         int((last - first + 1).sum())))
                 columns = list(zip(*out)) if out else [[]] * 6
                 yield pa.RecordBatch.from_arrays(
@@ -481,8 +489,18 @@ def _candidates(shards: DataFrame, prefixes: DataFrame, match: Match, enough: in
 
     found = both.mapInArrow(spread, ddl)
     # Rows equal in id and text have equal places; one entry stands for them.
-    once = found.groupBy("id", "row").agg(F.min(F.struct("shard", "starts", "ends", "n")).alias("at"))
-    return stage(once.select("id", "row", "at.*"), "candidates")
+    once = found.groupBy("id", "row").agg(F.min(F.struct("least", "starts", "ends", "n")).alias("at"))
+    once = stage_lean(once.select("id", "row", "at.*"), "candidates")
+    alike = once.groupBy("least").agg(F.sum("n").alias("places"))
+    cells = alike.filter(F.col("places") > CASE_PLACES).select(
+        F.col("least").alias("many"), F.ceil(F.col("places") / CASE_PLACES).alias("cells")
+    )
+    cell = F.when(F.col("cells").isNotNull(), F.pmod(F.xxhash64("id", "row"), F.col("cells"))).otherwise(F.lit(0))
+    cases = F.lit(_total(once) // CASE_PLACES + 1).cast("bigint")
+    dealt = once.join(cells, F.col("least") == F.col("many"), "left").withColumn(
+        "shard", F.pmod(F.xxhash64("least", cell), cases)
+    )
+    return stage_lean(dealt.select("id", "row", "shard", "starts", "ends", "n"), "candidates")
 
 
 def _cases(keyed: DataFrame, candidates: DataFrame, match: Match, id_type: str) -> DataFrame:
@@ -509,7 +527,7 @@ def _cases(keyed: DataFrame, candidates: DataFrame, match: Match, id_type: str)
         ]
         return pa.Table.from_arrays([pa.array([c], f.type) for c, f in zip(columns, target)], schema=target)
 
-    return stage(texts.groupBy("shard").applyInArrow(pack, ddl + ", n long"), "cases")
+    return stage_lean(texts.groupBy("shard").applyInArrow(pack, ddl + ", n long"), "cases")
 
 
 def _starts_hashes(row: dict, match: Match) -> np.ndarray:
@@ -551,7 +569,7 @@ def _spans(cases: DataFrame, answers: DataFrame, buckets: int, match: Match, id_
 
     found = _with_answers(cases, answers).mapInArrow(cover, ddl)
     once = found.groupBy("id", "row").agg(F.min(F.struct("begins", "ends")).alias("at"))
-    return stage(once.select("id", "row", F.arrays_zip("at.begins", "at.ends").alias("spans")), "spans")
+    return stage_lean(once.select("id", "row", F.arrays_zip("at.begins", "at.ends").alias("spans")), "spans")
 
 
 def repeated_bytes(
