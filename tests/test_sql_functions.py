@@ -1,0 +1,58 @@
+"""The library's routines called from SQL."""
+
+import datetime
+
+import pytest
+
+from wardlens.functions import sql
+
+AT = datetime.datetime
+
+
+@pytest.fixture(scope="module")
+def readings(spark):
+    rows = [(42, AT(2024, 1, 1, 8), 1.0), (42, AT(2024, 1, 2, 9), 2.0), (42, AT(2024, 1, 2, 9), 4.0),
+            (7, AT(2024, 1, 2, 10), 6.0), (7, None, 9.0), (None, AT(2024, 1, 2, 11), None)]
+    spark.createDataFrame(rows, "id long, at timestamp, value double").createOrReplaceTempView("readings")
+    sql.register_entity(spark, "readings", "id", "at", "value")
+    sql.register_scalars(spark)
+
+
+def one(spark, query):
+    return spark.sql(query).first()[0]
+
+
+def test_table_function(spark, readings):
+    rows = spark.sql("SELECT * FROM last_rows(42) WHERE value > 0")
+    assert sorted(r.value for r in rows.collect()) == [2.0, 4.0] and rows.columns == ["id", "at", "value"]
+    assert spark.sql("SELECT * FROM last_rows(8)").collect() == []
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "Python" not in plan and "last_rows" not in plan
+
+
+def test_scalar_functions_over_a_table(spark, readings):
+    assert one(spark, "SELECT daily_avg(DATE '2024-01-02')") == 4.0
+    assert one(spark, "SELECT daily_avg(DATE '2030-01-01')") is None
+    assert one(spark, "SELECT has_rows(7)") is True and one(spark, "SELECT has_rows(8)") is False
+    assert one(spark, "SELECT row_share(42)") == 50.0
+    asked = spark.sql("SELECT k, has_rows(k) AS known FROM VALUES (42L), (8L) t(k)")
+    assert {r.k: r.known for r in asked.collect()} == {42: True, 8: False}
+    assert "Python" not in asked._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_scalar_functions_of_arguments(spark, readings):
+    assert one(spark, "SELECT age_in_years(DATE '2000-02-29', DATE '2024-02-28')") == 23
+    assert one(spark, "SELECT age_in_years(DATE '2000-02-29', DATE '2024-02-29')") == 24
+    assert one(spark, "SELECT age_in_years(NULL, DATE '2024-02-29')") is None
+    assert one(spark, "SELECT safe_ratio(1, 0)") is None and one(spark, "SELECT safe_ratio(1, 4)") == 0.25
+    assert one(spark, "SELECT share_pct(1, 3)") == 33.33 and one(spark, "SELECT share_pct(1, 0)") is None
+    assert one(spark, "SELECT hour_slot(TIMESTAMP '2024-01-01 09:30:00')") == "9AM - 10AM"
+    assert one(spark, "SELECT hour_slot(TIMESTAMP '2024-01-01 23:30:00')") == "11PM - 12AM"
+    assert [one(spark, f"SELECT season_of(DATE '2024-{m}-01')") for m in ("01", "03", "07", "11", "12")] == [
+        "Winter", "Spring", "Summer", "Autumn", "Winter"
+    ]
+
+
+def test_names_are_checked(spark, readings):
+    with pytest.raises(ValueError):
+        sql.register_entity(spark, "readings; DROP VIEW readings", "id", "at", "value")
