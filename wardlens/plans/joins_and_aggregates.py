@@ -6,9 +6,10 @@ from pyspark.sql import Window, functions as F
 
 from wardlens.functions import dates, numbers, text
 from wardlens.operators import (
-    aggregates, crosstabs, filters, joins, percentiles, ranking, setops, windows,
+    aggregates, crosstabs, filters, joins, percentiles, ranking, setops, sketches, windows,
 )
 from wardlens.plans.registry import Tables, query, rounded
+from wardlens.sources.staging import stage
 
 
 @query(
@@ -473,6 +474,47 @@ def above_percentile(t: Tables):
     return joined.select("event_id", "event_type", "value")
 
 
+@query(
+    "period_percentiles",
+    """SELECT o_orderpriority, count(o_totalprice) AS n, quantile_disc(o_totalprice, 0.25) AS q1,
+              quantile_disc(o_totalprice, 0.5) AS median, quantile_disc(o_totalprice, 0.75) AS q3
+       FROM orders WHERE year(o_orderdate) = 1995 GROUP BY 1""",
+)
+def period_percentiles(t: Tables):
+    """A year's quartiles from twelve stored sketches a group; exact up to 4096 values a group."""
+    by_month = stage(
+        sketches.period_sketches(t.orders, ["o_orderpriority"], "o_orderdate", "o_totalprice"), "sketches"
+    )
+    of_year = by_month.filter(F.year("period") == 1995)
+    return sketches.merged_percentiles(of_year, ["o_orderpriority"], {"q1": 0.25, "median": 0.5, "q3": 0.75})
+
+
+@query(
+    "set_counts",
+    """WITH c AS (SELECT o_orderstatus, o_custkey, bool_or(o_orderpriority = '1-URGENT') AS a,
+                         bool_or(o_orderpriority = '5-LOW') AS b
+                  FROM orders WHERE o_custkey IS NOT NULL GROUP BY 1, 2)
+       SELECT o_orderstatus, count(*) FILTER (a) AS urgent, count(*) FILTER (b) AS low,
+              count(*) FILTER (a AND b) AS urgent_and_low, count(*) FILTER (a AND NOT b) AS only_urgent,
+              count(*) FILTER (a OR b) AS urgent_or_low FROM c GROUP BY 1""",
+)
+def set_counts(t: Tables):
+    """Customers in one set and not in another, from one scan; exact up to 65,536 a set."""
+    priority = F.col("o_orderpriority")
+    found = sketches.set_sketches(
+        t.orders, ["o_orderstatus"], "o_custkey", {"a": priority == "1-URGENT", "b": priority == "5-LOW"}
+    )
+    a, b = F.col("a"), F.col("b")
+    return found.select(
+        "o_orderstatus",
+        sketches.members(a).alias("urgent"),
+        sketches.members(b).alias("low"),
+        sketches.members(sketches.both(a, b)).alias("urgent_and_low"),
+        sketches.members(sketches.only(a, b)).alias("only_urgent"),
+        sketches.members(sketches.either(a, b)).alias("urgent_or_low"),
+    )
+
+
 @query(
     "agg_mode",
     """SELECT l_returnflag, mode() WITHIN GROUP (ORDER BY l_quantity) AS mode

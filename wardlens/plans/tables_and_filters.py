@@ -10,6 +10,7 @@ from wardlens.plans.registry import Tables, query
 from wardlens.sources import inline, maintenance
 from wardlens.sources.staging import save_table, staging_path
 from wardlens.sources.tables import as_view
+from wardlens.sources.versions import open_table, replace_table
 from wardlens.streaming import rules
 
 
@@ -68,6 +69,19 @@ def ctas_roundtrip(t: Tables):
     return save_table(rich, staging_path(t.spark, "rich_customers"))
 
 
+@query(
+    "table_replaced",
+    """SELECT c_custkey, c_name, c_acctbal + 100 AS c_acctbal FROM customer WHERE c_acctbal > 0""",
+)
+def table_replaced(t: Tables):
+    """A table loaded and then replaced by a query over its own rows; the new version is read back."""
+    root = staging_path(t.spark, "accounts")
+    replace_table(t.customer.select("c_custkey", "c_name", "c_acctbal"), root)
+    before = open_table(t.spark, root)
+    replace_table(before.filter("c_acctbal > 0").withColumn("c_acctbal", F.col("c_acctbal") + 100), root)
+    return open_table(t.spark, root)
+
+
 @query(
     "view_query",
     """SELECT c_custkey, c_mktsegment, o_orderkey, o_totalprice
