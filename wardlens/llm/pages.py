@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+import bisect
+import hashlib
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wardlens.llm.common import arrow_schema
+from wardlens.operators.sequences import along
+from wardlens.sources.staging import stage
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
-    r"|<(script|style|noscript|template|svg|iframe|object|canvas|select|textarea|button|title)\b"
-    r"(?:[^<>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|iframe|textarea|title)(?![\w:-])"
+    r"(?:[^<>\"']|\"[^\"]*\"|'[^']*')*>(?:(?<=/>)|.*?(?:</\1\s*>|\Z))"
     r"|<(/?)([a-zA-Z][\w:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)",
     re.S | re.I,
 )
@@ -33,6 +38,8 @@ BLOCKS = CONTAINERS | frozenset(
 )
 #: Elements that never hold the article.
 ASIDE = frozenset("head nav footer aside form dialog menu".split())
+#: Elements whose text is no part of the page's; one that is never closed ends at the next block.
+HIDDEN = frozenset("noscript template svg object canvas select button".split())
 #: Words of class, id and role that mark such elements.
 ASIDE_WORDS = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs sidebar widget footer contentinfo complementary "
@@ -42,6 +49,14 @@ ASIDE_WORDS = frozenset(
 )
 #: These mark a page's head, but may also hold an article's title.
 HEAD_WORDS = frozenset("header masthead banner topbar".split())
+#: Words that say nothing beside one of those: ``comments-list`` is a comment part, ``ad-free`` no advert.
+PLAIN_WORDS = frozenset(
+    "site page main global primary secondary top bottom left right box bar block list item items section area "
+    "container wrapper wrap inner outer content row col column slot unit link links button buttons form "
+    "user users reader readers post posts message overlay text title small large".split()
+)
+#: A line inside articles recurs on a host if at least this many and half of its different pages have it.
+RECURRING = 4
 
 
 def _is_aside(tag: str, attributes: str, in_article: bool) -> bool:
@@ -49,13 +64,22 @@ def _is_aside(tag: str, attributes: str, in_article: bool) -> bool:
         return True
     if tag in ("article", "main", "body", "html") and "comment" not in attributes.lower():
         return False
-    words: set[str] = set()
+    marks = ASIDE_WORDS if in_article else ASIDE_WORDS | HEAD_WORDS
     for name, value in _ATTRIBUTE.findall(attributes):
         if name.lower() in ("class", "id", "role"):
-            words.update(_CUT.split(value.lower()))
+            for label in value.strip("\"'").lower().split():
+                words = {word for word in _CUT.split(label) if word}
+                if words & marks and words <= marks | PLAIN_WORDS:
+                    return True
         elif name.lower() == "aria-hidden" and "true" in value.lower():
             return True
-    return bool(words & ASIDE_WORDS) or (not in_article and bool(words & HEAD_WORDS))
+    return False
+
+
+def _after(places: list[int], i: int, end: int) -> int:
+    """The first of the sorted places after ``i``, else ``end``."""
+    at = bisect.bisect_right(places, i)
+    return places[at] if at < len(places) else end
 
 
 def page_lines(page: str) -> list[tuple[str, bool]]:
@@ -63,22 +87,29 @@ def page_lines(page: str) -> list[tuple[str, bool]]:
 
     A line is the text between two block tags, references decoded and white space joined.  End
     tags close the nearest open container of their name and all inside it.  An aside that is
-    never closed ends where an article or main starts.
+    never closed ends where an article or main starts.  ``<svg/>`` and the like hold nothing.
     """
     tokens = list(_TOKEN.finditer(page))
     stack: list[tuple[str, int]] = []
+    depth: Counter[str] = Counter()
     end_of: dict[int, int] = {}
+    blocks = [i for i, m in enumerate(tokens) if (m[3] or "").lower() in BLOCKS]
     mains = [i for i, m in enumerate(tokens) if m[3] and not m[2] and m[3].lower() in ("article", "main")]
     for i, m in enumerate(tokens):
         tag = (m[3] or "").lower()
-        if tag not in CONTAINERS:
+        if tag not in CONTAINERS and tag not in HIDDEN:
             continue
-        if not m[2]:
+        if tag in HIDDEN and m[4].endswith("/"):
+            end_of[i] = i
+        elif not m[2]:
             stack.append((tag, i))
-        elif any(name == tag for name, _ in stack):
+            depth[tag] += 1
+        elif depth[tag]:
             while True:
                 name, at = stack.pop()
-                end_of[at] = i
+                depth[name] -= 1
+                if name == tag or name not in HIDDEN:
+                    end_of[at] = i
                 if name == tag:
                     break
     lines: list[tuple[str, str]] = []
@@ -103,9 +134,13 @@ def page_lines(page: str) -> list[tuple[str, bool]]:
             if tag in CONTAINERS and not m[2]:
                 end = end_of.get(i)
                 if _is_aside(tag, m[4] or "", bool(holds)):
-                    skip_to = end if end is not None else next((a for a in mains if a > i), len(tokens))
+                    skip_to = end if end is not None else _after(mains, i, len(tokens))
                 elif tag in ("article", "main"):
                     holds.append((tag, len(tokens) if end is None else end))
+        elif tag in HIDDEN and not m[2]:
+            # Up to its end tag; one that is never closed hides what comes before the next block.
+            end = end_of.get(i)
+            skip_to = _after(blocks, i, len(tokens)) if end is None else end
         elif m[5]:
             words.append(m[5])
         elif tag == "br":
@@ -117,7 +152,7 @@ def page_lines(page: str) -> list[tuple[str, bool]]:
     return [(text, kind == content) for text, kind in lines]
 
 
-def shared_lines(a: Sequence[str], b: Sequence[str]) -> set[int]:
+def shared_lines(a: Sequence, b: Sequence) -> set[int]:
     """Positions in ``a`` of a longest common subsequence with ``b``.
 
     The table of lengths is kept as one bit per cell: bit j of a row is 0 where the length grows
@@ -147,25 +182,54 @@ def shared_lines(a: Sequence[str], b: Sequence[str]) -> set[int]:
     return found
 
 
-def main_text(lines: list[tuple[str, bool]], neighbour: list[tuple[str, bool]] | None) -> str:
-    """The lines less those shared with the neighbour; lines that an article holds always stay.
+def content_lines(lines: list[tuple[str, bool]]) -> tuple[bool, list[str]]:
+    """Whether the page has an article or main part, and the lines of it, else all lines."""
+    content = any(held for _, held in lines)
+    return content, [text for text, held in lines if held or not content]
 
-    A page with an article is its article.  Without one, what differs from the neighbour is kept.
-    """
-    shared = shared_lines([t for t, _ in lines], [t for t, _ in neighbour]) if neighbour else set()
-    has_content = any(held for _, held in lines)
-    return "\n".join(
-        text for i, (text, held) in enumerate(lines) if held or not (has_content or i in shared)
+
+def kept_lines(
+    content: bool, mine: Sequence[int], neighbour: Sequence[int], recurring: Sequence[int]
+) -> list[bool]:
+    """Which lines stay, by line hashes: of those aligned with the neighbour all go on a page without an
+    article or main part, and inside one those that recur on the host, so what two articles share stays."""
+    shared, often = shared_lines(mine, neighbour), set(recurring)
+    return [not (i in shared and (not content or line in often)) for i, line in enumerate(mine)]
+
+
+def _common(a: Column, b: Column) -> Column:
+    """Number of characters at the start that two texts have in common; NULL if the second is NULL."""
+    same = F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: x.eqNullSafe(y))
+    first = F.array_position(same, False)
+    return F.when(b.isNotNull(), F.when(first > 0, first - 1).otherwise(F.length(a)))
+
+
+def _parsed(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
+    """The id, the url, ``_host``, ``_path``, ``_content``, ``_lines`` and ``_digest`` (of the lines)."""
+    url = F.coalesce(F.lower(F.col(url_col).cast("string")), F.lit(""))
+    host = F.regexp_extract(url, r"^[a-z][a-z0-9+.-]*://([^/?#]*)", 1)
+    path = F.regexp_extract(url, r"^[a-z][a-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    source = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
+    keyed = pages.select(
+        F.col(id_col), F.col(url_col), host.alias("_host"), path.alias("_path"), source.alias("_html")
+    )
+    fields = [f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in (id_col, url_col)]
+    ddl = ", ".join(
+        [*fields, "_host string, _path string, _content boolean, _lines array<string>, _digest string"]
     )
+    schema = arrow_schema(ddl)
 
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 200):
+                out = []
+                for row in batch.slice(start, 200).to_pylist():
+                    content, lines = content_lines(page_lines(row.pop("_html")))
+                    digest = hashlib.sha256("\n".join([str(content), *lines]).encode()).hexdigest()
+                    out.append({**row, "_content": content, "_lines": lines, "_digest": digest})
+                yield pa.RecordBatch.from_pylist(out, schema)
 
-def _common(a: str, b: str) -> int:
-    n = 0
-    for x, y in zip(a, b):
-        if x != y:
-            break
-        n += 1
-    return n
+    return keyed.mapInArrow(rows, ddl)
 
 
 def extract(
@@ -173,57 +237,74 @@ def extract(
 ) -> DataFrame:
     """One row per page: the id, the url, ``text`` (main text, lines joined by newlines), ``n_chars``.
 
-    Pages are sorted by host and path over the cluster; within a range each is compared with the
-    one beside it whose path agrees longer.  So a host of any size is spread over tasks, and a
-    task holds three pages at a time.  A page alone on its host, or in its range, is extracted
-    without a comparison.
+    Pages are parsed once and written as lines.  The different contents of a host stand in order of
+    path, and each is compared with the one beside it whose path agrees longer: their lines, as
+    64-bit hashes, are aligned by a longest common subsequence.  Without an article or main part all
+    aligned lines go; inside one those that at least half of the host's contents have (four at
+    least).  Pages of one host with equal lines have equal texts, and partitions play no part.  A
+    host of any size is spread over tasks: the order is taken over digests by ``along``, line counts
+    by host and line, and texts meet only the decisions on their own content.
 
     A NULL html is empty and gives an empty text; a NULL url stands before all hosts, and such
-    pages are each other's neighbours.  Repeated rows are pages of their own; a page is not
-    compared with an equal one, which would leave nothing.  Other columns are not read.  An empty
+    pages are each other's neighbours.  Repeated rows are pages of their own, with one text.  A page
+    alone on its host is extracted without a comparison.  Other columns are not read.  An empty
     table gives no rows.
     """
-    url = F.coalesce(F.lower(F.col(url_col).cast("string")), F.lit(""))
-    host = F.regexp_extract(url, r"^[a-z][a-z0-9+.-]*://([^/?#]*)", 1)
-    path = F.regexp_extract(url, r"^[a-z][a-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
-    source = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
-    keyed = pages.select(
-        F.col(id_col), F.col(url_col), source.alias("_html"), host.alias("_host"), path.alias("_path")
+    parsed = stage(_parsed(pages, id_col, url_col, html_col), "pages")
+    line_hashes = F.transform("_lines", lambda line: F.xxhash64(line))
+    key = ["_host", "_digest"]
+    contents = stage(
+        parsed.filter(F.size("_lines") > 0).select(*key, "_path", "_content", line_hashes.alias("_hashes"))
+        .groupBy(*key).agg(
+            F.min("_path").alias("_path"), F.any_value("_content").alias("_content"),
+            F.any_value("_hashes").alias("_hashes"),
+        ),
+        "contents",
     )
-    ranged = keyed.repartitionByRange("_host", "_path", id_col).sortWithinPartitions(
-        "_host", "_path", id_col
+    lines = contents.select(*key, "_content", F.explode(F.array_distinct("_hashes")).alias("_line"))
+    hosts = contents.groupBy("_host").agg(F.count("*").alias("_pages"))
+    often = (
+        lines.groupBy("_host", "_line").agg(F.count("*").alias("_n")).filter(F.col("_n") >= RECURRING)
+        .join(hosts, "_host").filter(2 * F.col("_n") >= F.col("_pages")).select("_host", "_line")
     )
-    fields = [f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in (id_col, url_col)]
-    ddl = ", ".join([*fields, "text string", "n_chars long"])
+    recurring = (
+        lines.filter("_content").join(often, ["_host", "_line"])
+        .groupBy(*key).agg(F.collect_list("_line").alias("_recurring"))
+    )
+    beside = along(
+        contents.select(*key, "_path"), ["_host"], ["_path", "_digest"],
+        {
+            "_path_before": ("_path", 1), "_before": ("_digest", 1),
+            "_path_after": ("_path", -1), "_after": ("_digest", -1),
+        },
+    )
+    longer = F.coalesce(_common(F.col("_path"), F.col("_path_after")), F.lit(-1)) > F.coalesce(
+        _common(F.col("_path"), F.col("_path_before")), F.lit(-1)
+    )
+    nearest = beside.select(*key, F.when(longer, F.col("_after")).otherwise(F.col("_before")).alias("_near"))
+    asked = (
+        contents.join(recurring, key, "left").filter("NOT _content OR _recurring IS NOT NULL")
+        .select(*key, "_content", "_hashes", "_recurring").join(nearest, key)
+    )
+    theirs = contents.select("_host", F.col("_digest").alias("_near"), F.col("_hashes").alias("_theirs"))
+    compared = asked.join(theirs, ["_host", "_near"]).select(
+        *key, "_content", "_hashes", "_theirs", F.coalesce("_recurring", F.array().cast("array<long>")).alias("_often")
+    )
+    ddl = "_host string, _digest string, _keep array<boolean>"
     schema = arrow_schema(ddl)
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def parsed():
-            for batch in batches:
-                for row in zip(*(c.to_pylist() for c in batch.columns)):
-                    yield (*row, page_lines(row[2]))
-
-        def nearest(before, page, after):
-            near = [
-                p for p in (before, after) if p is not None and p[3] == page[3] and p[5] != page[5]
-            ]
-            return max(near, key=lambda p: _common(p[4], page[4]))[5] if near else None
-
-        out, before, page = [], None, None
-        for after in _with_end(parsed()):
-            if page is not None:
-                text = main_text(page[5], nearest(before, page, after))
-                out.append({id_col: page[0], url_col: page[1], "text": text, "n_chars": len(text)})
-                if len(out) == 500:
-                    yield pa.RecordBatch.from_pylist(out, schema)
-                    out = []
-            before, page = page, after
-        yield pa.RecordBatch.from_pylist(out, schema)
-
-    return ranged.mapInArrow(rows, ddl)
-
-
-def _with_end(items: Iterator[tuple]) -> Iterator[tuple | None]:
-    """The items, then None."""
-    yield from items
-    yield None
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for host, digest, *page in zip(*(c.to_pylist() for c in batch.columns)):
+                keep = kept_lines(*page)
+                if not all(keep):
+                    out.append({"_host": host, "_digest": digest, "_keep": keep})
+            yield pa.RecordBatch.from_pylist(out, schema)
+
+    decided = stage(compared.mapInArrow(decide, ddl), "decided")
+    kept = F.when(F.col("_keep").isNull(), F.col("_lines")).otherwise(
+        F.filter("_lines", lambda _, i: F.get("_keep", i))
+    )
+    texts = parsed.join(decided, key, "left").select(id_col, url_col, F.concat_ws("\n", kept).alias("text"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
