@@ -121,6 +121,76 @@ def test_linked_rows_gather_and_bytes_stay_even(spark):
     assert sum(hot[:full]) >= 0.6 * sum(hot)
 
 
+def cut_pairs(group_of, shard_of):
+    """Links of copies to the next one that lie in two shards."""
+    members = defaultdict(list)
+    for node, group in group_of.items():
+        members[group].append(shard_of[node])
+    return sum(a != b for found in members.values() for a, b in zip(sorted(found), sorted(found)[1:]))
+
+
+def greedy_shards(size_of, group_of, shards):
+    """Brute force: whole groups, largest first, each to the emptiest shard."""
+    members = defaultdict(list)
+    for node, group in group_of.items():
+        members[group].append(node)
+    load, shard_of = [0] * shards, {}
+    for nodes in sorted(members.values(), key=lambda g: -sum(size_of[n] for n in g)):
+        at = load.index(min(load))
+        load[at] += sum(size_of[n] for n in nodes)
+        shard_of |= dict.fromkeys(nodes, at)
+    return shard_of, load
+
+
+def test_a_table_of_copies_only_keeps_nearly_all_pairs(spark):
+    """4,000 texts twice each, of all sizes: no part of the table is dealt without its links."""
+    draw = zlib.crc32
+    texts = [f"text {i} " * (1 + draw(b"%d" % i) % 200) for i in range(4000)]
+    rows = [(i, texts[i % 4000]) for i in range(8000)]
+    got = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string"), 24).collect()
+    check_shards(got, 24)
+    load, shard_of = Counter(), {}
+    for r in got:
+        load[r.shard] += r["size"]
+        shard_of[r.doc_id] = r.shard
+    mean = sum(load.values()) / 24
+    assert max(load.values()) <= 1.01 * mean and min(load.values()) >= 0.99 * mean
+    group_of = {i: i % 4000 for i in range(8000)}
+    best, even = greedy_shards({r.doc_id: r["size"] for r in got}, group_of, 24)
+    assert cut_pairs(group_of, best) == 0 and max(even) <= 1.01 * mean
+    assert cut_pairs(group_of, shard_of) <= 40  # within a hundredth of that
+
+
+def test_a_hot_group_of_small_rows_is_numbered_in_parts(spark, monkeypatch):
+    """A third of all rows is one short text: its rows have several slices, and shards stay even."""
+    monkeypatch.setattr(sharding, "GROUP_ROWS", 300)
+    rows = [(i, "hot" if i % 3 == 0 else f"own text {i} " * 30) for i in range(6000)]
+    got = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string"), 24).collect()
+    check_shards(got, 24)
+    load = Counter()
+    for r in got:
+        load[r.shard] += r["size"]
+    mean = sum(load.values()) / 24
+    assert len(got) == 6000 and max(load.values()) <= 1.01 * mean and min(load.values()) >= 0.99 * mean
+
+
+def test_a_group_of_small_and_large_rows_moves_together(spark):
+    """Links between rows of different sizes: the small one of a pair goes with the large one."""
+    rows = [(i, 2000 if i < 3000 else 20) for i in range(6000)] + [(i, 500) for i in range(6000, 9000)]
+    links = [(i, i % 3000) for i in range(6000)]
+    found = sharding.balanced_shards(
+        spark.createDataFrame(rows, "node long, size long"), spark.createDataFrame(links, "node long, hub long"), 24
+    ).collect()
+    shard_of = {r.node: r.shard for r in found}
+    assert len(found) == len(shard_of) == 9000
+    load = Counter()
+    for r in found:
+        load[r.shard] += r["size"]
+    mean = sum(load.values()) / 24
+    assert max(load.values()) <= 1.01 * mean and min(load.values()) >= 0.99 * mean
+    assert cut_pairs({i: i % 3000 for i in range(6000)}, shard_of) <= 30
+
+
 def test_odd_documents_shard(odd_docs):
     rows = sharding.shard_documents(odd_docs, 24).collect()
     assert len(rows) == odd_docs.count()

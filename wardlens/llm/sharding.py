@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -12,22 +13,53 @@ from wardlens.sources.staging import stage
 CLASSES, SLICES = 8, 32
 #: Shares of the bytes that are dealt last, smallest rows, to even the shards out.
 TAILS = (0.25, 0.05)
+#: Groups dealt last stay together up to this share of a shard.
+WHOLE = 0.002
+#: Rows of one group that are numbered in one task.
+GROUP_ROWS = 1_000_000
 
 
 def _size_class(size: Column) -> Column:
     return F.floor(F.log2(F.greatest(size, F.lit(1))) * CLASSES).cast("int")
 
 
-def _by_size(rows: DataFrame, start: bool) -> DataFrame:
-    """Rows in falling order of size class: ``rank``, and ``start`` (bytes before the row)."""
+def _by_size(rows: DataFrame) -> DataFrame:
+    """Rows in falling order of size class, for the first deal: ``rank``."""
     slot = (F.lit(-1) * F.col("class") * SLICES + F.pmod(F.xxhash64("node"), F.lit(SLICES))).cast("int")
-    keyed = rows.withColumn("_place", slot)
+    return placed_in_keys(rows.withColumn("_place", slot), [], ["_place", "node"], "rank", slice_by=F.col("_place"))
+
+
+def _by_group(rows: DataFrame) -> DataFrame:
+    """Rows in falling order of size class and then by group: ``start`` (bytes before the row).
+
+    A group of many rows has slices of its own, so that no task numbers all of it.
+    """
+    slot = (F.lit(-1) * F.col("class") * SLICES + F.pmod(F.xxhash64("group"), F.lit(SLICES))).cast("int")
+    split = F.col("parts") > 1
+    place = F.struct(
+        slot.alias("slot"), F.when(split, F.col("group")).otherwise(0).alias("group"),
+        F.when(split, F.pmod(F.xxhash64("node"), F.col("parts"))).otherwise(-1).alias("part"),
+    )
     return placed_in_keys(
-        keyed, [], ["_place", "node"], "rank", "size", "start" if start else None,
+        rows.withColumn("_place", place), [], ["_place", "group", "node"], "rank", "size", "start",
         slice_by=F.col("_place"),
     ).drop("_place")
 
 
+def _filled(part: DataFrame, edges: Sequence[float]) -> DataFrame:
+    """Rows in falling order of size laid along the shards' free room; ``edges`` are its ends, in bytes.
+
+    Rows of a group that is to stay whole go where the group's middle lies.
+    """
+    laid = stage(_by_group(part), "laid")
+    small = laid.filter("whole").groupBy("whole", "group").agg(
+        F.min("start").alias("_first"), F.sum("size").alias("_bytes")
+    )
+    middle = F.coalesce(F.col("_first") + F.col("_bytes") / 2, F.col("start") + F.col("size") / 2)
+    shard = sum((F.when(middle >= e, 1).otherwise(0) for e in edges), F.lit(0)).cast("int")
+    return stage(laid.join(small, ["whole", "group"], "left").select("node", "size", shard.alias("shard")), "filled")
+
+
 def _levels(loads: list[int], more: int) -> list[float]:
     """What each shard gets of ``more`` bytes so that the emptiest rise to one level."""
     order = sorted(loads)
@@ -120,15 +152,18 @@ def balanced_shards(rows: DataFrame, links: DataFrame, shards: int, rounds: int
     ``rows`` has a unique long ``node`` and a long ``size``; ``links`` has ``node`` and a long
     ``hub``: rows with a hub in common are neighbours (one row per node and hub).  Linked rows are
     dealt in order of size and move towards their neighbours under quotas; the others then fill
-    the shards to one level, the smallest rows last, unlinked ones first among them.  Neighbours
-    that exceed a shard together are cut.  The driver sees sums per shard and per size class only.
+    the shards to one level, the smallest rows last.  Of linked rows the smallest groups (rows with
+    the same least hub), up to a quarter of all bytes, wait for that too and are then laid group by
+    group; a group with any larger row moves with it.  Neighbours that exceed a shard together are
+    cut.  The driver sees sums per shard and per size class only.
     """
     hubs = links.groupBy("hub").agg(F.count("*").alias("_n")).filter("_n > 1").select("hub")
     shared = stage(links.join(hubs, "hub").select("node", "hub"), "links")
-    touched = shared.select("node", F.lit(True).alias("_hit")).distinct()
+    homes = shared.groupBy("node").agg(F.min("hub").alias("_home"))
     classed = stage(
-        rows.join(touched, "node", "left").select(
-            "node", "size", F.coalesce("_hit", F.lit(False)).alias("linked"), _size_class(F.col("size")).alias("class")
+        rows.join(homes, "node", "left").select(
+            "node", "size", F.col("_home").isNotNull().alias("linked"),
+            F.coalesce("_home", "node").alias("group"), _size_class(F.col("size")).alias("class"),
         ),
         "rows",
     )
@@ -145,8 +180,22 @@ def balanced_shards(rows: DataFrame, links: DataFrame, shards: int, rounds: int
     named = spark.createDataFrame(
         [(k, c, t) for (k, c), t in tail.items()], "linked boolean, class int, tail int"
     )
-    parted = stage(classed.join(F.broadcast(named), ["linked", "class"]), "parted")
-    first = _by_size(parted.filter("linked AND tail = 0"), False)
+    level = total / shards
+    each = classed.join(F.broadcast(named), ["linked", "class"])
+    groups = each.filter("linked").groupBy("linked", "group").agg(
+        F.min("tail").alias("_tail"), F.max("class").alias("_class"),
+        (F.sum("size") <= WHOLE * level).alias("_whole"), F.ceil(F.count("*") / GROUP_ROWS).alias("_parts"),
+    )
+    parted = stage(
+        each.join(groups, ["linked", "group"], "left").select(
+            "node", "size", "linked", "group",
+            F.coalesce("_class", "class").alias("class"), F.coalesce("_tail", "tail").alias("tail"),
+            F.coalesce("_whole", F.lit(False)).alias("whole"),
+            F.coalesce("_parts", F.lit(1)).cast("long").alias("parts"),
+        ),
+        "parted",
+    )
+    first = _by_size(parted.filter("linked AND tail = 0"))
     lap = F.expr(f"rank div {shards}") % 2
     at = (F.col("rank") % shards).cast("int")
     state = stage(
@@ -154,21 +203,17 @@ def balanced_shards(rows: DataFrame, links: DataFrame, shards: int, rounds: int
     )
     inner = stage(shared.join(state.select("node"), "node", "left_semi"), "links")
     for turn in range(rounds):
-        state = _propagate(state, inner, shards, 0.98 * total / shards, turn)
+        state = _propagate(state, inner, shards, 0.98 * level, turn)
     placed, loads = state, _loads(state, shards)
     for number in range(len(TAILS) + 1):
         # Linked rows that are not in a tail are placed already.
         part = parted.filter((F.col("tail") == number) & ((F.col("tail") > 0) | ~F.col("linked")))
-        weight = sum(size for k, c, size in classes if tail[k, c] == number and (number or not k))
+        weight = int(part.agg(F.sum("size")).first()[0] or 0)
         edges, edge = [], 0.0
         for share in _levels(loads, weight):
             edge += share
             edges.append(edge)
-        middle = F.col("start") + F.col("size") / 2
-        shard = sum((F.when(middle >= e, 1).otherwise(0) for e in edges[:-1]), F.lit(0)).cast("int")
-        filled = stage(
-            _by_size(part, True).select("node", "size", shard.alias("shard")), "filled"
-        )
+        filled = _filled(part, edges[:-1])
         loads = [a + b for a, b in zip(loads, _loads(filled, shards))]
         placed = placed.union(filled)
     return placed
