@@ -215,7 +215,7 @@ def _parsed(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataF
     )
     fields = [f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in (id_col, url_col)]
     ddl = ", ".join(
-        [*fields, "_host string, _path string, _content boolean, _lines array<string>, _digest string"]
+        [*fields, "_host string, _path string, _content boolean, _lines array<string>, _digest binary"]
     )
     schema = arrow_schema(ddl)
 
@@ -225,7 +225,7 @@ def _parsed(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataF
                 out = []
                 for row in batch.slice(start, 200).to_pylist():
                     content, lines = content_lines(page_lines(row.pop("_html")))
-                    digest = hashlib.sha256("\n".join([str(content), *lines]).encode()).hexdigest()
+                    digest = hashlib.sha256("\n".join([str(content), *lines]).encode()).digest()[:16]
                     out.append({**row, "_content": content, "_lines": lines, "_digest": digest})
                 yield pa.RecordBatch.from_pylist(out, schema)
 
@@ -290,7 +290,7 @@ def extract(
     compared = asked.join(theirs, ["_host", "_near"]).select(
         *key, "_content", "_hashes", "_theirs", F.coalesce("_recurring", F.array().cast("array<long>")).alias("_often")
     )
-    ddl = "_host string, _digest string, _keep array<boolean>"
+    ddl = "_host string, _digest binary, _keep array<boolean>"
     schema = arrow_schema(ddl)
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
