@@ -71,6 +71,46 @@ def test_mixed_documents_come_by_pass(spark):
     assert all(abs(words[s] - want[s]) <= 40 for s in want)
 
 
+def test_the_results_own_schedule_is_even(spark):
+    """Documents in order of their first slot: at every place each source has been read near its share."""
+    rows = [(i, f"s{i % 3}", f"text {i} " * 32) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = mixing.taken(*mixing.mix(docs, block=64)).collect()
+    assert all((r.first_slot is None) == (r.taken == 0) == (r.n_slots == 0) for r in got)
+    assert all(r.taken <= 64 * r.n_slots for r in got)
+    want = brute_targets({f"s{i}": 500 * 64 for i in range(3)})
+    total, seen, read = sum(want.values()), Counter(), 0
+    # First passes only: sources are read once as long as the smallest share lasts.
+    first = sorted((r for r in got if r.taken), key=lambda r: r.first_slot)
+    upto = min(max(r.first_slot for r in first if r.source == s) for s in want)
+    for r in (r for r in first if r.first_slot < upto):
+        seen[r.source] += 1
+        read += 1
+        assert all(abs(seen[s] - read * want[s] / total) <= 6 for s in want)
+    assert read > 500
+
+
+def test_mixed_keeps_columns_sources_and_order(spark):
+    """Rows that differ in an extra column only keep theirs, and a source of one long text stays."""
+    rows = [(1, "a", "same text here", i % 3, None if i % 2 else {"k": i % 3}) for i in range(12)]
+    rows += [(2, None, f"no source {i} " * 9, 0, None) for i in range(30)]
+    rows += [(2, "", f"empty source {i} " * 9, 0, None) for i in range(30)]
+    rows += [(3, "long", "word " * 5000, 7, {"a|b": 1})]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string, `x.y` int, _key map<string,int>")
+    got = mixing.mixed(docs, slot_col="slot", block=16)
+    assert got.columns == [*docs.columns, "slot"]
+    found = got.collect()
+    kinds = lambda table: {(r.doc_id, r.source, r.text, r["x.y"], str(r["_key"])) for r in table}
+    assert kinds(found) <= kinds(docs.collect())
+    assert {r["x.y"] for r in found if r.doc_id == 1} == {0, 1, 2}
+    assert len({(r["x.y"], str(r["_key"])) for r in found if r.doc_id == 1}) == 6
+    assert {r.source for r in found} == {"a", None, "", "long"}
+    assert sum(r.source == "long" for r in found) == 1
+    # The slots tell the order: early rows hold every short source, not one after the other.
+    early = sorted(found, key=lambda r: r.slot)[: len(found) // 2]
+    assert {r.source for r in early} >= {None, ""}
+
+
 def test_odd_documents_mix(odd_docs):
     placed, parts = mixing.mix(odd_docs)
     assert mixing.taken(placed, parts).count() == odd_docs.count()

@@ -53,6 +53,11 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def quoted(name: str) -> str:
+    """A column's name as a reference to it, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def arrow_schema(ddl: str) -> pa.Schema:
     """The Arrow schema of a Spark one; for the driver, as parsing it needs a session."""
     return to_arrow_schema(StructType.fromDDL(ddl))

@@ -7,10 +7,24 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from wardlens.llm.common import placed_in_keys, unused, word_count
+from wardlens.llm.common import placed_in_keys, quoted, unused, word_count
 from wardlens.sources.staging import stage
 
 GOLDEN = (math.sqrt(5) - 1) / 2
+#: Rows that one slice of a source's shuffled stream holds at most, on average.
+SLICE_ROWS = 1 << 20
+
+
+def _marked(column: Column) -> Column:
+    """A value as text that no other value and no neighbour in a row of them can pass for."""
+    text = column.cast("string")
+    return F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+
+def _key(docs: DataFrame, names: Sequence[str], ties: Column | None) -> Column:
+    """A digest of the named columns, ``ties`` behind it."""
+    digest = F.md5(F.concat(*(_marked(docs[quoted(name)]) for name in names)))
+    return digest if ties is None else F.concat(digest, ties)
 
 
 def targets(
@@ -95,6 +109,7 @@ def mix(
     weights: Sequence[int] = (1, 2, 3),
     most: int = 3,
     block: int = 1024,
+    ties: Column | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The documents as placed in their source's stream, and the parts that the mix reads.
 
@@ -103,14 +118,13 @@ def mix(
     table has per document ``key`` (a digest of id, source and text that also shuffles), the id,
     ``source``, ``size``, ``rank`` (within the source), ``start`` (words before it),
     ``source_size``, ``target``; the second per part read ``slot``, ``source``, ``rank``, ``pass``,
-    ``first`` and ``words``: from which of the document's words on, and how many.
+    ``first`` and ``words``: from which of the document's words on, and how many.  ``ties`` is a
+    text that follows the digest, to tell apart rows equal in id, source and text.
 
-    NULL sources are a source; NULL texts and texts without a word have size 0 and are not read.
+    NULL sources are a source, empty ones another; NULL texts and texts without a word have size 0 and are not read.
     Repeated rows are documents of their own, side by side.  An empty table gives no rows.
     """
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    named = F.coalesce(F.col(source_col).cast("string"), F.lit(""))
-    key = F.md5(F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.lit("")), named, text))
+    key = _key(docs, (id_col, source_col, text_col), ties)
     sized = stage(
         docs.select(
             key.alias("key"), F.col(id_col), F.col(source_col).alias("source"),
@@ -119,8 +133,10 @@ def mix(
         "sizes",
     )
     wanted = stage(targets(sized, weights, most), "targets")
+    # As many slices as keep each within its rows; the places do not depend on them.
+    digits = max(3, math.ceil(math.log(max(sized.count(), 1) / SLICE_ROWS, 16)))
     placed = placed_in_keys(
-        sized, ["source"], ["key"], "rank", "size", "start", slice_by=F.substring("key", 1, 3)
+        sized, ["source"], ["key"], "rank", "size", "start", slice_by=F.substring("key", 1, digits)
     )
     share = wanted.select(F.col("source").alias("_s"), "source_size", "target")
     placed = stage(
@@ -147,36 +163,49 @@ def mix(
 
 
 def taken(placed: DataFrame, parts: DataFrame) -> DataFrame:
-    """The placed documents with ``taken``: the words that the mix reads of each, repeats counted."""
-    sums = parts.groupBy("source", "rank").agg(F.sum("words").alias("_taken"))
-    sums = sums.select(F.col("source").alias("_s"), F.col("rank").alias("_r"), "_taken")
+    """The placed documents with ``taken``, the words that the mix reads of each, repeats counted;
+    ``first_slot``, the first slot of the schedule that reads them (NULL if none); and ``n_slots``."""
+    sums = parts.groupBy("source", "rank").agg(
+        F.sum("words").alias("_taken"), F.min("slot").alias("first_slot"), F.count_distinct("slot").alias("_slots")
+    )
+    sums = sums.withColumnsRenamed({"source": "_s", "rank": "_r"})
     same = F.col("source").eqNullSafe(F.col("_s")) & (F.col("rank") == F.col("_r"))
-    return placed.join(sums, same, "left").withColumn(
-        "taken", F.coalesce("_taken", F.lit(0)).cast("long")
-    ).drop("_s", "_r", "_taken")
+    return placed.join(sums, same, "left").withColumns({
+        "taken": F.coalesce("_taken", F.lit(0)).cast("long"), "n_slots": F.coalesce("_slots", F.lit(0)),
+    }).drop("_s", "_r", "_taken", "_slots")
 
 
 def mixed(
-    docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **how
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    source_col: str = "source",
+    text_col: str = "text",
+    slot_col: str | None = None,
+    **how,
 ) -> DataFrame:
     """The mix as documents with their columns: one row per pass that reads at least half of one.
 
     Only the last document of a source's last block can be read in part, so rounding to whole
-    documents moves a source's total by less than one document.  Rows equal in id, source and
-    text are copies of one document, which comes as often as they do together.
+    documents moves a source's total by less than one document.  The first document of a source
+    with a target comes even if less than half of it is read, so no such source is left out.
+    Rows equal in all columns are copies of one document, which comes as often as they do
+    together; rows that differ in any column come with their own.  ``slot_col`` names a column to
+    add: the first slot of the schedule that reads the pass, the order in which to read the rows.
     """
-    placed, parts = mix(docs, id_col, source_col, text_col, **how)
-    read = parts.groupBy("source", "rank", "pass").agg(F.sum("words").alias("_words"))
-    read = read.select(F.col("source").alias("_s"), F.col("rank").alias("_r"), "_words")
+    names = (id_col, source_col, text_col)
+    others = [F.col(quoted(c)) for c in docs.columns if c not in names]
+    ties = F.md5(F.to_json(F.struct(*others), {"ignoreNullFields": "false"})) if others else None
+    placed, parts = mix(docs, *names, ties=ties, **how)
+    read = parts.groupBy("source", "rank", "pass").agg(F.sum("words").alias("_words"), F.min("slot").alias("_slot"))
+    read = read.withColumnsRenamed({"source": "_s", "rank": "_r"})
     same = F.col("source").eqNullSafe(F.col("_s")) & (F.col("rank") == F.col("_r"))
-    times = (
-        placed.join(read, same).filter(2 * F.col("_words") >= F.col("size"))
-        .groupBy(F.col("key").alias("_k")).agg(F.count("*").cast("int").alias("_times"))
+    mark, found, slots, slot = (unused(docs, n) for n in ("_key", "_found", "_slots", "_slot"))
+    chosen = (
+        placed.join(read, same).filter("2 * _words >= size OR (start = 0 AND pass = 0)")
+        .groupBy(F.col("key").alias(found)).agg(F.collect_list("_slot").alias(slots))
     )
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    named = F.coalesce(F.col(source_col).cast("string"), F.lit(""))
-    key = F.md5(F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.lit("")), named, text))
-    mark, found, number, copy = (unused(docs, n) for n in ("_key", "_k", "_times", "_copy"))
-    times = times.select(F.col("_k").alias(found), F.col("_times").alias(number))
-    chosen = docs.withColumn(mark, key).join(times, F.col(mark) == F.col(found)).dropDuplicates([mark])
-    return chosen.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(number)))).select(*docs.columns)
+    keyed = docs.withColumn(mark, _key(docs, names, ties))
+    rows = keyed.join(chosen, F.col(mark) == F.col(found)).dropDuplicates([mark])
+    rows = rows.withColumn(slot, F.explode(slots))
+    columns = [F.col(quoted(c)) for c in docs.columns]
+    return rows.select(*columns, *([F.col(slot).alias(slot_col)] if slot_col else []))

@@ -23,14 +23,15 @@ def op1_partial_matching(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_golden_schedule(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.taken(*mixing.mix(load(spark, folder, "documents")))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "first_slot", "n_slots")
 
 
 OP2_SQL = """
 WITH sized AS (
   SELECT doc_id, source,
          len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
-         md5(concat_ws('|', coalesce(doc_id::VARCHAR, ''), coalesce(source, ''), coalesce(text, ''))) AS key
+         md5(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+             || coalesce(strlen(text) || ':' || text, '-')) AS key
   FROM documents
 ), sums AS (
   SELECT source, sum(size)::BIGINT AS source_size,
@@ -47,13 +48,41 @@ WITH sized AS (
   SELECT source, source_size, least(3.0 * source_size, max(level) OVER () * weight)::DOUBLE AS target
   FROM levels
 ), placed AS (
-  SELECT *, (sum(size) OVER (PARTITION BY source ORDER BY key ROWS UNBOUNDED PRECEDING) - size) AS start
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY key) AS rank,
+         (sum(size) OVER (PARTITION BY source ORDER BY key ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS start
   FROM sized
+), shares AS (
+  SELECT *, floor(target + 0.5)::BIGINT AS words, ceil(floor(target + 0.5) / 1024)::BIGINT AS blocks FROM wanted
+), laid AS (
+  SELECT *, sum(blocks) OVER (ORDER BY source NULLS LAST ROWS UNBOUNDED PRECEDING)::BIGINT AS above FROM shares
+), total AS (
+  SELECT n, greatest(1, round(n * 0.6180339887498949))::BIGINT AS golden
+  FROM (SELECT sum(blocks)::BIGINT AS n FROM shares)
+), stepped AS (
+  SELECT n, list_filter(range(golden, golden + 1000), lambda s: gcd(s, n) = 1)[1] AS step FROM total WHERE n > 0
+), points AS (
+  SELECT slot, ((slot::HUGEINT * step) % n)::BIGINT AS point
+  FROM (SELECT unnest(range(n)) AS slot, n, step FROM stepped)
+), slots AS (
+  SELECT slot, source, row_number() OVER (PARTITION BY above ORDER BY slot) - 1 AS block
+  FROM points JOIN laid ON point >= above - blocks AND point < above
+), reads AS (
+  SELECT placed.source, rank, pass * source_size + start AS lo,
+         least(pass * source_size + start + size, words) AS hi
+  FROM placed JOIN shares ON placed.source IS NOT DISTINCT FROM shares.source,
+       (SELECT unnest([0, 1, 2]) AS pass)
+  WHERE size > 0 AND pass * source_size + start < words
+), used AS (
+  SELECT reads.source, rank, min(slot) AS first_slot, count(DISTINCT slot) AS n_slots,
+         sum(least(hi, (block + 1) * 1024) - greatest(lo, block * 1024)) AS taken
+  FROM reads JOIN slots
+    ON reads.source IS NOT DISTINCT FROM slots.source AND block BETWEEN lo // 1024 AND (hi - 1) // 1024
+  GROUP BY reads.source, rank
 )
-SELECT doc_id, size, source_size, target,
-       list_sum(list_transform([0, 1, 2], lambda p: greatest(0,
-         least(p * source_size + start + size, floor(target + 0.5)) - (p * source_size + start))))::BIGINT AS taken
+SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken, first_slot,
+       coalesce(n_slots, 0) AS n_slots
 FROM placed JOIN wanted ON placed.source IS NOT DISTINCT FROM wanted.source
+LEFT JOIN used ON placed.source IS NOT DISTINCT FROM used.source AND placed.rank = used.rank
 """
 
 
