@@ -7,6 +7,7 @@ import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from wardlens.llm import pages, warc
 from wardlens.llm.queries import QUERIES
@@ -65,6 +66,48 @@ def test_a_lost_or_short_segment_is_not_complete(spark, tmp_path):
         assert (rows[0].payload is not None) == (name == "good")
 
 
+def test_ids_of_any_type(spark, tmp_path):
+    """Texts with spaces, percent signs and other alphabets, and dates, come back as they were."""
+    page = "<p>" + "equal payload " * 20 + "</p>"
+    rows = [("b c", page), ("é%20", page), ("", "x"), ("  a ", page), (None, page), ("line\r\nend", "y" * 9000)]
+    texts = spark.createDataFrame(rows, "page_id string, html string").withColumn("url", F.lit("http://h/"))
+    days = texts.withColumn("page_id", F.expr("date_add(DATE'2020-01-01', length(html) + coalesce(length(page_id), 50))"))
+    for table, kind in ((texts, "string"), (days, "date")):
+        folder = str(tmp_path / kind)
+        warc.write_archives(table, folder, segment_bytes=1 << 12)
+        found = warc.read_archives(spark, folder, kind)
+        assert found.schema["page_id"].dataType.simpleString() == kind
+        got = found.collect()
+        want = {r.page_id for r in table.collect()}
+        assert len(got) == 6 and all(r.complete for r in got) and {r.page_id for r in got} == want
+        least = min(r.page_id for r in table.collect() if r.page_id is not None and r.html == page)
+        assert {r.refers_to for r in got if r.record_type == "revisit"} == {least}
+        assert sum(r.record_type == "revisit" for r in got) == 3
+
+
+def test_repeated_rows_are_groups_of_their_own(spark, tmp_path):
+    """Rows of one id and payload, NULL ids too, share no identifier; revisits name records that exist."""
+    large = "<p>" + "long payload " * 2000 + "</p>"
+    rows = [(1, large)] * 40 + [(None, large + "?")] * 20 + [(2, "<p>" + "once " * 900)] + [(3, "<p>" + "once " * 900)] * 3
+    table = spark.createDataFrame(rows, "page_id long, html string").withColumn("url", F.lit(None).cast("string"))
+    folder = str(tmp_path / "copies")
+    warc.write_archives(table.repartition(3), folder, segment_bytes=1 << 12)
+    names, origins, referred = [], [], set()
+    for path in glob.glob(f"{folder}/*.gz"):
+        with gzip.open(path) as archive:
+            for fields, _ in warc.parse_records(archive):
+                names.append(fields[b"warc-record-id"])
+                if b"warc-segment-origin-id" in fields:
+                    origins.append(fields[b"warc-segment-origin-id"])
+                if b"warc-refers-to" in fields:
+                    referred.add(fields[b"warc-refers-to"])
+    assert len(names) == len(set(names)) and set(origins) | referred <= set(names) and len(referred) == 1
+    assert max(origins.count(o) for o in set(origins)) <= -(-len(large) * 2 // (1 << 12))
+    got = warc.read_archives(spark, folder).collect()
+    assert len(got) == 64 and all(r.complete for r in got)
+    assert sum(r.record_type == "revisit" for r in got) == 3
+
+
 def test_framing():
     draw = random.Random(2)
     for size in (0, 1, 999, 1000, 1001, 5000):

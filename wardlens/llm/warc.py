@@ -7,6 +7,7 @@ import hashlib
 import io
 import uuid
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -48,8 +49,10 @@ def _record(kind: bytes, name: bytes, fields: list[tuple[bytes, bytes]], block:
     return b"\r\n".join(head) + END + block
 
 
-def _name(page: object, digest: str, segment: int = 1) -> bytes:
-    return b"urn:uuid:" + str(uuid.uuid5(uuid.NAMESPACE_URL, f"{page}/{digest}/{segment}")).encode()
+def _name(page: object, digest: str, segment: int = 1, copy: int = 0) -> bytes:
+    """A record's identifier; repeated rows have a number of their own in it."""
+    parts = (page, digest, segment, copy) if copy else (page, digest, segment)
+    return b"urn:uuid:" + str(uuid.uuid5(uuid.NAMESPACE_URL, "/".join(map(str, parts)))).encode()
 
 
 def _line(value: str) -> bytes:
@@ -58,26 +61,39 @@ def _line(value: str) -> bytes:
 
 
 def page_records(
-    page: object, url: str | None, payload: bytes, digest: str, first: object, segment_bytes: int, chunk_bytes: int
+    page: object,
+    url: str | None,
+    payload: bytes,
+    digest: str,
+    first: object,
+    segment_bytes: int,
+    chunk_bytes: int,
+    copy: int = 0,
+    one_first: bool = True,
 ) -> Iterator[bytes]:
-    """The records of one page: a revisit of page ``first``, or a response in one or more segments."""
+    """The records of one page: a revisit of page ``first``, or a response in one or more segments.
+
+    ``copy`` tells apart rows of one id and payload.  A revisit names the record it refers to if
+    that page has ``one_first`` row only, else just the page.
+    """
     fields = [(b"WARC-Date", b"2024-01-01T00:00:00Z"), (b"WARC-Payload-Digest", b"sha256:" + digest.encode())]
     if url is not None:
         fields.append((b"WARC-Target-URI", _line(url)))
     if page is not None:
-        fields.append((b"X-Page", str(page).encode()))
+        fields.append((b"X-Page", quote(str(page), safe="").encode()))
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
     if first is not None:
-        more = [(b"WARC-Profile", PROFILE), (b"WARC-Refers-To", b"<" + _name(first, digest) + b">"),
-                (b"X-Refers-To-Page", str(first).encode())]
-        yield _record(b"revisit", _name(page, digest), fields + more, http + b"Content-Length: %d" % len(payload) + END)
+        more = [(b"WARC-Profile", PROFILE), (b"X-Refers-To-Page", quote(str(first), safe="").encode())]
+        if one_first:
+            more.append((b"WARC-Refers-To", b"<" + _name(first, digest) + b">"))
+        yield _record(b"revisit", _name(page, digest, 1, copy), fields + more, http + b"Content-Length: %d" % len(payload) + END)
         return
     block = http + b"Transfer-Encoding: chunked" + END + chunked(payload, chunk_bytes)
     parts = [block[i : i + segment_bytes] for i in range(0, len(block), segment_bytes)]
+    origin = _name(page, digest, 1, copy)
     if len(parts) == 1:
-        yield _record(b"response", _name(page, digest), fields, block)
+        yield _record(b"response", origin, fields, block)
         return
-    origin = _name(page, digest)
     for number, part in enumerate(parts, 1):
         place = [(b"WARC-Segment-Number", b"%d" % number)]
         if number == len(parts):
@@ -86,7 +102,7 @@ def page_records(
             yield _record(b"response", origin, fields + place, part)
         else:
             place.append((b"WARC-Segment-Origin-ID", b"<" + origin + b">"))
-            yield _record(b"continuation", _name(page, digest, number), place, part)
+            yield _record(b"continuation", _name(page, digest, number, copy), place, part)
 
 
 def write_archives(
@@ -107,30 +123,43 @@ def write_archives(
     an archive has at most ``records_a_file`` records, so its size is bounded.
 
     A NULL payload is empty.  A NULL id is never the smallest: where all ids of a payload are
-    NULL each is a response; so are repeated rows with the smallest id.  Other columns are not
-    read.
+    NULL each is a response; so are repeated rows with the smallest id.  Where rows share an id
+    and a payload their place in the write is part of their records' identifiers, so each row's
+    segments are a group of their own.  Ids are of any type that Spark orders and turns into text
+    and back.  Other columns are not read.
     """
-    id_type = pages.schema[id_col].dataType.simpleString()
     body = text_bytes(payload_col)
     narrow = pages.select(F.col(id_col).alias("page"), F.sha2(body, 256).alias("_digest"), F.length(body).alias("_size"))
-    firsts = (
-        narrow.filter(F.col("_size") >= LEAST_REVISIT)
-        .groupBy("_digest").agg(F.min("page").alias("first"), F.count("*").alias("_n"))
-        .filter("_n > 1 AND first IS NOT NULL").select("_digest", "first")
+    rows_of = narrow.groupBy("_digest", "_size", "page").agg(F.count("*").alias("_rows"))
+    least = F.min(F.when(F.col("page").isNotNull(), F.struct("page", "_rows")))
+    groups = (
+        rows_of.groupBy("_digest", "_size").agg(least.alias("_least"), F.sum("_rows").alias("_n")).filter("_n > 1")
+        .select("_digest", F.when(F.col("_size") >= LEAST_REVISIT, F.col("_least")).alias("_least"))
     )
     full = pages.select(
         F.col(id_col).alias("page"), F.col(url_col).cast("string").alias("url"), body.alias("payload"),
         F.sha2(body, 256).alias("digest"),
     )
-    marked = full.join(firsts, F.col("digest") == F.col("_digest"), "left").select(
-        "page", "url", "payload", "digest", F.when(~F.col("page").eqNullSafe(F.col("first")), F.col("first")).alias("first")
+    first = F.col("_least.page")
+    one_first = F.coalesce(F.col("_least._rows") == 1, F.lit(False))
+    is_first = F.coalesce(F.col("page") == first, F.lit(False))
+    alone = F.col("_digest").isNull() | (is_first & one_first)
+    joined = full.join(groups, F.col("digest") == F.col("_digest"), "left")
+    marked = joined.withColumn("_place", F.monotonically_increasing_id() + 1).select(
+        F.col("page").cast("string").alias("page"), "url", "payload", "digest",
+        F.when(~is_first, first).cast("string").alias("first"),
+        F.when(alone, 0).otherwise(F.col("_place")).alias("copy"), one_first.alias("one_first"),
     )
 
     def rows(batch: pa.RecordBatch) -> dict[str, object]:
         columns = (c.to_pylist() for c in batch.columns)
-        return {"value": [r for row in zip(*columns) for r in page_records(*row, segment_bytes, chunk_bytes)]}
+        return {
+            "value": [
+                record for *row, copy, one in zip(*columns)
+                for record in page_records(*row, segment_bytes, chunk_bytes, copy, one)
+            ]
+        }
 
-    assert id_type in ("bigint", "int", "smallint", "tinyint"), "page ids are whole numbers"
     records = map_batches(marked, rows, "value binary").select(F.col("value").cast("string"))
     records.write.option("lineSep", END.decode()).option("maxRecordsPerFile", records_a_file).option(
         "compression", "gzip"
@@ -172,29 +201,29 @@ def payload_of(block: bytes) -> tuple[bytes | None, int]:
     return (body, length) if len(body) == length else (None, length)
 
 
-_PAGE = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary, complete boolean"
+_PAGE = "page_id string, url string, record_type string, refers_to string, payload_bytes long, payload_digest string, payload binary, complete boolean"
 _SEGMENT = "origin string, segment int, total long, block binary"
 
 
 def _page_row(fields: dict[bytes, bytes], block: bytes) -> dict[str, object]:
-    number = lambda name: int(fields[name]) if name in fields else None
+    text = lambda name: unquote(fields[name].decode()) if name in fields else None
     digest = fields.get(b"warc-payload-digest", b"").decode().removeprefix("sha256:")
     payload, length = payload_of(block)
     revisit = fields[b"warc-type"] == b"revisit"
     found = digest if revisit else hashlib.sha256(payload or b"").hexdigest()
     return {
-        "page_id": number(b"x-page"),
+        "page_id": text(b"x-page"),
         "url": fields[b"warc-target-uri"].decode() if b"warc-target-uri" in fields else None,
-        "record_type": fields[b"warc-type"].decode(), "refers_to": number(b"x-refers-to-page"),
+        "record_type": fields[b"warc-type"].decode(), "refers_to": text(b"x-refers-to-page"),
         "payload_bytes": length, "payload_digest": found, "payload": payload,
         "complete": found == digest and (revisit or payload is not None),
     }
 
 
-def read_archives(spark: SparkSession, folder: str) -> DataFrame:
+def read_archives(spark: SparkSession, folder: str, id_type: str = "bigint") -> DataFrame:
     """The pages of the archives under ``folder``: one row per response or revisit record.
 
-    Columns: ``page_id``, ``url``, ``record_type``, ``refers_to``, ``payload_bytes`` and
+    Columns: ``page_id`` and ``refers_to`` of ``id_type``, ``url``, ``record_type``, ``payload_bytes`` and
     ``payload_digest`` (hex SHA-256) of the full payload, ``payload`` (NULL for revisits), and
     ``complete``.  Records that fit one segment are decoded where they are read.  Segments are
     grouped by the identifier of their first record and put in order; when a number is missing or
@@ -251,4 +280,5 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     parsed = raw.mapInArrow(parse, schema)
     whole = parsed.filter("origin IS NULL").select(*names)
     segments = parsed.filter("origin IS NOT NULL").select(*parts, "head")
-    return whole.union(segments.groupBy("origin").applyInArrow(assemble, _PAGE))
+    found = whole.union(segments.groupBy("origin").applyInArrow(assemble, _PAGE))
+    return found.withColumns({name: F.col(name).cast(id_type) for name in ("page_id", "refers_to")})
