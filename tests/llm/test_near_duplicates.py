@@ -309,6 +309,59 @@ def test_crowds_are_verified_in_slices(spark, together):
     assert {r.doc_id: r.component_id for r in simhash.near_duplicates(df, rule).collect()} == want
 
 
+def similar_pairs():
+    """Texts whose nearest ones are at a similarity of 0.8 and somewhat more or less, long and short."""
+    draw = random.Random(41)
+    word = lambda: f"w{draw.getrandbits(40)}"
+    common, texts = [word() for _ in range(30)], {}
+    for i in range(900):
+        if i % 3:
+            words = [word() for _ in range(9)]
+            other = words[:8]
+        else:
+            words = [word() for _ in range(draw.randrange(20, 120))] + common * (i % 2)
+            changed = max(1, round(len(words) * draw.uniform(0.08, 0.12)))
+            other = [word() for _ in range(changed)] + words[changed:]
+        texts[2 * i], texts[2 * i + 1] = " ".join(words), " ".join(other)
+    return texts
+
+
+def brute_similar(texts):
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(max(1, len(t.split()) - 4))} for i, t in texts.items()}
+    holders = defaultdict(set)
+    for i, grams in sets.items():
+        for g in grams:
+            holders[g].add(i)
+    met = {(a, b) for a, grams in sets.items() for b in set().union(*(holders[g] for g in grams)) if a < b}
+    return [(a, b) for a, b in met if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8]
+
+
+def test_no_pair_at_the_threshold_is_left_out(spark, monkeypatch):
+    texts = similar_pairs()
+    links = brute_similar(texts)
+    assert 600 < len(links) < 900
+    want = brute_components(texts, links)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id for r in simhash.keep_one(df).collect()} == set(want.values())
+    # With tries that meet equal fingerprints alone, and many buckets, the sets' shingles find all of them.
+    monkeypatch.setattr(simhash, "BUCKET_SHINGLES", 500)
+    rule = simhash.Rule(5, 256, 0, 0, recall=0.0)
+    assert {r.doc_id: r.component_id for r in simhash.near_duplicates(df, rule).collect()} == want
+
+
+def test_rarest_shingles_of_similar_sets_meet():
+    draw = np.random.default_rng(42)
+    for size in (1, 2, 4, 5, 6, 9, 10, 11, 50, 333):
+        for _ in range(40):
+            base = draw.integers(0, 1 << 63, size, dtype=np.uint64)
+            gone = draw.integers(0, max(1, size // 5) + 1)
+            sets = np.unique(base), np.unique(base[gone:])
+            frequent = np.unique(draw.choice(base, size // 2))
+            shared = len(np.intersect1d(*sets)) / len(np.union1d(*sets))
+            rare = [simhash.rarest(x, frequent, 0.8) for x in sets]
+            assert shared < 0.8 or len(np.intersect1d(*rare))
+
+
 def test_walks_meet_at_every_size():
     """The walks' bits, as they are picked, meet pairs at 0.8 with the rule's chance."""
     rule = simhash.SIMILAR

@@ -1,13 +1,14 @@
 """Near-duplicates by SimHash: a self-join of binary tries under a budget of differing bits.
 
-The rule for a similarity takes what the tries find as candidates and verifies them by Jaccard.
+The rule for a similarity takes what the tries find as candidates and verifies them by Jaccard; the
+pairs that no trie meets are then found by the rarest shingles of their sets, which leaves none out.
 """
 
 from __future__ import annotations
 
 import math
 import random
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -16,12 +17,20 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wardlens.llm.common import map_batches, text_bytes, unused
+from wardlens.llm.common import arrow_schema, map_batches, text_bytes, unused
 from wardlens.llm.components import SpanningForest, components
-from wardlens.sources.staging import stage
+from wardlens.sources.staging import stage, stage_lean
 
 #: Node pairs that a traversal holds at once.
 FRONTIER = 200_000
+#: One in so many texts tells which shingles are frequent, and that is a shingle of so many of these texts.
+SAMPLE, FREQUENT = 16, 3
+#: Frequent shingles that are known at most; more are taken for rare ones.
+FREQUENT_MOST = 1 << 19
+#: Shingles of a bucket, about; a bucket's shingles from all texts meet in one task.
+BUCKET_SHINGLES = 1 << 19
+#: Bytes that are sent of a shingle's hash and of a set's digest; equal ones are verified later.
+HASH_BYTES, KEY_BYTES = 6, 5
 
 
 @dataclass(frozen=True)
@@ -45,8 +54,9 @@ class Rule:
     are candidates, and texts link if the Jaccard similarity of their sets of shingles is at least
     ``similarity``.  Each walk then has random bits of its own and starts with a node's path where
     no bit differs, and there are as many walks as a pair at ``similarity`` needs to be met with
-    the chance ``recall``; nodes keep about ``node_rows`` fingerprints at any table size.  At most
-    about ``together`` sets, or ``together_bytes`` of them, are verified in one task.
+    the chance ``recall``; nodes keep about ``node_rows`` fingerprints at any table size.  Pairs that
+    are out of budget or not met are found by ``unmet``.  At most about ``together`` sets, or
+    ``together_bytes`` of them, are verified in one task.
     """
 
     shingle: int
@@ -115,14 +125,21 @@ def shingle_set(text: bytes, shingle: int) -> np.ndarray:
     return np.unique(np.fromiter((digest(g, 42) for g in _shingles(text, shingle)), np.uint64))
 
 
-def _majority(grams: Sequence[bytes], bits: int) -> bytes:
-    """The bits that over half the hashes of the shingles have; zeros without shingles."""
+def _hashed(grams: Sequence[bytes], seed: int) -> np.ndarray:
+    digest = xxhash.xxh64_intdigest
+    return np.fromiter((digest(g, seed) for g in grams), ">u8", len(grams))
+
+
+def _majority(grams: Sequence[bytes], bits: int, first: np.ndarray | None = None) -> bytes:
+    """The bits that over half the hashes of the shingles have; zeros without shingles.
+
+    ``first`` are the hashes by the first seed, if they are known.
+    """
     if not grams:
         return bytes(bits // 8)
     out = []
     for seed in range(42, 42 + bits // 64):
-        digest = xxhash.xxh64_intdigest
-        hashes = np.fromiter((digest(g, seed) for g in grams), ">u8", len(grams))
+        hashes = first if seed == 42 and first is not None else _hashed(grams, seed)
         ones = np.zeros(64, np.int64)
         for block in range(0, len(hashes), 1 << 16):
             part = hashes[block : block + (1 << 16)].view(np.uint8).reshape(-1, 8)
@@ -140,10 +157,71 @@ def fingerprint(text: bytes, shingle: int, bits: int) -> bytes:
     return _majority(_shingles(text, shingle), bits)
 
 
-def set_fingerprint(text: bytes, shingle: int, bits: int) -> tuple[bytes, bytes]:
-    """The SimHash of a text's set of shingles, without repeats, and a digest of that set."""
+def set_fingerprint(text: bytes, shingle: int, bits: int) -> tuple[bytes, bytes, np.ndarray]:
+    """The SimHash of a text's set of shingles, without repeats, a digest of that set, and the set
+    as sorted hashes."""
     grams = sorted(set(_shingles(text, shingle)))
-    return _majority(grams, bits), xxhash.xxh3_128_digest(b"\n".join(grams))
+    hashes = _hashed(grams, 42)
+    digest = xxhash.xxh3_128_digest(b"\n".join(grams))
+    return _majority(grams, bits, hashes), digest, np.unique(hashes.astype(np.uint64))
+
+
+def _least_shared(size: int, similarity: float) -> int:
+    """How many members a set has in common, at least, with any set that is similar to it."""
+    return max(1, math.ceil(similarity * size - 1e-6)) if size else 0
+
+
+def rarest(hashes: np.ndarray, frequent: np.ndarray, similarity: float) -> np.ndarray:
+    """The first of a set's sorted hashes in an order that puts the ``frequent`` ones last.
+
+    As many as it takes: two sets that are similar have one of these in common, whatever the
+    frequent ones are, since all sets follow one order.
+    """
+    last = np.zeros(len(hashes), bool)
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
+        last = frequent[at] == hashes
+    number = len(hashes) - _least_shared(len(hashes), similarity) + 1 if len(hashes) else 0
+    return np.concatenate([hashes[~last], hashes[last]])[:number]
+
+
+def frequent_shingles(docs: DataFrame, text_col: str, rule: Rule) -> np.ndarray:
+    """Hashes of shingles that many texts have, sorted, by a sample of the different texts.
+
+    They only decide the order in which sets are compared, so the sample changes no result.
+    """
+    texts = docs.select(text_bytes(text_col).alias("_text"))
+    texts = texts.filter(F.pmod(F.xxhash64("_text"), F.lit(SAMPLE)) == 0).distinct()
+
+    def shingles(batch: pa.RecordBatch) -> dict[str, object] | None:
+        sets = [shingle_set(t, rule.shingle) for t in batch.column(0).to_pylist()]
+        if not sets:
+            return None
+        found, times = np.unique(np.concatenate(sets), return_counts=True)
+        return {"hash": pa.array(found.view(np.int64)), "n": pa.array(times.astype(np.int64))}
+
+    counted = map_batches(texts, shingles, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    often = stage_lean(counted.filter(F.col("n") >= FREQUENT), "frequent")
+    known, least = 0, None
+    for n, number in often.groupBy("n").count().orderBy(F.desc("n")).collect():
+        known += number
+        if known > FREQUENT_MOST:
+            break
+        least = n
+    if least is None:
+        return np.zeros(0, np.uint64)
+    hashes = often.filter(F.col("n") >= least).select("hash").toArrow().column(0).to_numpy()
+    return np.sort(hashes.view(np.uint64))
+
+
+def _packed(values: np.ndarray, width: int) -> bytes:
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+
+
+def _unpacked(raw: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(raw) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(raw, np.uint8).reshape(-1, width)
+    return out.view("<u8").ravel()
 
 
 def fingerprints(
@@ -151,21 +229,31 @@ def fingerprints(
 ) -> DataFrame:
     """The id, ``more`` columns and ``fingerprint`` (binary) of every row; a NULL text is an empty one.
 
-    A rule for a similarity has the fingerprints of sets, and adds ``_set``, the set's digest.
+    A rule for a similarity has the fingerprints of sets, and adds ``_set``, the set's digest,
+    ``_size``, the number of its shingles, and ``_rarest``, the upper bytes of the hashes of these.
     """
     picked = docs.select(text_bytes(text_col).alias("_text"), id_col, *more)
     kept = picked.columns[1:]
+    frequent = np.zeros(0, np.uint64) if rule.walks else frequent_shingles(docs, text_col, rule)
 
     def rows(batch: pa.RecordBatch) -> dict[str, object]:
         texts = batch.column(0).to_pylist()
         same = {c: batch.column(i + 1) for i, c in enumerate(kept)}
         if rule.walks:
             return {**same, "fingerprint": [fingerprint(t, rule.shingle, rule.bits) for t in texts]}
-        found = [set_fingerprint(t, rule.shingle, rule.bits) for t in texts]
-        return {**same, "fingerprint": [f for f, _ in found], "_set": [d for _, d in found]}
-
-    types = [f"`{c}` {picked.schema[c].dataType.simpleString()}" for c in kept]
-    types += ["fingerprint binary"] if rule.walks else ["fingerprint binary", "`_set` binary"]
+        prints, digests, sizes, rare = [], [], [], []
+        for t in texts:
+            print_, digest, hashes = set_fingerprint(t, rule.shingle, rule.bits)
+            prints.append(print_)
+            digests.append(digest)
+            sizes.append(len(hashes))
+            upper = rarest(hashes, frequent, rule.similarity) >> np.uint64(64 - 8 * HASH_BYTES)
+            rare.append(_packed(upper, HASH_BYTES))
+        return {**same, "fingerprint": prints, "_set": digests, "_size": sizes, "_rarest": rare}
+
+    types = [f"`{c}` {picked.schema[c].dataType.simpleString()}" for c in kept] + ["fingerprint binary"]
+    if not rule.walks:
+        types += ["`_set` binary", "`_size` int", "`_rarest` binary"]
     return map_batches(picked, rows, ", ".join(types))
 
 
@@ -499,21 +587,106 @@ def similar(members: DataFrame, docs: DataFrame, text_col: str, rule: Rule) -> D
     return edges.union(_verify(blocks.groupBy("class", "x", "y"), rule))
 
 
+def _shared_shingles(rows: DataFrame) -> DataFrame:
+    """The rarest shingles that different sets share: longs ``hash`` and ``key``, a set's digest's start.
+
+    Only packed bytes are shuffled, and copies that a batch holds are sent once.
+    """
+    total = rows.agg(F.sum(F.octet_length("_rarest"))).first()[0] or 0
+    buckets = total // (HASH_BYTES * BUCKET_SHINGLES) + 1
+    target = arrow_schema("bucket int, hashes binary, keys binary")
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rare = dict(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            sizes = np.array([len(x) // HASH_BYTES for x in rare.values()], np.int64)
+            digests, raw = list(rare), list(rare.values())
+            parts = np.cumsum(sizes) // BUCKET_SHINGLES
+            for part in np.unique(parts):
+                low, high = np.searchsorted(parts, [part, part + 1])
+                hashes = _unpacked(b"".join(raw[low:high]), HASH_BYTES)
+                keys = np.array([int.from_bytes(d[:KEY_BYTES], "big") for d in digests[low:high]], np.uint64)
+                keys = np.repeat(keys, sizes[low:high])
+                bucket = ((hashes >> np.uint64(16)) * np.uint64(buckets)) >> np.uint64(8 * HASH_BYTES - 16)
+                order = np.argsort(bucket, kind="stable")
+                hashes, keys, bucket = hashes[order], keys[order], bucket[order].astype(np.int32)
+                full = np.unique(bucket)
+                edges = np.r_[np.searchsorted(bucket, full), len(bucket)]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(full),
+                    pa.array([_packed(hashes[a:b], HASH_BYTES) for a, b in zip(edges, edges[1:])], pa.binary()),
+                    pa.array([_packed(keys[a:b], KEY_BYTES) for a, b in zip(edges, edges[1:])], pa.binary()),
+                ], schema=target)
+
+    def meet(table: pa.Table) -> pa.Table:
+        hashes = _unpacked(b"".join(table.column("hashes").to_pylist()), HASH_BYTES)
+        keys = _unpacked(b"".join(table.column("keys").to_pylist()), KEY_BYTES)
+        order = np.lexsort((keys, hashes))
+        hashes, keys = hashes[order], keys[order]
+        new = np.r_[True, (hashes[1:] != hashes[:-1]) | (keys[1:] != keys[:-1])] if len(keys) else []
+        hashes, keys = hashes[new], keys[new]
+        again = np.r_[False, hashes[1:] == hashes[:-1], False]
+        several = again[:-1] | again[1:]
+        return pa.table({"hash": hashes[several].astype(np.int64), "key": keys[several].astype(np.int64)})
+
+    sent = rows.select("_set", "_rarest").mapInArrow(send, "bucket int, hashes binary, keys binary")
+    return stage_lean(sent.groupBy("bucket").applyInArrow(meet, "hash long, key long"), "shared")
+
+
+def unmet(members: DataFrame, rows: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs of sets that may be similar and have different labels: longs ``a``, ``b``, each once.
+
+    ``members`` has ``node``, ``label``, ``size`` and ``_set``; ``rows`` the shingles.  Sets that are
+    similar share one of their rarest shingles, and as many of them as their sizes ask for: up to the
+    last one of that set whose last comes first, all that they have in common are among these.
+    """
+    key = F.conv(F.hex(F.substring("_set", 1, KEY_BYTES)), 16, 10).cast("long")
+    named = members.select(key.alias("_key"), "node", "label", "size")
+    shared = _shared_shingles(rows)
+    held = stage_lean(
+        shared.join(named, F.col("key") == F.col("_key")).select("hash", "node", "label", "size"), "held"
+    )
+    t, slack = F.lit(rule.similarity), F.lit(1e-6)
+    left = held.select("hash", *(F.col(c).alias(f"{c}_a") for c in ("node", "label", "size")))
+    right = held.select(F.col("hash").alias("_h"), *(F.col(c).alias(f"{c}_b") for c in ("node", "label", "size")))
+    smaller = (F.col("size_a") < F.col("size_b")) | (
+        (F.col("size_a") == F.col("size_b")) & (F.col("node_a") < F.col("node_b"))
+    )
+    near = F.col("size_a") >= t * F.col("size_b") - slack
+    pairs = left.join(
+        right, (F.col("hash") == F.col("_h")) & (F.col("label_a") != F.col("label_b")) & smaller & near
+    )
+    counted = pairs.groupBy("node_a", "node_b", "size_a", "size_b").agg(F.count("*").alias("n"))
+    common = F.ceil(t / (1 + t) * (F.col("size_a") + F.col("size_b")) - slack)
+    enough = F.col("n") >= common - F.greatest(F.ceil(t * F.col("size_b") - slack), F.lit(1)) + 1
+    return counted.filter(enough).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+
+
 def _verified(rows: DataFrame, candidates: DataFrame, docs: DataFrame, id_col: str, text_col: str, rule: Rule):
     """The sets of ``rows`` with their class: ``fingerprint``, ``_set``, ``least``, ``class``."""
     distinct = rows.groupBy("fingerprint", "_set").agg(
-        F.min(id_col).alias("least"), F.min("_md5").alias("text")
+        F.min(id_col).alias("least"), F.min("_md5").alias("text"), F.min("_size").alias("size")
     )
     prints = candidates.select(F.col("fingerprint").alias("_print"), "class")
-    members = stage(
+    members = stage_lean(
         distinct.join(prints, F.col("fingerprint") == F.col("_print")).drop("_print")
         .withColumn("node", F.monotonically_increasing_id()),
         "members",
     )
-    reached = components(similar(members, docs, text_col, rule)).withColumnRenamed("node", "_n")
-    return members.drop("class").join(reached, F.col("node") == F.col("_n"), "left").select(
-        "fingerprint", "_set", "least", F.coalesce("component", "node").alias("class")
-    )
+    members = stage_lean(_labelled(members, similar(members, docs, text_col, rule)), "members")
+    open_ = stage_lean(unmet(members, rows, rule), "unmet")
+    if not open_.isEmpty():
+        crowd = components(open_).select(F.col("node").alias("_n"), "component")
+        several = members.drop("class").join(crowd, F.col("node") == F.col("_n")).withColumnRenamed("component", "class")
+        found = stage_lean(similar(several.select("node", "class", "text"), docs, text_col, rule), "found")
+        ends = [members.select(F.col("node").alias(f"_{e}"), F.col("label").alias(f"label_{e}")) for e in "ab"]
+        joined = found.join(ends[0], F.col("a") == F.col("_a")).join(ends[1], F.col("b") == F.col("_b"))
+        more = components(joined.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
+        more = more.select(F.col("node").alias("_l"), "component")
+        members = members.join(more, F.col("label") == F.col("_l"), "left").withColumn(
+            "label", F.coalesce("component", "label")
+        )
+    return members.select("fingerprint", "_set", "least", F.col("label").alias("class"))
 
 
 def classes(
@@ -546,6 +719,7 @@ def classes(
     for key in keys:
         found = found.withColumnRenamed(key, f"_of{key}")
     same = [F.col(key) == F.col(f"_of{key}") for key in keys]
+    rows = rows.drop("_size", "_rarest")
     return rows.join(found, same).drop(*(f"_of{key}" for key in keys), "_set", "_md5")
 
 
