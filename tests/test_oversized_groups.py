@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import Window, functions as F
 
-from wardlens.operators import aggregates, joins, percentiles, windows
+from wardlens.operators import aggregates, joins, percentiles, reports, windows
 from wardlens.operators.sequences import along, numbered, oversized_groups
 
 ROWS_OF_BUSY, LIMIT = 700, 40
@@ -172,3 +172,15 @@ def test_within_days_counts_what_pairs_would(spark, readings, include):
             left, right, ["key"], "id", "at", "id", "at", 30, include, limit
         ).select("id", "followers", "next_time")
         same(got, want)
+
+
+def test_prefixes_meet_counts_not_rows(spark):
+    """A prefix that all texts have is counted before the join, so its rows never meet in one task."""
+    rows = [(f"ab{i % 3}", i % 50) for i in range(400)] + [("zz", None), (None, 1), ("ab", 7)]
+    asked = [("a",), ("ab1",), ("ab1",), ("q",), (None,), ("",)]
+    got = reports.counts_by_prefix(
+        spark.createDataFrame(rows, "name string, id int"), "name", "id", spark.createDataFrame(asked, "prefix string")
+    )
+    want = {p: len({i for t, i in rows if t is not None and i is not None and t.startswith(p)}) for p in ("a", "ab1", "q", "")}
+    assert {r.prefix: r.n for r in got.collect()} == want and got.count() == len(want)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1

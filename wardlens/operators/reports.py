@@ -75,14 +75,15 @@ def counts_by_prefix(
 
     Texts are cut to each length that prefixes have (the driver sees the lengths alone) and meet them by
     an equi-join, so the work does not grow with the number of prefixes.  Different (text, value)
-    pairs are found first.  NULL prefixes are left out; the empty prefix fits every text.
+    pairs are found first, and values are counted before that join, so no prefix's rows meet in one
+    task.  NULL prefixes are left out; the empty prefix fits every text.
     """
     asked = prefixes.select(F.col(prefix).alias(prefix)).filter(F.col(prefix).isNotNull()).distinct()
     lengths = sorted(r[0] for r in asked.select(F.char_length(prefix)).distinct().collect())
     pairs = df.select(F.col(text).alias("_text"), F.col(value).alias("_value")).filter("_value IS NOT NULL").distinct()
     heads = F.array(*[F.when(F.char_length("_text") >= n, F.left("_text", F.lit(n))) for n in lengths])
     cut = pairs.select("_value", F.explode(heads if lengths else F.array().cast("array<string>")).alias("_head"))
-    found = cut.join(asked, F.col("_head") == F.col(prefix)).select(prefix, "_value").distinct()
-    counted = found.groupBy(prefix).agg(F.count("_value").alias("_n"))
+    found = cut.filter("_head IS NOT NULL").distinct()
+    counted = found.groupBy("_head").agg(F.count("_value").alias("_n"))
     zero = F.lit(0).cast("bigint")
-    return asked.join(counted, prefix, "left").select(prefix, F.coalesce("_n", zero).alias(out))
+    return asked.join(counted, F.col(prefix) == F.col("_head"), "left").select(prefix, F.coalesce("_n", zero).alias(out))
