@@ -5,7 +5,8 @@ from collections import Counter, defaultdict
 import pytest
 
 import corpus_pipeline as pipeline
-from wardlens.llm import quality, spans
+from wardlens.llm import quality, simhash, spans
+from wardlens.llm.common import AT_ONCE, map_batches
 
 from test_mixing_and_sharding import brute_targets
 from test_near_duplicates import brute_removed
@@ -82,3 +83,14 @@ def test_stages_take_odd_and_empty_tables(spark, folder, odd_docs, name):
     if name != "best_fit_packing":
         assert got.columns == odd_docs.columns
     assert step(spark, odd_docs.limit(0), folder).count() == 0
+
+
+def test_texts_become_python_objects_a_part_at_a_time(spark):
+    docs = spark.range(0, 2500, 1, 1).selectExpr("id AS doc_id", "repeat(concat('w', id, ' '), 60) AS text")
+    seen = map_batches(docs, lambda batch: {"n": [batch.num_rows]}, "n long", AT_ONCE).collect()
+    assert sum(r.n for r in seen) == 2500 and max(r.n for r in seen) <= AT_ONCE
+    assert map_batches(docs.filter("doc_id < 0"), lambda batch: {"n": [batch.num_rows]}, "n long", AT_ONCE).collect() == []
+    wanted = simhash.fingerprints(docs, simhash.SIMILAR).collect()
+    assert [r.doc_id for r in wanted] == list(range(2500))
+    text = ("w7 " * 60).encode()
+    assert wanted[7].fingerprint == simhash.set_fingerprint(text, 5, 256)[0]

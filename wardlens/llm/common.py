@@ -19,6 +19,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 SLICES = 512
 
 
+#: Rows of texts that a worker turns into Python objects at once; Spark's batches hold 10,000.
+AT_ONCE = 1000
+
 _shipped: set[str] = set()
 
 
@@ -63,14 +66,29 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(ddl))
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``rows`` rows; the worker keeps no room for what was read."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+        del batch
+    pa.default_memory_pool().release_unused()
+
+
 def map_batches(
-    df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, object] | None], schema: str
+    df: DataFrame,
+    fn: Callable[[pa.RecordBatch], dict[str, object] | None],
+    schema: str,
+    at_once: int | None = None,
 ) -> DataFrame:
-    """Apply ``fn`` to each Arrow batch; it returns the columns of the result, or None for no rows."""
+    """Apply ``fn`` to each Arrow batch; it returns the columns of the result, or None for no rows.
+
+    With ``at_once`` it gets at most so many rows, which bounds the Python objects it makes.
+    """
     target = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, at_once) if at_once else batches:
             columns = fn(batch)
             if columns is not None:
                 arrays = [

@@ -9,7 +9,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from wardlens.llm.common import map_batches, text_bytes
+from wardlens.llm.common import AT_ONCE, map_batches, sliced, text_bytes
 
 SYMBOLS = frozenset(b"#*$%&|<>")
 
@@ -117,7 +117,7 @@ def keep_good(docs: DataFrame, text_col: str = "text", bands: Bands = PRODUCTION
     def rows(batches):
         compressor = zstandard.ZstdCompressor(level=bands.level)
         at = None
-        for batch in batches:
+        for batch in sliced(batches, AT_ONCE):
             at = batch.schema.get_field_index(text_col) if at is None else at
             texts = batch.column(at).cast(pa.binary()).to_pylist()
             good = [measure_text(t or b"", bands, compressor)[6] for t in texts]

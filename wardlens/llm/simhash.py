@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wardlens.llm.common import arrow_schema, map_batches, text_bytes, unused
+from wardlens.llm.common import AT_ONCE, arrow_schema, map_batches, text_bytes, unused
 from wardlens.llm.components import SpanningForest, components
 from wardlens.sources.staging import stage, stage_lean
 
@@ -28,7 +28,7 @@ SAMPLE, FREQUENT = 16, 3
 #: Frequent shingles that are known at most; more are taken for rare ones.
 FREQUENT_MOST = 1 << 19
 #: Shingles of a bucket, about; a bucket's shingles from all texts meet in one task.
-BUCKET_SHINGLES = 1 << 19
+BUCKET_SHINGLES = 1 << 18
 #: Bytes that are sent of a shingle's hash and of a set's digest; equal ones are verified later.
 HASH_BYTES, KEY_BYTES = 6, 5
 
@@ -200,7 +200,7 @@ def frequent_shingles(docs: DataFrame, text_col: str, rule: Rule) -> np.ndarray:
         found, times = np.unique(np.concatenate(sets), return_counts=True)
         return {"hash": pa.array(found.view(np.int64)), "n": pa.array(times.astype(np.int64))}
 
-    counted = map_batches(texts, shingles, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    counted = map_batches(texts, shingles, "hash long, n long", AT_ONCE).groupBy("hash").agg(F.sum("n").alias("n"))
     often = stage_lean(counted.filter(F.col("n") >= FREQUENT), "frequent")
     known, least = 0, None
     for n, number in often.groupBy("n").count().orderBy(F.desc("n")).collect():
@@ -254,7 +254,7 @@ def fingerprints(
     types = [f"`{c}` {picked.schema[c].dataType.simpleString()}" for c in kept] + ["fingerprint binary"]
     if not rule.walks:
         types += ["`_set` binary", "`_size` int", "`_rarest` binary"]
-    return map_batches(picked, rows, ", ".join(types))
+    return map_batches(picked, rows, ", ".join(types), AT_ONCE)
 
 
 def _words(prints: list[bytes], bits: int) -> np.ndarray:
@@ -532,7 +532,7 @@ def similar(members: DataFrame, docs: DataFrame, text_col: str, rule: Rule) -> D
         return {"node": batch.column(0), "class": batch.column(1), "set": found}
 
     once = texts.select("node", "class", "_text").dropDuplicates(["node"])
-    hashes = stage(map_batches(once, hashed, "node long, class long, set binary"), "sets")
+    hashes = stage(map_batches(once, hashed, "node long, class long, set binary", AT_ONCE), "sets")
     slices = F.greatest(
         F.ceil(F.count("*") / rule.together), F.ceil(F.sum(F.octet_length("set")) / rule.together_bytes)
     )
