@@ -1,6 +1,7 @@
 """Repeated bytes by merged transforms against a table of all substrings."""
 
 import hashlib
+import os
 import random
 from collections import Counter
 
@@ -123,3 +124,36 @@ def test_transform_step_gives_the_intervals_of_longer_strings():
             at = np.asarray(state["place"])[low : low + size]
             assert len({tuple(syms[p : p + depth].tolist()) for p in at}) == 1
         state = {**state, **longer}
+
+
+def test_places_before_follow_from_the_transform():
+    draw = random.Random(5)
+    syms = np.array([draw.randrange(1, 5) for _ in range(400)], "<u8")
+    row = {"syms": syms.tobytes(), "counts": [151, 251], "answers": None,
+           "begins": np.r_[np.arange(151), np.arange(251)].astype("<i4").tobytes()}
+    state = bwt._transform(row, 1, 99)
+    assert "before" not in state and "before" not in bwt._TYPES
+    before, place = bwt._before(np.asarray(state["bwt"])), np.asarray(state["place"])
+    assert sorted(before.tolist()) == list(range(len(before)))
+    texts = [syms[:150].tolist(), syms[150:].tolist()]
+    reads = lambda p: (texts[0] + [0] + texts[1] + [0])[p + (p >= 150) :][: bwt.STEPS]
+    inner = [i for i in range(len(before)) if place[i] not in (-1, 0, 150)]
+    assert all(reads(place[before[i]]) == reads(place[i] - 1) for i in inner)
+
+
+def test_refinement_keeps_what_is_read_later_only(spark, tmp_path):
+    draw = random.Random(6)
+    words = ["".join(draw.choice("abcdefgh") for _ in range(7)) for _ in range(900)]
+    passage = " ".join(draw.choice(words) for _ in range(90))
+    texts = [" ".join(draw.choice(words) for _ in range(60)) + passage[k:] for k in range(12)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    keyed = docs.select(F.col("doc_id").alias("_i"), F.xxhash64("text").alias("_h"), F.col("text").cast("binary").alias("_t"))
+    shards = bwt._shards(keyed, bwt.Match(200), "bigint")
+    folder = shards.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0].replace("//", "/")
+    root, own = os.path.split(folder)
+    present = {d for d in os.listdir(root)}
+    prefixes, bare, depth = bwt.common_prefixes(shards, bwt.Match(200))
+    assert depth > 2 and "syms" not in bare.columns and own not in os.listdir(root)
+    left = [d.split("-")[0] for d in os.listdir(root) if d not in present]
+    assert left.count("transforms") == 1 and left.count("places") == 1
+    assert prefixes.count() == bare.count() > 0

@@ -284,12 +284,12 @@ def _suffix_order(seq: np.ndarray) -> np.ndarray:
 
 
 _STATE = (
-    "shard long, names binary, widths binary, bwt binary, before binary, steps binary, low binary, "
+    "shard long, names binary, widths binary, bwt binary, steps binary, low binary, "
     "size binary, id binary, bytes binary, depth int, n long"
 )
 _TYPES = {
-    "names": "<u8", "widths": "<u2", "bwt": "<i4", "before": "<i4", "steps": "u1", "low": "<i4", "size": "<i4",
-    "id": "<u8", "bytes": "<u2",
+    "names": "<u8", "widths": "<u2", "bwt": "<i4", "steps": "u1", "low": "<i4", "size": "<i4", "id": "<u8",
+    "bytes": "<u2",
 }
 
 
@@ -301,8 +301,7 @@ def _transform(row: dict, buckets: int, most: int) -> dict[str, object]:
     """A shard's transform over the symbols that occur more than once in the corpus.
 
     ``names`` and ``widths`` are these symbols' hashes and bytes; in suffix order, ``bwt`` is the symbol
-    before (0: none), ``before`` the place of the suffix that begins there, ``place`` the phrase.  The
-    first intervals are those of single symbols.
+    before (0: none), ``place`` the phrase.  The first intervals are those of single symbols.
     """
     names, of, times = _symbols(row)
     live = _answered(names, row["answers"], buckets) | (times > 1)
@@ -323,8 +322,6 @@ def _transform(row: dict, buckets: int, most: int) -> dict[str, object]:
     spot = np.full(len(seq), -1, np.int64)
     spot[at] = phrase
     order = _suffix_order(seq)
-    where = np.empty(len(order), np.int64)
-    where[order] = np.arange(len(order))
     prior = order - 1
     bwt = np.where(prior >= 0, seq[prior], 0) if len(seq) else seq
     heads = seq[order]
@@ -335,12 +332,25 @@ def _transform(row: dict, buckets: int, most: int) -> dict[str, object]:
     steps = np.where(spot[order] >= 0, 1, 0)
     open_ = widths < most
     return {
-        "names": names[live], "widths": widths, "bwt": bwt, "before": where[prior] if len(seq) else seq,
-        "place": spot[order], "steps": steps, "low": low[open_], "size": size[open_], "id": names[live][open_],
-        "bytes": widths[open_], "depth": 1,
+        "names": names[live], "widths": widths, "bwt": bwt, "place": spot[order], "steps": steps,
+        "low": low[open_], "size": size[open_], "id": names[live][open_], "bytes": widths[open_], "depth": 1,
     }
 
 
+def _before(bwt: np.ndarray) -> np.ndarray:
+    """The place of the suffix that begins one symbol earlier, for each suffix.
+
+    Suffixes that begin with one symbol stand in the order of what follows it, so they are met in the
+    transform in their own order.  Suffixes equal in all symbols that are compared may swap places, which
+    leaves every interval as it is.
+    """
+    places = np.arange(len(bwt))
+    sorted_ = np.sort((bwt.astype(np.int64) << 32) | places) & 0xFFFFFFFF
+    before = np.empty(len(bwt), np.int64)
+    before[sorted_] = places
+    return before
+
+
 def _longer(state: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     """The intervals of the strings one symbol longer: the symbols before each interval's suffixes."""
     low, size = state["low"].astype(np.int64), state["size"].astype(np.int64)
@@ -353,7 +363,7 @@ def _longer(state: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     )[0:3]
     which, symbol = group // (len(state["names"]) + 1), group % (len(state["names"]) + 1)
     begin = np.full(len(group), len(state["bwt"]), np.int64)
-    np.minimum.at(begin, first, state["before"][suffix])
+    np.minimum.at(begin, first, _before(state["bwt"])[suffix])
     ids = _mixed(state["names"][symbol - 1] * np.uint64(_BASE) + state["id"][which])
     # Two strings of one hash are one key; the order makes keys ascend.
     order = np.argsort(ids, kind="stable")
@@ -401,26 +411,30 @@ def _total(rows: DataFrame) -> int:
     return rows.agg(F.sum("n")).first()[0] or 0
 
 
-def common_prefixes(shards: DataFrame, match: Match) -> tuple[DataFrame, int]:
+def common_prefixes(shards: DataFrame, match: Match) -> tuple[DataFrame, DataFrame, int]:
     """Merge the shards: shard, and per suffix its phrase (``place``) and ``steps``, the symbols that
     it has in common with another suffix, as far as a match's inner part reaches.  The second result
-    is the number of symbols that counts as long enough."""
+    are the shards without their symbols, which replace ``shards``, the third is the number of symbols
+    that counts as long enough.  What no later round reads is deleted as soon as that is so."""
     most = match.last - match.first
     answers, buckets = _exchange(shards.select("shard", "syms"), lambda row: _symbols(row)[0], _total(shards), 4)
     begun = _with_answers(shards.select("shard", "counts", "syms", "begins"), answers)
     first = _states(begun, _transform, f"{_STATE}, place binary", buckets, most)
-    state, depth, initial = first.drop("place"), 1, _total(first)
+    bare = stage_lean(shards.drop("syms"), "shards")
+    discard(shards)
+    state, places, depth, initial = first.drop("place"), first.select("shard", "place"), 1, _total(first)
     while depth < STEPS:
         count = _total(state)
         if count * FEW <= initial:
             break
         answers, buckets = _exchange(state, lambda row: np.unique(_longer(_arrays(row))["id"]), count, 8)
         state, old = _states(_with_answers(state, answers), _refined, _STATE, buckets, most), state
-        if depth > 1:
-            discard(old)
+        if depth == 1:
+            places = stage_lean(places, "places")
+        discard(old)
         depth += 1
-    places = first.select(F.col("shard").alias("to"), "place")
-    return state.select("shard", "steps").join(places, F.col("shard") == F.col("to")).drop("to"), depth
+    places = places.select(F.col("shard").alias("to"), "place")
+    return state.select("shard", "steps").join(places, F.col("shard") == F.col("to")).drop("to"), bare, depth
 
 
 # --- from repeated intervals to bytes ----------------------------------------------------------
@@ -592,7 +606,7 @@ def repeated_bytes(
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary")
     keyed = docs.select(F.col(f"`{id_col}`").alias("_i"), F.xxhash64(text).alias("_h"), text.alias("_t"))
     shards = _shards(keyed, match, id_type)
-    prefixes, enough = common_prefixes(shards, match)
+    prefixes, shards, enough = common_prefixes(shards, match)
     candidates = _candidates(shards, prefixes, match, enough, id_type)
     discard(shards)
     discard(prefixes)
