@@ -349,6 +349,41 @@ def test_no_pair_at_the_threshold_is_left_out(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in simhash.near_duplicates(df, rule).collect()} == want
 
 
+def keys_look_equal(pair):
+    return len({simhash.set_fingerprint(t.encode(), 5, 64)[1][:1] for t in pair}) == 1
+
+
+def shared_shingles_look_equal(pair):
+    rare = [simhash.rarest(simhash.shingle_set(t.encode(), 5), np.zeros(0, np.uint64), 0.8) for t in pair]
+    shared = np.intersect1d(*rare)
+    return len(shared) == 2 and len(np.unique(shared >> np.uint64(48))) == 1
+
+
+@pytest.mark.parametrize("sent, few, equal", [("KEY_BYTES", 1, keys_look_equal), ("HASH_BYTES", 2, shared_shingles_look_equal)])
+def test_what_looks_equal_in_the_bytes_sent_loses_no_pair(spark, monkeypatch, sent, few, equal):
+    draw, texts = random.Random(43), {}
+    while len(texts) < 6:
+        words = [f"w{draw.getrandbits(40)}" for _ in range(15)]
+        pair = [" ".join(words[:14]), " ".join(words[:13] + words[14:])]
+        if equal(pair):
+            texts |= {len(texts): pair[0], len(texts) + 1: pair[1]}
+    monkeypatch.setattr(simhash, sent, few)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    # The tries meet equal fingerprints alone.
+    rule = simhash.Rule(5, 256, 0, 0, recall=0.0)
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(df, rule).collect()}
+    assert got == {i: i - i % 2 for i in texts}
+
+
+def test_rows_of_one_id_that_differ_in_where_null_stands(spark):
+    """Each keeps its class's row, though a hash of their columns in turn is the same."""
+    text = "one text of some words that stands in either column"
+    rows = [(5, text, None), (5, None, text), (5, text, None), (6, "another text", text)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = [tuple(r) for r in simhash.keep_one(df).collect()]
+    assert len(got) == 3 and set(got) == set(rows)
+
+
 def test_rarest_shingles_of_similar_sets_meet():
     draw = np.random.default_rng(42)
     for size in (1, 2, 4, 5, 6, 9, 10, 11, 50, 333):

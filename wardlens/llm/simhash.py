@@ -29,7 +29,7 @@ SAMPLE, FREQUENT = 16, 3
 FREQUENT_MOST = 1 << 19
 #: Shingles of a bucket, about; a bucket's shingles from all texts meet in one task.
 BUCKET_SHINGLES = 1 << 18
-#: Bytes that are sent of a shingle's hash and of a set's digest; equal ones are verified later.
+#: Bytes that are sent of a shingle's hash and of a set's digest; no pair is lost where they are equal by chance.
 HASH_BYTES, KEY_BYTES = 6, 5
 
 
@@ -230,7 +230,8 @@ def fingerprints(
     """The id, ``more`` columns and ``fingerprint`` (binary) of every row; a NULL text is an empty one.
 
     A rule for a similarity has the fingerprints of sets, and adds ``_set``, the set's digest,
-    ``_size``, the number of its shingles, and ``_rarest``, the upper bytes of the hashes of these.
+    ``_size``, the number of its shingles, ``_rarest``, the upper bytes of the hashes of the rarest, and
+    ``_spare``, how many of these are equal to others of the set by chance.
     """
     picked = docs.select(text_bytes(text_col).alias("_text"), id_col, *more)
     kept = picked.columns[1:]
@@ -241,7 +242,7 @@ def fingerprints(
         same = {c: batch.column(i + 1) for i, c in enumerate(kept)}
         if rule.walks:
             return {**same, "fingerprint": [fingerprint(t, rule.shingle, rule.bits) for t in texts]}
-        prints, digests, sizes, rare = [], [], [], []
+        prints, digests, sizes, rare, spare = [], [], [], [], []
         for t in texts:
             print_, digest, hashes = set_fingerprint(t, rule.shingle, rule.bits)
             prints.append(print_)
@@ -249,11 +250,12 @@ def fingerprints(
             sizes.append(len(hashes))
             upper = rarest(hashes, frequent, rule.similarity) >> np.uint64(64 - 8 * HASH_BYTES)
             rare.append(_packed(upper, HASH_BYTES))
-        return {**same, "fingerprint": prints, "_set": digests, "_size": sizes, "_rarest": rare}
+            spare.append(len(upper) - len(np.unique(upper)))
+        return {**same, "fingerprint": prints, "_set": digests, "_size": sizes, "_rarest": rare, "_spare": spare}
 
     types = [f"`{c}` {picked.schema[c].dataType.simpleString()}" for c in kept] + ["fingerprint binary"]
     if not rule.walks:
-        types += ["`_set` binary", "`_size` int", "`_rarest` binary"]
+        types += ["`_set` binary", "`_size` int", "`_rarest` binary", "`_spare` int"]
     return map_batches(picked, rows, ", ".join(types), AT_ONCE)
 
 
@@ -634,21 +636,24 @@ def _shared_shingles(rows: DataFrame) -> DataFrame:
 
 
 def unmet(members: DataFrame, rows: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs of sets that may be similar and have different labels: longs ``a``, ``b``, each once.
+    """Pairs of sets that may be similar and have different labels: longs ``a``, ``b``.
 
-    ``members`` has ``node``, ``label``, ``size`` and ``_set``; ``rows`` the shingles.  Sets that are
-    similar share one of their rarest shingles, and as many of them as their sizes ask for: up to the
-    last one of that set whose last comes first, all that they have in common are among these.
+    ``members`` has ``node``, ``label``, ``size``, ``spare`` and ``_set``; ``rows`` the shingles.  Sets
+    that are similar share one of their rarest shingles, and as many of them as their sizes ask for: up
+    to the last one of that set whose last comes first, all that they have in common are among these.
+    Of shingles that look equal in the bytes sent only one counts, so as many may be missing as either
+    set has to spare.  Sets that look equal in them meet nobody of their own key there: they are pairs.
     """
     key = F.conv(F.hex(F.substring("_set", 1, KEY_BYTES)), 16, 10).cast("long")
-    named = members.select(key.alias("_key"), "node", "label", "size")
+    named = members.select(key.alias("_key"), "node", "label", "size", "spare")
     shared = _shared_shingles(rows)
     held = stage_lean(
-        shared.join(named, F.col("key") == F.col("_key")).select("hash", "node", "label", "size"), "held"
+        shared.join(named, F.col("key") == F.col("_key")).select("hash", "node", "label", "size", "spare"), "held"
     )
     t, slack = F.lit(rule.similarity), F.lit(1e-6)
-    left = held.select("hash", *(F.col(c).alias(f"{c}_a") for c in ("node", "label", "size")))
-    right = held.select(F.col("hash").alias("_h"), *(F.col(c).alias(f"{c}_b") for c in ("node", "label", "size")))
+    told = ("node", "label", "size", "spare")
+    left = held.select("hash", *(F.col(c).alias(f"{c}_a") for c in told))
+    right = held.select(F.col("hash").alias("_h"), *(F.col(c).alias(f"{c}_b") for c in told))
     smaller = (F.col("size_a") < F.col("size_b")) | (
         (F.col("size_a") == F.col("size_b")) & (F.col("node_a") < F.col("node_b"))
     )
@@ -656,16 +661,20 @@ def unmet(members: DataFrame, rows: DataFrame, rule: Rule) -> DataFrame:
     pairs = left.join(
         right, (F.col("hash") == F.col("_h")) & (F.col("label_a") != F.col("label_b")) & smaller & near
     )
-    counted = pairs.groupBy("node_a", "node_b", "size_a", "size_b").agg(F.count("*").alias("n"))
     common = F.ceil(t / (1 + t) * (F.col("size_a") + F.col("size_b")) - slack)
-    enough = F.col("n") >= common - F.greatest(F.ceil(t * F.col("size_b") - slack), F.lit(1)) + 1
-    return counted.filter(enough).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    asked = common - F.greatest(F.ceil(t * F.col("size_b") - slack), F.lit(1)) + 1 - F.least("spare_a", "spare_b")
+    counted = pairs.groupBy("node_a", "node_b", asked.alias("asked")).agg(F.count("*").alias("n"))
+    near_enough = counted.filter("n >= asked").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    others = named.select(F.col("_key").alias("_k"), F.col("node").alias("b"), F.col("label").alias("_l"))
+    same_key = (F.col("_key") == F.col("_k")) & (F.col("node") < F.col("b")) & (F.col("label") != F.col("_l"))
+    return near_enough.union(named.join(others, same_key).select(F.col("node").alias("a"), "b"))
 
 
 def _verified(rows: DataFrame, candidates: DataFrame, docs: DataFrame, id_col: str, text_col: str, rule: Rule):
     """The sets of ``rows`` with their class: ``fingerprint``, ``_set``, ``least``, ``class``."""
     distinct = rows.groupBy("fingerprint", "_set").agg(
-        F.min(id_col).alias("least"), F.min("_md5").alias("text"), F.min("_size").alias("size")
+        F.min(id_col).alias("least"), F.min("_md5").alias("text"), F.min("_size").alias("size"),
+        F.min("_spare").alias("spare"),
     )
     prints = candidates.select(F.col("fingerprint").alias("_print"), "class")
     members = stage_lean(
@@ -719,7 +728,7 @@ def classes(
     for key in keys:
         found = found.withColumnRenamed(key, f"_of{key}")
     same = [F.col(key) == F.col(f"_of{key}") for key in keys]
-    rows = rows.drop("_size", "_rarest")
+    rows = rows.drop("_size", "_rarest", "_spare")
     return rows.join(found, same).drop(*(f"_of{key}" for key in keys), "_set", "_md5")
 
 
@@ -750,13 +759,22 @@ def keep_one(
     their content, so reruns agree; of repeated rows one stays.
     """
     content, row = F.xxhash64(*docs.columns), unused(docs, "_row")
-    place = F.struct(F.col(id_col).isNull(), F.col(id_col).alias("i"), F.col(row).alias("r"))
+    # A hash of several columns passes over NULLs, so that one alone takes rows of different texts for one.
+    single, cell = F.xxhash64(*(F.xxhash64(c) for c in docs.columns)), unused(docs, "_cell")
+    place = F.struct(
+        F.col(id_col).isNull(), F.col(id_col).alias("i"), F.col(row).alias("r"), F.col(cell).alias("c")
+    )
     firsts = (
-        classes(docs, rule, id_col, text_col, content.alias(row))
+        classes(docs, rule, id_col, text_col, content.alias(row), single.alias(cell))
         .groupBy("class").agg(F.min(place).alias("k"))
     )
-    kept_id, kept_row = unused(docs, "_kept_id"), unused(docs, "_kept_row")
-    firsts = firsts.select(F.col("k.i").alias(kept_id), F.col("k.r").alias(kept_row))
-    marked = docs.withColumn(row, content)
-    same = marked[id_col].eqNullSafe(F.col(kept_id)) & (F.col(row) == F.col(kept_row))
-    return marked.join(firsts, same, "left_semi").dropDuplicates([id_col, row]).select(*docs.columns)
+    kept_id, kept_row, kept_cell = (unused(docs, c) for c in ("_kept_id", "_kept_row", "_kept_cell"))
+    firsts = firsts.select(
+        F.col("k.i").alias(kept_id), F.col("k.r").alias(kept_row), F.col("k.c").alias(kept_cell)
+    )
+    marked = docs.withColumn(row, content).withColumn(cell, single)
+    same = (
+        marked[id_col].eqNullSafe(F.col(kept_id)) & (F.col(row) == F.col(kept_row))
+        & (F.col(cell) == F.col(kept_cell))
+    )
+    return marked.join(firsts, same, "left_semi").dropDuplicates([id_col, row, cell]).select(*docs.columns)
