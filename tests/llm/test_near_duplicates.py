@@ -1,6 +1,7 @@
 """Components, SimHash tries, sentence runs and the multi-index against brute force."""
 
 import random
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -254,6 +255,40 @@ def test_vectors_meet(spark, block_rows):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got if r.vec_id is not None)
 
 
+def test_cells_of_near_copies_are_compared_in_bounded_memory():
+    """A cell's 1,000,000 linked pairs hold neither their vectors nor their distances at once."""
+    draw = np.random.default_rng(31)
+    raw = draw.normal(size=64) + 0.05 * draw.normal(size=(2000, 64))
+    unit = raw / np.linalg.norm(raw, axis=1, keepdims=True)
+    book = embeddings.Codebooks(draw.normal(size=(128, 32)), draw.normal(size=(128, 32)), 1.0)
+    node, is_home = np.arange(2000), np.arange(2000) < 1000
+    own = book.homes(unit, node)
+    assert own.tolist() == [home for home, _ in book.cells(unit)]
+    for cell in (own[0], own.max() + 1):
+        tracemalloc.start()
+        found = list(embeddings._met(raw, node, is_home, unit, 0.93, book, cell))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 100e6
+        visits = {i: set(v.tolist()) for i, (_, v) in enumerate(book.cells(unit))}
+        met = {(i, j) for q, h in found for i, j in zip(q.tolist(), h.tolist())}
+        assert met == {
+            (i, j) for i in range(1000, 2000) for j in range(1000)
+            if (i < j if own[i] == cell else own[i] not in visits[j] or cell < own[i])
+        }
+
+
+def test_cells_are_handed_over_in_parts(monkeypatch):
+    monkeypatch.setattr(embeddings, "SPREAD_ROWS", 7)
+    cells = [(i, np.arange(n)) for i, n in enumerate([0, 20, 3, 3, 1, 6])]
+    parts = list(embeddings._spread(np.arange(10, 16), cells))
+    assert max(len(owner) for owner, _, _ in parts) == 7
+    rows = [(o, c, h) for part in parts for o, c, h in zip(*(x.tolist() for x in part))]
+    want = [(10 + i, c, k == 0) for i, (home, v) in enumerate(cells) for k, c in enumerate([home, *v.tolist()])]
+    assert rows == want
+    assert not list(embeddings._spread(np.arange(0), []))
+
+
 def test_no_vectors(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<double>, label string")
     assert embeddings.linked_vectors(none).count() == 0

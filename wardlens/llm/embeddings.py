@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -10,9 +11,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType
 
+from wardlens.llm.common import AT_ONCE, sliced
 from wardlens.llm.components import SpanningForest, components
 from wardlens.sources.staging import stage
 
+#: Components of vectors that are multiplied at once when pairs are verified.
+VALUES = 1 << 20
+#: Rows of vectors and cells that a worker hands over at once.
+SPREAD_ROWS = 1 << 13
+
 
 @dataclass(frozen=True)
 class Index:
@@ -51,17 +58,18 @@ class Codebooks:
         cut = self.left.shape[1]
         out = []
         for half, codes in ((unit[:, :cut], self.left), (unit[:, cut:], self.right)):
-            near = np.stack([np.square(half - c).sum(axis=1) for c in codes], axis=1)
+            near = np.empty((len(half), len(codes)))
+            for i, code in enumerate(codes):
+                near[:, i] = np.square(half - code).sum(axis=1)
             out.append(near)
         return out[0], out[1]
 
-    def cells(self, unit: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    def cells(self, unit: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """Each vector's own cell, and the cells to visit, nearest first, up to the margin."""
         a, b = self.distances(unit)
         home = a.argmin(axis=1) * len(self.right) + b.argmin(axis=1)
         a, b = a - a.min(axis=1, keepdims=True), b - b.min(axis=1, keepdims=True)
-        rows, visits = np.argsort(a, axis=1), []
-        columns = np.argsort(b, axis=1)
+        rows, columns = np.argsort(a, axis=1), np.argsort(b, axis=1)
         for v in range(len(unit)):
             x, y = a[v, rows[v]], b[v, columns[v]]
             # The two sorted lists are walked together: for each left code, in order, the right
@@ -70,16 +78,21 @@ class Codebooks:
             left = np.repeat(rows[v, : len(reach)], reach)
             right = columns[v, np.concatenate([np.arange(r) for r in reach])]
             order = np.argsort(a[v, left] + b[v, right], kind="stable")
-            visits.append((left * len(self.right) + right)[order])
-        return home, visits
-
-    def visits(self, unit: np.ndarray, cell: np.ndarray) -> np.ndarray:
-        """Whether each vector visits the given cell."""
-        a, b = self.distances(unit)
-        at = np.arange(len(unit))
-        left, right = np.divmod(cell, len(self.right))
+            yield int(home[v]), (left * len(self.right) + right)[order]
+
+    def homes(self, unit: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """The own cells of the given rows, each different one measured once."""
+        each, at = np.unique(rows, return_inverse=True)
+        a, b = self.distances(unit[each])
+        return (a.argmin(axis=1) * len(self.right) + b.argmin(axis=1))[at]
+
+    def visits(self, unit: np.ndarray, rows: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        """Whether the given rows visit the cells beside them; each different row is measured once."""
+        each, at = np.unique(rows, return_inverse=True)
+        a, b = self.distances(unit[each])
+        left, right = np.divmod(cells, len(self.right))
         # The same comparison as in ``cells``: the right share against what the left one leaves.
-        x, y = a[at, left] - a.min(axis=1), b[at, right] - b.min(axis=1)
+        x, y = a[at, left] - a.min(axis=1)[at], b[at, right] - b.min(axis=1)[at]
         return (x <= self.margin) & (y <= self.margin - x)
 
 
@@ -132,6 +145,62 @@ def _unit(packed: list[bytes], kind: str) -> tuple[np.ndarray, np.ndarray]:
     return raw, scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
+def _dots(x: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Dot products of the rows ``i`` with the rows ``j``; a part of them at a time, as pairs may be many."""
+    step = max(1, VALUES // max(1, x.shape[1]))
+    out = np.empty(len(i))
+    for lo in range(0, len(i), step):
+        out[lo : lo + step] = (x[i[lo : lo + step]] * x[j[lo : lo + step]]).sum(axis=1)
+    return out
+
+
+def _met(
+    raw: np.ndarray, node: np.ndarray, is_home: np.ndarray, unit: np.ndarray, threshold: float,
+    book: Codebooks | None, cell: int,
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The linked pairs of a cell's visitors and its vectors at home that count there, part by part.
+
+    A cell of near copies has about as many pairs as rows times rows, so nothing but a pair's place
+    is held for all of a part: vectors are multiplied some at a time, and measured once each.
+    """
+    homes, guests = np.flatnonzero(is_home), np.flatnonzero(~is_home)
+    at_home, norms = unit[homes], np.sqrt(np.square(raw).sum(axis=1))
+    for lo in range(0, len(guests), 512):
+        some = guests[lo : lo + 512]
+        q, h = np.nonzero(unit[some] @ at_home.T >= threshold - 1e-9)
+        q, h = some[q], homes[h]
+        other = node[q] != node[h]
+        q, h = q[other], h[other]
+        # The cosine of the vectors themselves decides.
+        good = _dots(raw, q, h) / (norms[q] * norms[h]) >= threshold
+        q, h = q[good], h[good]
+        if book and len(q):
+            own = book.homes(unit, q)
+            back = book.visits(unit, h, own)
+            # A pair that meets in both cells counts in the first of them.
+            once = np.where(own == cell, node[q] < node[h], ~back | (cell < own))
+        else:
+            once = node[q] < node[h]
+        yield q[once], h[once]
+
+
+def _spread(
+    at: np.ndarray, cells: Iterable[tuple[int, np.ndarray]]
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The vectors ``at`` by their cells: the vector, the cell, and whether it is its own, in parts."""
+    rows, size = [], 0
+    for rest, (i, (home, visits)) in zip(range(len(at) - 1, -1, -1), zip(at, cells)):
+        n = 1 + len(visits)
+        rows.append((np.full(n, i), np.concatenate(([home], visits)), np.arange(n) == 0))
+        size += n
+        if size >= SPREAD_ROWS or not rest:
+            owner, cell, own = (np.concatenate(x) for x in zip(*rows))
+            for lo in range(0, size, SPREAD_ROWS):
+                part = slice(lo, lo + SPREAD_ROWS)
+                yield owner[part], cell[part], own[part]
+            rows, size = [], 0
+
+
 def linked_vectors(
     vectors: DataFrame,
     threshold: float = 0.93,
@@ -158,7 +227,7 @@ def linked_vectors(
     label_type = vectors.schema[label_col].dataType.simpleString()
 
     def packed(batches):
-        for batch in batches:
+        for batch in sliced(batches, AT_ONCE):
             out = []
             for values in batch.column(2).to_pylist():
                 found = None
@@ -195,23 +264,18 @@ def linked_vectors(
     lone = Codebooks(np.zeros((1, 0)), np.zeros((1, 0)), 0.0)
 
     def cells(batches):
-        for batch in batches:
+        for batch in sliced(batches, AT_ONCE):
             names = ["label", "width", "cell", "home", "node", "copies", "vec"]
             vecs = batch.column(batch.schema.get_field_index("vec")).to_pylist()
             sizes = np.array([len(v) for v in vecs], np.int64)
             for width in np.unique(sizes):
                 at = np.flatnonzero(sizes == width)
                 book = books.get(int(width), lone)
-                home, visits = (
-                    book.cells(_unit([vecs[i] for i in at], kind)[1])
-                    if book is not lone
-                    else (np.zeros(len(at), np.int64), [np.zeros(1, np.int64)] * len(at))
-                )
-                for lo in range(0, len(at), 500):
-                    some = range(lo, min(lo + 500, len(at)))
-                    owner = np.concatenate([np.full(1 + len(visits[i]), at[i]) for i in some])
-                    cell = np.concatenate([np.concatenate(([home[i]], visits[i])) for i in some])
-                    own = np.concatenate([np.arange(1 + len(visits[i])) == 0 for i in some])
+                if book is not lone:
+                    found = book.cells(_unit([vecs[i] for i in at], kind)[1])
+                else:
+                    found = ((0, np.zeros(1, np.int64)) for _ in at)
+                for owner, cell, own in _spread(at, found):
                     take = pa.array(owner)
                     columns = {
                         "label": batch.column(batch.schema.get_field_index("label")).take(take),
@@ -255,38 +319,15 @@ def linked_vectors(
     )
 
     def compare(group: pa.Table) -> pa.Table:
-        at_home = group.column("home").to_numpy()
+        is_home = group.column("home").to_numpy()
         node, copies = group.column("node").to_numpy(), group.column("copies").to_numpy()
         cell, width = group.column("cell")[0].as_py(), group.column("width")[0].as_py()
-        book = books.get(width, lone)
         raw, unit = _unit(group.column("vec").to_pylist(), kind)
-        homes, guests = np.flatnonzero(at_home), np.flatnonzero(~at_home)
         forest, links = SpanningForest(len(node)), np.zeros(len(node), np.int64)
-        if len(homes) and len(guests):
-            for lo in range(0, len(guests), 512):
-                some = guests[lo : lo + 512]
-                near = unit[some] @ unit[homes].T >= threshold - 1e-9
-                q, h = np.nonzero(near)
-                q, h = some[q], homes[h]
-                other = node[q] != node[h]
-                q, h = q[other], h[other]
-                # The cosine of the vectors themselves decides.
-                dot = (raw[q] * raw[h]).sum(axis=1)
-                norms = np.sqrt(np.square(raw[q]).sum(axis=1)) * np.sqrt(np.square(raw[h]).sum(axis=1))
-                good = dot / norms >= threshold
-                q, h = q[good], h[good]
-                if book is not lone and len(q):
-                    a, b = book.distances(unit[q])
-                    own = a.argmin(axis=1) * len(book.right) + b.argmin(axis=1)
-                    back = book.visits(unit[h], own)
-                    # A pair that meets in both cells counts in the first of them.
-                    once = np.where(own == cell, node[q] < node[h], ~back | (cell < own))
-                else:
-                    once = node[q] < node[h]
-                q, h = q[once], h[once]
-                np.add.at(links, q, copies[h])
-                np.add.at(links, h, copies[q])
-                forest.add(q, h)
+        for q, h in _met(raw, node, is_home, unit, threshold, books.get(width), cell):
+            np.add.at(links, q, copies[h])
+            np.add.at(links, h, copies[q])
+            forest.add(q, h)
         some = np.flatnonzero(links)
         child, parent = forest.edges()
         return pa.table({
